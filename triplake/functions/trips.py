@@ -23,28 +23,39 @@ TRIP_KEY_PARTS = (
 TRIP_KEY_SEPARATOR = "|"
 
 
-def object_name(file_path: Column, folder: str) -> Column:
-    """Name of the bronze object that holds a file, from the file's URI.
+def month_span(name: str) -> tuple[int, int]:
+    """Where the month stands in a bronze object's name: start and length.
 
-    An object is a single file or a folder of part files, so the name is the
-    first path step below ``folder`` (a URI as Hadoop encodes it), not the last.
+    Prefix and suffix are left out only where present.
     """
-    below = folder.split(":", 1)[-1].rstrip("/") + "/"
-    while below.startswith("//"):
-        below = below[1:]
-    step = F.substring_index(F.substring_index(file_path, below, -1), "/", 1)
-    # A plus sign is not escaped in the URI, but url_decode reads it as a blank.
-    return F.url_decode(F.replace(step, F.lit("+"), F.lit("%2B")))
+    start = len(OBJECT_PREFIX) if name.startswith(OBJECT_PREFIX) else 0
+    end = len(name)
+    if name[start:].endswith(OBJECT_SUFFIX):
+        end -= len(OBJECT_SUFFIX)
+    return start, end - start
 
 
 def source_month(name: Column) -> Column:
-    """Month in a bronze object's name; prefix and suffix go only where present."""
+    """Month in a column of bronze object names, by the same rule."""
     start = F.when(F.startswith(name, F.lit(OBJECT_PREFIX)), len(OBJECT_PREFIX)).otherwise(0)
     rest = F.substring(name, start + 1, F.length(name))
     cut = F.when(F.endswith(rest, F.lit(OBJECT_SUFFIX)), len(OBJECT_SUFFIX)).otherwise(0)
     return F.substring(rest, F.lit(1), F.length(rest) - cut)
 
 
+def source_month_of_path(file_path: Column, folder: str, span: tuple[int, int]) -> Column:
+    """Month of the bronze object that holds a file, from the file's URI.
+
+    An object is a file or a folder of part files, so its name is the first step
+    below ``folder`` (also a URI) and not the last. Cutting at a known place is
+    several times cheaper than a search, on every row there is.
+    """
+    below = "/" + folder.split(":", 1)[-1].strip("/") + "/"
+    start, length = span
+    at = F.instr(file_path, F.lit(below)) + len(below) + start
+    return F.substring(file_path, at, F.lit(length))
+
+
 def trip_id() -> Column:
     """Hash key. NULL parts are skipped, and equal trips share a key."""
     parts = [F.col(c).cast("string") for c in TRIP_KEY_PARTS]

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from triplake.functions.trips import object_name, source_month
+from triplake.functions.trips import month_span, source_month_of_path
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS, ZONES
 
@@ -42,23 +41,38 @@ def glob_objects(spark: SparkSession, pattern: str) -> list[BronzeObject]:
     return sorted(found)
 
 
-def group_by_schema(
-    spark: SparkSession, objects: Iterable[BronzeObject]
-) -> list[tuple[str, StructType, list[str]]]:
-    """Objects that one read can take together: same folder, columns and types.
+class BronzeGroup(NamedTuple):
+    """Objects that one read takes together."""
+
+    folder: str
+    schema: StructType
+    paths: list[str]
+    source_month: Column
+
+
+def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[BronzeGroup]:
+    """Objects of the same folder, columns and types, and the same form of name.
 
     A single read over files whose types differ fails, and one read per object
     makes the plan grow with time. There are few distinct schemas. Column order
     does not matter, as Parquet columns are read by name.
     """
-    objects = list(objects)
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
         schemas = list(pool.map(lambda o: spark.read.parquet(o.path).schema, objects))
-    groups: dict[tuple, tuple[str, StructType, list[str]]] = {}
+    groups: dict[tuple, BronzeGroup] = {}
     for obj, schema in zip(objects, schemas):
         columns = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema))
-        group = groups.setdefault((obj.folder, columns), (obj.folder, schema, []))
-        group[2].append(obj.path)
+        start, length = span = month_span(obj.name)
+        if obj.uri.endswith("/" + obj.name):
+            form: object = span
+            path = F.col("_metadata.file_path")
+            month = source_month_of_path(path, obj.folder, span)
+        else:
+            # The URI spells such a name in escapes, so the name stands by itself.
+            form = obj.name
+            month = F.lit(obj.name[start : start + length])
+        new = BronzeGroup(obj.folder, schema, [], month.alias("source_month"))
+        groups.setdefault((obj.folder, columns, form), new).paths.append(obj.path)
     return list(groups.values())
 
 
@@ -67,17 +81,10 @@ def read_bronze_trips(spark: SparkSession, pattern: str) -> DataFrame:
     objects = glob_objects(spark, pattern)
     if not objects:
         raise FileNotFoundError(f"no bronze objects at {pattern}")
-    frames = []
-    for folder, schema, paths in group_by_schema(spark, objects):
-        name = object_name(F.col("_metadata.file_path"), folder)
-        frames.append(
-            align(
-                spark.read.schema(schema).parquet(*paths),
-                BRONZE_TRIPS,
-                source_month(name).alias("source_month"),
-            )
-        )
-    return union_aligned(frames)
+    return union_aligned(
+        align(spark.read.schema(g.schema).parquet(*g.paths), BRONZE_TRIPS, g.source_month)
+        for g in group_objects(spark, objects)
+    )
 
 
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:

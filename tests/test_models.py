@@ -1,0 +1,122 @@
+import pytest
+import rows
+from pyspark.sql import functions as F
+from triplake.functions.trips import prepare_trips
+from triplake.plans import models
+from triplake.schemas import RAW_TRIPS, RAW_ZONES
+from triplake.sources.raw import to_contract
+
+ZONES = [(7, "Queens", "Astoria", "Boro Zone"), (8, "Bronx", "Belmont", "Boro Zone")]
+
+
+def staged(spark, trip_changes, zone_rows=ZONES):
+    silver = prepare_trips(rows.trips(spark, *trip_changes))
+    trips = models.stg_trips(to_contract(silver, RAW_TRIPS))
+    return trips, models.stg_zones(to_contract(rows.zones(spark, *zone_rows), RAW_ZONES))
+
+
+# The columns readers of the models rely on.
+ENRICHED = (
+    "vendor_id pickup_datetime dropoff_datetime passenger_count trip_distance rate_code_id"
+    " store_and_fwd_flag pickup_location_id pickup_borough pickup_zone pickup_service_zone"
+    " dropoff_location_id dropoff_borough dropoff_zone dropoff_service_zone payment_type"
+    " fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_amount"
+    " congestion_surcharge airport_fee"
+).split()
+
+
+def test_columns(spark):
+    trips, zones = staged(spark, [{}])
+    assert trips.columns == [c for c in ENRICHED if not c.endswith(("borough", "zone"))]
+    assert zones.columns == ["location_id", "borough", "zone", "service_zone"]
+    assert models.int_trips_with_zones(trips, zones).columns == ENRICHED
+
+
+@pytest.mark.parametrize("unmatched, missing", [("default", ""), ("null", None)])
+def test_both_ends_are_looked_up(spark, unmatched, missing):
+    trips, zones = staged(spark, [{}, {"PULocationID": 99, "DOLocationID": 7}])
+    found = models.int_trips_with_zones(trips, zones, unmatched).collect()
+    assert sorted((r.pickup_zone or "", r.dropoff_zone) for r in found) == [
+        ("", "Astoria"),
+        ("Astoria", "Belmont"),
+    ]
+    lost = next(r for r in found if r.pickup_location_id == 99)
+    assert (lost.pickup_borough, lost.pickup_zone, lost.pickup_service_zone) == (missing,) * 3
+
+
+def test_repeated_zone_fans_out_both_joins(spark):
+    trips, zones = staged(spark, [{"DOLocationID": 7}], [ZONES[0], ZONES[0]])
+    enriched = models.int_trips_with_zones(trips, zones)
+    assert enriched.count() == 4
+    mart = models.mart_revenue_by_borough(enriched).first()
+    assert tuple(mart) == ("Queens", 4, 60.0)
+
+
+def test_unknown_choices_are_refused(spark):
+    trips, zones = staged(spark, [{}])
+    with pytest.raises(ValueError, match="unmatched"):
+        models.int_trips_with_zones(trips, zones, "skip")
+    with pytest.raises(ValueError, match="money"):
+        models.mart_revenue_by_borough(models.int_trips_with_zones(trips, zones), "float")
+
+
+@pytest.mark.parametrize("money", ["decimal", "double"])
+def test_mart(spark, money):
+    amounts = [{"total_amount": a} for a in (0.1, 0.2, 0.3)]
+    trips, zones = staged(spark, [*amounts, {"PULocationID": 8, "total_amount": -5.0}])
+    enriched = models.int_trips_with_zones(trips, zones)
+    mart = models.mart_revenue_by_borough(enriched, money)
+    assert mart.dtypes == [
+        ("borough", "string"),
+        ("trip_count", "bigint"),
+        ("total_revenue", "double"),
+    ]
+    found = {r.borough: (r.trip_count, r.total_revenue) for r in mart.collect()}
+    assert found["Bronx"] == (1, -5.0)
+    count, revenue = found["Queens"]
+    assert count == 3
+    assert revenue == (0.6 if money == "decimal" else pytest.approx(0.6))
+
+
+def test_double_money_takes_any_value(spark):
+    trips, zones = staged(spark, [{"total_amount": 1e300}, {"total_amount": float("nan")}])
+    mart = models.mart_revenue_by_borough(models.int_trips_with_zones(trips, zones)).first()
+    assert mart.trip_count == 2
+    assert mart.total_revenue != mart.total_revenue
+
+
+def hints(df):
+    return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_lookup_is_broadcast_only_when_small(spark):
+    df = spark.createDataFrame([(i, "x" * 50) for i in range(20)], "a int, b string")
+    assert hints(models.lookup_side(df))
+    assert hints(models.lookup_side(df, max_rows=20, max_bytes=2000))
+    assert not hints(models.lookup_side(df, max_rows=19))
+    assert not hints(models.lookup_side(df, max_bytes=1000))
+    assert hints(models.lookup_side(df.limit(0)))
+
+
+def test_large_lookup_gives_the_same(spark, monkeypatch):
+    """Joined by shuffle, a zone with most trips included, nothing changes."""
+    hot = [{"PULocationID": 7, "extra": float(i)} for i in range(300)]
+    trips, zones = staged(spark, [*hot, {"PULocationID": 8}, {"PULocationID": 99}])
+    small = models.int_trips_with_zones(trips, zones)
+    monkeypatch.setattr(models, "lookup_side", lambda df: df)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = models.int_trips_with_zones(trips, zones)
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert rows.multiset(large) == rows.multiset(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_counts_are_of_rows(spark):
+    trips, zones = staged(spark, [{}, {}])
+    nulls = models.int_trips_with_zones(trips, zones).withColumn(
+        "total_amount", F.lit(None).cast("double")
+    )
+    assert tuple(models.mart_revenue_by_borough(nulls).first()) == ("Queens", 2, None)

@@ -1,0 +1,80 @@
+"""The plans Spark makes: what is read, what is shuffled, what is broadcast."""
+
+import re
+
+import pytest
+import rows
+from pyspark.sql import functions as F
+from test_bronze import drifted
+from triplake.functions.trips import prepare_trips
+from triplake.operators import quality
+from triplake.plans import models
+from triplake.plans.refresh import Lake, build_models, load_raw
+from triplake.schemas import SILVER_TRIPS
+from triplake.sources import bronze, lake
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_columns(text):
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<(.*?)>", text)]
+
+
+@pytest.fixture
+def silver(spark, tmp_path):
+    changes = [{}, {"fare_amount": 0.0}]
+    root = str(tmp_path / "lake" / "trips")
+    lake.write_split(prepare_trips(rows.trips(spark, *changes)), quality.trip_rules(), root)
+    return root
+
+
+def test_month_filter_prunes_folders(spark, silver):
+    df = lake.read_clean(spark, silver, SILVER_TRIPS)
+    text = plan(df.filter(F.col("partition_month") == "2023-01").select("extra"))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+    assert "2023-01" in filters and "clean" in filters
+    assert read_columns(text) == [{"extra"}]
+
+
+def test_bronze_is_read_in_one_scan_for_each_schema(spark, tmp_path):
+    drifted(spark, tmp_path)
+    trips = bronze.read_bronze_trips(spark, f"{tmp_path}/*.parquet")
+    judged = quality.judge(prepare_trips(trips), quality.trip_rules())
+    text = plan(judged)
+    assert text.count("FileScan parquet") == 3
+    assert "Exchange" not in text and "Python" not in text
+    assert text.count("Batched: true") == 3
+
+
+def test_unused_columns_are_not_read(spark, tmp_path):
+    drifted(spark, tmp_path)
+    trips = bronze.read_bronze_trips(spark, f"{tmp_path}/*.parquet")
+    text = plan(trips.select("extra", "source_month"))
+    assert read_columns(text) == [{"extra"}] * 3
+
+
+def test_clean_filter_reaches_the_scan(spark, tmp_path):
+    drifted(spark, tmp_path)
+    trips = bronze.read_bronze_trips(spark, f"{tmp_path}/*.parquet")
+    text = plan(quality.split(prepare_trips(trips), quality.trip_rules()).clean)
+    for pushed in re.findall(r"PushedFilters: \[(.*?)\]", text):
+        assert "GreaterThan(fare_amount,0.0)" in pushed
+        assert "GreaterThan(trip_distance,0.0)" in pushed
+
+
+def test_mart_reads_three_columns_and_shuffles_once(spark, tmp_path, database, silver):
+    name, location = database
+    place = Lake("", str(tmp_path / "lake"), name, location)
+    zones = rows.zones(spark, (7, "Queens", "Astoria", "x"), (8, "Bronx", "Belmont", "x"))
+    lake.write_split(zones, quality.zone_rules(), place.zones)
+    load_raw(spark, place)
+    build_models(spark, place)
+    enriched = spark.table(f"{name}.{models.TRIPS_WITH_ZONES}")
+    text = plan(models.mart_revenue_by_borough(enriched))
+    assert text.count("BroadcastHashJoin") == 2
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    assert text.count("partial_sum") == 1
+    assert {"PULocationID", "DOLocationID", "total_amount"} in read_columns(text)
+    assert {"LocationID"} in read_columns(text)

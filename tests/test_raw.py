@@ -74,9 +74,17 @@ NULLS = {"extra": None, "store_and_fwd_flag": None, "congestion_surcharge": None
 
 
 def test_null_fails_the_load(spark, tables):
-    with pytest.raises(PySparkException, match="NOT NULL column"):
+    with pytest.raises(PySparkException, match="NOT NULL column, one of: .*extra"):
         raw.append_trips(silver(spark, {}, NULLS), tables)
     assert trips_of(spark, tables).count() == 0
+    counts = raw.null_counts(silver(spark, {}, NULLS), RAW_TRIPS).first().asDict()
+    assert {k for k, n in counts.items() if n} == {"extra", "store_and_fwd_flag"}
+
+
+@pytest.mark.parametrize("column", [f.name for f in RAW_TRIPS if not f.nullable])
+def test_every_required_column_is_checked(spark, column):
+    with pytest.raises(PySparkException, match="NOT NULL column"):
+        raw.to_contract(silver(spark, {}, {column: None}), RAW_TRIPS).collect()
 
 
 def test_null_becomes_the_default(spark, tables):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, source_month
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS
+from triplake.sources.bronze import glob_objects
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,24 @@ def trips_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_aligned(align(df, BRONZE_TRIPS, month) for df in trips_drifted(spark, sf_dir))
 
 
+def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str) -> None:
+    """Store trips as a source delivers them: one Parquet object for each month."""
+    trips.write.partitionBy("file_name").parquet(folder)
+    # Spark names the folders after the column as well; objects have plain names.
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in glob_objects(spark, f"{folder}/file_name=*"):
+        name = found.name.removeprefix("file_name=")
+        if not fs.rename(hadoop_path(found.path), hadoop_path(f"{folder}/{name}")):
+            raise OSError(f"cannot rename {found.path}")
+
+
+def deliver_zones(zones: DataFrame, path: str) -> None:
+    """Store zones as CSV with a header, blanks kept as they are."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    zones.write.options(header=True, **keep).csv(path)
+
+
 def zones_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup in which zones 1 to 3 each lack one attribute."""
     nation = F.col("n_nationkey")

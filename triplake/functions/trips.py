@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,8 @@ def month_span(name: str) -> tuple[int, int]:
 
 def source_month(name: Column) -> Column:
     """Month in a column of bronze object names, by the same rule."""
-    start = F.when(F.startswith(name, F.lit(OBJECT_PREFIX)), len(OBJECT_PREFIX)).otherwise(0)
-    rest = F.substring(name, start + 1, F.length(name))
-    cut = F.when(F.endswith(rest, F.lit(OBJECT_SUFFIX)), len(OBJECT_SUFFIX)).otherwise(0)
-    return F.substring(rest, F.lit(1), F.length(rest) - cut)
+    around = rf"^{re.escape(OBJECT_PREFIX)}|{re.escape(OBJECT_SUFFIX)}\z"
+    return F.regexp_replace(name, around, "")
 
 
 def source_month_of_path(file_path: Column, folder: str, span: tuple[int, int]) -> Column:

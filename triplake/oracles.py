@@ -152,6 +152,8 @@ TAILS = {
         as decimal(18,2))) as double) as total_revenue from int_null group by 1
         """,
     "align_drifted": "select * from trips_fx",
+    "bronze_drifted": "select * from trips_fx",
+    "landing_audit": "select file_name as object_name, count(*) as n_rows from trips_src group by 1",
     "quarantine_stored": "select * from quar",
     "split_stored_apart": """
         select 'clean' as verdict, partition_month, count(*) as n from silver group by 2 union

@@ -135,11 +135,17 @@ def q_split_stored_apart(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def q_bronze_drifted(spark, sf_dir):
+    """Three deliveries with schemas of their own, read back as one frame."""
+    root = scratch_dir(spark, "bronze")
+    for i, trips in enumerate(fixtures.trips_drifted(spark, sf_dir)):
+        fixtures.deliver_trips(spark, trips, f"{root}/{i}")
+    return bronze.read_bronze_trips(spark, f"{root}/*/*.parquet")
+
+
 def q_zones_csv(spark, sf_dir):
     path = scratch_dir(spark, "zones-csv")
-    rows = fixtures.zones_source(spark, sf_dir)
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.options(header=True, **keep).csv(path)
+    fixtures.deliver_zones(fixtures.zones_source(spark, sf_dir), path)
     return bronze.read_zones_csv(spark, path)
 
 
@@ -161,6 +167,18 @@ def q_landing_missing(spark, sf_dir):
     return missing.withColumnRenamed(landing.NAME, "file_name")
 
 
+def q_landing_audit(spark, sf_dir):
+    """Every delivered month landed in an empty bronze."""
+    root = scratch_dir(spark, "landing")
+    fixtures.deliver_trips(spark, fixtures.trips_source(spark, sf_dir), f"{root}/source")
+    delivered = bronze.glob_objects(spark, f"{root}/source/*.parquet")
+    wanted = spark.createDataFrame(
+        [(o.name, o.path) for o in delivered], f"{landing.NAME} string, {landing.SOURCE} string"
+    )
+    audit = landing.land(spark, wanted, f"{root}/bronze")
+    return audit.select(landing.NAME, "n_rows")
+
+
 # --- raw tables --------------------------------------------------------------
 
 
@@ -225,7 +243,7 @@ def q_mart_revenue_by_borough(spark, sf_dir, unmatched="default"):
 
 
 def q_full_refresh_mart(spark, sf_dir):
-    """The same path through storage: silver, raw tables, views and mart table."""
+    """The same path through storage: bronze, silver, raw tables, views and mart."""
     root = scratch_dir(spark, "refresh")
     place = refresh.Lake(
         bronze=f"{root}/bronze",
@@ -233,17 +251,18 @@ def q_full_refresh_mart(spark, sf_dir):
         database=root.rsplit("/", 1)[-1].replace("-", "_"),
         database_location=f"{root}/warehouse",
     )
-    policy = refresh.Policy(money="decimal")
-    refresh.clean_trips(fixtures.trips_union(spark, sf_dir), place, policy)
-    refresh.clean_zones(fixtures.zones_source(spark, sf_dir), place, policy)
-    refresh.load_raw(spark, place, policy)
-    return refresh.build_models(spark, place, policy)
+    fixtures.deliver_trips(spark, fixtures.trips_source(spark, sf_dir), place.bronze)
+    zones = fixtures.zones_source(spark, sf_dir)
+    fixtures.deliver_zones(zones, f"{place.bronze}/{place.zones_name}")
+    refresh.refresh(spark, place, refresh.Policy(money="decimal"))
+    return spark.table(f"{place.database}.{models.REVENUE_MART}")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_month": q_source_month,
     "align_schema": fixtures.trips_aligned,
     "align_drifted": fixtures.trips_union,
+    "bronze_drifted": q_bronze_drifted,
     "union_months": q_union_months,
     "narrow_types": q_narrow_types,
     "trip_key": q_trip_key,
@@ -268,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_append_twice": q_raw_append_twice,
     "raw_full_refresh_twice": q_raw_full_refresh_twice,
     "landing_missing": q_landing_missing,
+    "landing_audit": q_landing_audit,
     "stg_trips": q_stg_trips,
     "stg_zones": q_stg_zones,
     "int_trips_with_zones": q_int_trips_with_zones,

@@ -1,11 +1,13 @@
 """Land delivered objects in bronze: only those not there yet, or all by force.
 
 Each object is copied by a Spark job of its own, part file by part file. The
-loop on the driver is over object names (one per month), never over rows.
+driver goes over object names (one per month), never over rows.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from triplake.sources.bronze import glob_objects
 
 NAME, SOURCE = "object_name", "source_path"
 
+# Copies that run side by side, so that small objects do not idle the cluster.
+COPY_THREADS = 8
+
 
 def missing_objects(wanted: DataFrame, landed: DataFrame, force: bool = False) -> DataFrame:
     """Wanted objects that are not landed; all of them when forced."""
@@ -40,10 +45,14 @@ def fingerprint_columns(columns: list[str]) -> list[Column]:
 def land(spark: SparkSession, wanted: DataFrame, bronze: str, force: bool = False) -> DataFrame:
     """Copy what is missing and return one audit row per copied object."""
     todo = missing_objects(wanted, landed_objects(spark, bronze), force)
-    audit = []
-    for name, source in todo.select(NAME, SOURCE).orderBy(NAME).collect():
-        copy = _land_parquet if name.endswith(OBJECT_SUFFIX) else _land_lines
-        audit.append((name, source, *copy(spark, source, f"{bronze}/{name}")))
+
+    def copy(row):
+        name, source = row
+        how = _land_parquet if name.endswith(OBJECT_SUFFIX) else _land_lines
+        return name, source, *how(spark, source, f"{bronze}/{name}")
+
+    with ThreadPoolExecutor(COPY_THREADS) as pool:
+        audit = list(pool.map(copy, todo.select(NAME, SOURCE).orderBy(NAME).collect()))
     return spark.createDataFrame(
         audit, f"{NAME} string, {SOURCE} string, n_rows long, fingerprint decimal(38,0)"
     )

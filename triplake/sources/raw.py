@@ -5,9 +5,12 @@ Targets are managed Spark tables, or tables of any database through JDBC.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
@@ -56,26 +59,35 @@ def to_contract(df: DataFrame, schema: StructType, on_null: str = "fail") -> Dat
     """
     if on_null not in ON_NULL:
         raise ValueError(f"on_null must be one of {ON_NULL}: {on_null}")
-    columns = []
-    for field in schema:
-        value = F.col(field.name).cast(field.dataType)
-        if not field.nullable:
-            value = _not_null(value, field, on_null)
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
-
-
-def _not_null(value: Column, field: StructField, on_null: str) -> Column:
-    if on_null == "fail":
-        broken = F.raise_error(F.lit(f"NULL in NOT NULL column {field.name}"))
-        return F.coalesce(value, broken.cast(field.dataType))
-    if isinstance(field.dataType, StringType):
-        default = F.lit("")
-    elif isinstance(field.dataType, NumericType):
-        default = F.lit(0)
-    else:
-        default = F.lit("1970-01-01 00:00:00")
-    return F.coalesce(value, default.cast(field.dataType))
+    values = {f.name: F.col(f.name).cast(f.dataType) for f in schema}
+    required = [f for f in schema if not f.nullable]
+    if on_null == "default":
+        for field in required:
+            values[field.name] = F.coalesce(values[field.name], _default(field.dataType))
+    elif required:
+        # One check on one column: a check on each makes the generated method
+        # longer than the JVM compiles, and the whole scan slower.
+        broken = reduce(or_, (values[f.name].isNull() for f in required))
+        names = ", ".join(f.name for f in required)
+        error = F.raise_error(F.lit(f"NULL in a NOT NULL column, one of: {names}"))
+        first = required[0]
+        checked = F.when(broken, error.cast(first.dataType)).otherwise(values[first.name])
+        values[first.name] = checked
+    return df.select(*(value.alias(name) for name, value in values.items()))
+
+
+def _default(data_type: DataType) -> Column:
+    if isinstance(data_type, StringType):
+        return F.lit("")
+    if isinstance(data_type, NumericType):
+        return F.lit(0).cast(data_type)
+    return F.lit("1970-01-01 00:00:00").cast(data_type)
+
+
+def null_counts(df: DataFrame, schema: StructType) -> DataFrame:
+    """One row: how many NULLs stand in each column that must have none."""
+    required = [f.name for f in schema if not f.nullable]
+    return df.agg(*(F.count_if(F.col(n).isNull()).alias(n) for n in required))
 
 
 def lay_out_trips(df: DataFrame, files: int | None = None) -> DataFrame:

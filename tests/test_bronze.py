@@ -1,3 +1,7 @@
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import rows
 from pyspark.sql import functions as F
@@ -77,6 +81,26 @@ def test_single_files_and_folders_mix(spark, tmp_path):
     assert by_month(found) == {"2023-01": 2, "2023-02": 2}
 
 
+def test_types_that_other_writers_use(spark, tmp_path):
+    """Columns without a type, narrow numbers, coded text and zoned times."""
+    times = [datetime(2023, 1, 5, 10), None]
+    for month, zone in (("01", None), ("02", "UTC")):
+        table = pa.table(
+            {
+                "VendorID": pa.array([1, 2], pa.int32()),
+                "tpep_pickup_datetime": pa.array(times, pa.timestamp("us", tz=zone)),
+                "Airport_fee": pa.nulls(2),
+                "congestion_surcharge": pa.array([1, None], pa.int64()),
+                "store_and_fwd_flag": pa.array(["Y", None]).dictionary_encode(),
+            }
+        )
+        pq.write_table(table, tmp_path / f"yellow_tripdata_2023-{month}.parquet")
+    df = bronze.read_bronze_trips(spark, f"{tmp_path}/*.parquet")
+    names = ["VendorID", "tpep_pickup_datetime", "airport_fee", "congestion_surcharge"]
+    found = [tuple(r) for r in df.select(*names, "store_and_fwd_flag").collect()]
+    assert found == [(1, times[0], None, 1.0, "Y"), (2, None, None, None, None)] * 2
+
+
 def test_names_with_escapes(spark, tmp_path):
     df = rows.trips(spark, {})
     names = {

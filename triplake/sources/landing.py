@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.functions.trips import OBJECT_SUFFIX
+from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX
 from triplake.sources.bronze import glob_objects
 
 NAME, SOURCE = "object_name", "source_path"
@@ -20,6 +20,15 @@ NAME, SOURCE = "object_name", "source_path"
 COPY_THREADS = 8
 
 
+def monthly_objects(
+    spark: SparkSession, source: str, months: list[str], others: list[str]
+) -> DataFrame:
+    """Objects a source delivers for ``months`` (``YYYY-MM``), and others by name."""
+    names = [f"{OBJECT_PREFIX}{month}{OBJECT_SUFFIX}" for month in months] + others
+    rows = [(name, f"{source.rstrip('/')}/{name}") for name in names]
+    return spark.createDataFrame(rows, f"{NAME} string, {SOURCE} string")
+
+
 def missing_objects(wanted: DataFrame, landed: DataFrame, force: bool = False) -> DataFrame:
     """Wanted objects that are not landed; all of them when forced."""
     return wanted if force else wanted.join(landed.select(NAME), NAME, "left_anti")

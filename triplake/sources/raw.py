@@ -32,7 +32,7 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
     ``location`` is a folder all executors share; without it the catalog's own
     warehouse is used.
     """
-    at = f" LOCATION '{location}'" if location else ""
+    at = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     for table, schema, partition in (
         (TRIPS_TABLE, RAW_TRIPS, f"`{MONTH_KEY}` BIGINT"),

@@ -1,7 +1,7 @@
 """Run one stage, or all of them, with spark-submit.
 
     spark-submit --py-files triplake.zip jobs/lakehouse.py refresh \\
-        --bronze s3a://bronze --root s3a://lake --database taxi
+        --bronze s3a://bronze --root s3a://lake --database lakehouse
 
 The session takes master, storage keys and sizes from its own configuration. The
 JDBC password is read from ``spark.triplake.jdbc.password``, never from the

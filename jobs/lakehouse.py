@@ -40,6 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--on-null", choices=ON_NULL, default="fail")
     parser.add_argument("--unmatched", choices=UNMATCHED, default="default")
     parser.add_argument("--money", choices=("double", "decimal"), default="double")
+    parser.add_argument("--gather", action="store_true", help="shuffle silver by month")
     parser.add_argument("--files", type=int, help="split the raw trips into key ranges")
     parser.add_argument("--truncate", action="store_true", help="empty JDBC tables first")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
@@ -113,7 +114,12 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict:
     args = parse(argv)
     lake = stages.Lake(args.bronze, args.root, args.database, args.database_location)
     policy = stages.Policy(
-        args.null_verdict, args.on_null, args.unmatched, args.money, args.files
+        null_verdict=args.null_verdict,
+        on_null=args.on_null,
+        unmatched=args.unmatched,
+        money=args.money,
+        gather=args.gather,
+        files=args.files,
     )
     return STAGES[args.stage](spark, args, lake, policy)
 

@@ -10,6 +10,7 @@ from triplake.operators.quality import trip_rules, zone_rules
 from triplake.schemas import SILVER_TRIPS, ZONES
 from triplake.sources import lake
 
+MIXED_MONTH = datetime(2022, 6, 6)
 MIXED = [
     {},
     {},
@@ -45,6 +46,50 @@ def test_one_pass_stores_what_the_split_gives(spark, tmp_path, null_verdict):
     assert counts["n_unjudged"] == (1 if null_verdict == "drop" else 0)
 
 
+def test_gathered_months_make_few_files(spark, tmp_path):
+    """Rows of 24 months spread over 16 tasks, two thirds of them in one month."""
+    months = [datetime(2021 + i // 12, i % 12 + 1, 5) for i in range(24)] + [MIXED_MONTH] * 48
+    changes = [
+        {"tpep_pickup_datetime": m, "tpep_dropoff_datetime": datetime(2024, 1, 1)} for m in months
+    ]
+    df = prepare_trips(rows.trips(spark, *changes)).withColumn(
+        "source_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    )
+    df = df.crossJoin(spark.range(20)).drop("id").repartition(16)
+    files, counts, stored = [], [], []
+    for gather in (False, True):
+        root = tmp_path / str(gather)
+        counts.append(lake.write_split(df, trip_rules(), str(root), gather=gather))
+        files.append(len(list(root.rglob("*.parquet"))))
+        stored.append(rows.multiset(lake.read_clean(spark, str(root), SILVER_TRIPS)))
+    assert counts[0] == counts[1] == {
+        "n_read": 1440, "n_clean": 1440, "n_quarantined": 0, "n_unjudged": 0,
+    }
+    assert stored[0] == stored[1]
+    assert files[1] <= 30 < 200 < files[0]
+
+
+def test_gathered_hot_month_is_split(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    one = F.broadcast(prepare_trips(rows.trips(spark, {})).drop("trip_id"))
+    ids = spark.range(0, 60_000, 1, 12).select(F.sha2(F.col("id").cast("string"), 256))
+    hot = ids.toDF("trip_id").crossJoin(one)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        lake.write_split(hot, trip_rules(), path, gather=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = [
+        r.n
+        for r in lake.read_clean(spark, path, SILVER_TRIPS)
+        .groupBy("_metadata.file_path")
+        .agg(F.count("*").alias("n"))
+        .collect()
+    ]
+    assert sum(sizes) == 60_000
+    assert max(sizes) < 60_000 / 3
+
+
 def test_folders(spark, tmp_path):
     root = tmp_path / "t"
     lake.write_split(mixed(spark), trip_rules(), str(root))

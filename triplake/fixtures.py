@@ -13,6 +13,7 @@ from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, source_month
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS
 from triplake.sources.bronze import glob_objects
+from triplake.sources.lake import gathered
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,7 +101,7 @@ def trips_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str) -> None:
     """Store trips as a source delivers them: one Parquet object for each month."""
-    trips.write.partitionBy("file_name").parquet(folder)
+    gathered(trips, "file_name").write.partitionBy("file_name").parquet(folder)
     # Spark names the folders after the column as well; objects have plain names.
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -48,12 +48,13 @@ class Policy:
     on_null: str = "fail"
     unmatched: str = "default"
     money: str = "double"
+    gather: bool = False
     files: int | None = None
 
 
 def clean_trips(aligned: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:
     rows = prepare_trips(aligned)
-    return write_split(rows, trip_rules(), lake.trips, policy.null_verdict)
+    return write_split(rows, trip_rules(), lake.trips, policy.null_verdict, policy.gather)
 
 
 def clean_zones(zones: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:

@@ -41,7 +41,7 @@ def split_zones(spark: SparkSession, sf_dir: str) -> quality.Split:
 def stored_trips(spark: SparkSession, sf_dir: str) -> str:
     """Root of a lake folder that holds the judged trips."""
     root = scratch_dir(spark, "trips")
-    lake.write_split(prepared(spark, sf_dir), quality.trip_rules(), root)
+    lake.write_split(prepared(spark, sf_dir), quality.trip_rules(), root, gather=True)
     return root
 
 
@@ -124,7 +124,7 @@ def q_split_stored_apart(spark, sf_dir):
     """Both outputs as datasets of their own, counted by month."""
     root = scratch_dir(spark, "apart")
     paths = f"{root}/silver", f"{root}/quarantine"
-    lake.write_separate(prepared(spark, sf_dir), quality.trip_rules(), *paths)
+    lake.write_separate(prepared(spark, sf_dir), quality.trip_rules(), *paths, gather=True)
     counts = [
         lake.read_dataset(spark, path, SILVER_TRIPS)
         .groupBy("partition_month")

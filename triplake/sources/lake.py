@@ -5,9 +5,11 @@ root are ``verdict=clean`` and ``verdict=quarantine``; below the first there is
 one folder per month. ``write_separate`` writes two datasets at two paths, the
 second flat, and scans the input once for each.
 
-Neither shuffles. The wrong-month rule leaves each bronze object's clean rows in
-a single month, so a task that reads one object writes one clean file, and a
-month with a third of all rows is still written by as many tasks as read it.
+Neither shuffles when trips come from bronze. The wrong-month rule leaves each
+object's clean rows in a single month, so a task that reads one object writes one
+clean file, and a month with a third of all rows is still written by as many tasks
+as read it. Where months are spread over the whole input, every task would write a
+file for each of them; ``gather`` brings a month's rows together first.
 """
 
 from __future__ import annotations
@@ -36,26 +38,40 @@ def _overwrite(df: DataFrame, path: str, *partition_columns: str) -> None:
     writer.partitionBy(*partition_columns).parquet(path)
 
 
+def gathered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows shuffled by ``columns`` into partitions of even size.
+
+    Spark splits a value with many rows over several partitions and merges the
+    small ones, so a hot month costs no single long task.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def write_split(
-    df: DataFrame, rules: list[Rule], root: str, null_verdict: str = "drop"
+    df: DataFrame,
+    rules: list[Rule],
+    root: str,
+    null_verdict: str = "drop",
+    gather: bool = False,
 ) -> dict[str, int]:
     """Judge ``df`` and write clean and quarantined rows under ``root``.
 
-    Returns the row counts. They come from the writing tasks themselves, which
-    Spark counts once per partition, also when lost tasks run again.
+    Returns the row counts. They come from the writing tasks themselves (after a
+    shuffle, if any), which Spark counts once per partition, also when lost tasks
+    run again.
     """
-    judged = judge(df, rules, null_verdict).drop("source_month")
-    counts = Observation("split")
-    kept = judged.observe(counts, *audit_columns(F.col(VERDICT))).filter(
-        F.col(VERDICT).isNotNull()
-    )
-    if MONTH not in df.columns:
-        _overwrite(kept, root, VERDICT)
-    else:
+    rows = judge(df, rules, null_verdict).drop("source_month")
+    folders = [VERDICT]
+    if MONTH in df.columns:
         # Bad pickup times make any number of months, so quarantined rows stay in
         # one folder; read_quarantine derives their month again.
-        month = F.when(F.col(VERDICT) == CLEAN, F.col(MONTH))
-        _overwrite(kept.withColumn(MONTH, month), root, VERDICT, MONTH)
+        rows = rows.withColumn(MONTH, F.when(F.col(VERDICT) == CLEAN, F.col(MONTH)))
+        folders.append(MONTH)
+    if gather:
+        rows = gathered(rows, *folders)
+    counts = Observation("split")
+    rows = rows.observe(counts, *audit_columns(F.col(VERDICT)))
+    _overwrite(rows.filter(F.col(VERDICT).isNotNull()), root, *folders)
     return counts.get
 
 
@@ -65,18 +81,21 @@ def write_separate(
     clean_path: str,
     quarantine_path: str,
     null_verdict: str = "drop",
+    gather: bool = False,
 ) -> dict[str, int]:
     """Write clean rows (by month, if they have one) and quarantined rows apart."""
     parts = split(df, rules, null_verdict)
-    partition_columns = [MONTH] if MONTH in df.columns else []
+    folders = [MONTH] if MONTH in df.columns else []
     written = {}
     for name, part, path, by in (
-        ("n_clean", parts.clean, clean_path, partition_columns),
+        ("n_clean", parts.clean, clean_path, folders),
         ("n_quarantined", parts.quarantine, quarantine_path, []),
     ):
+        rows = part.drop("source_month")
+        if gather and by:
+            rows = gathered(rows, *by)
         count = Observation(name)
-        rows = part.drop("source_month").observe(count, F.count(F.lit(1)).alias("n"))
-        _overwrite(rows, path, *by)
+        _overwrite(rows.observe(count, F.count(F.lit(1)).alias("n")), path, *by)
         written[name] = count.get["n"]
     return written
 

@@ -203,36 +203,25 @@ def copies(rate: Column, *identity: Column) -> Column:
     return (whole + (hash_uniform(*identity) < rate - whole).cast("long")).cast("long")
 
 
-class Mixture(NamedTuple):
-    classifier: Classifier
-    rates: Rates
-
-    def of(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with n_tokens, posteriors, ``rate`` and ``copies``."""
-        rated = posteriors(docs, self.classifier).withColumn("rate", self.rates.column())
-        return rated.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), text_of()))
-
-
-def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> Mixture:
-    classifier = fit_classifier(docs, labels)
-    numbers = posteriors(docs.select("text"), classifier).drop("text")
-    return Mixture(classifier, fit_rates(stored(numbers, "posteriors"), targets))
-
-
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """doc_id, n_tokens, posteriors, rate and copies of each row of ``docs``."""
     rows = docs.select("doc_id", "text")
-    classifier = fit_classifier(rows, labels)
-    bare = posteriors(rows, classifier).withColumn("__identity", F.xxhash64(text_of())).drop("text")
-    numbers = stored(bare, "posteriors")
+    bare = posteriors(rows, fit_classifier(rows, labels))
+    numbers = stored(bare.withColumn("__identity", F.xxhash64(text_of())).drop("text"), "posteriors")
     rated = numbers.withColumn("rate", fit_rates(numbers, targets).column())
     return rated.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), F.col("__identity"))).drop("__identity")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """``docs`` with its columns, every row as often as its rate says."""
+    """``docs`` with its columns, every row as often as its rate says.
+
+    Rows are stored with their posteriors, so that no text is read again for its rate.
+    """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    mixture = fit(docs.select("doc_id", "text"), labels, targets)
-    rated = mixture.of(docs.select(row, "doc_id", "text"))
-    repeated = rated.filter("copies > 0").select("row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
-    return repeated.select("row.*")
+    texts = docs.select(row, "doc_id", "text")
+    with_posteriors = posteriors(texts, fit_classifier(docs.select("doc_id", "text"), labels))
+    identity = F.xxhash64("doc_id", text_of()).alias("identity")
+    kept = stored(with_posteriors.select("*", identity).drop("doc_id", "text"), "posteriors")
+    rated = kept.withColumn("rate", fit_rates(kept, targets).column())
+    repeated = rated.select("row", copies(F.col("rate"), F.col("identity")).alias("copies")).filter("copies > 0")
+    return repeated.select("row", F.explode(F.expr("sequence(1, copies)")).alias("copy")).select("row.*")

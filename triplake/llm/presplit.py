@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ WHITE_SPACE = (
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
 # Words whose ids a worker keeps at a time.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 600_000
 
 
 @lru_cache(1)
@@ -112,7 +113,7 @@ class TextEncoder:
 
     def __init__(self, encode_word: Callable[[bytes], list[int]], added: dict[str, int]):
         self.encode_word = encode_word
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}  # ids as 32-bit numbers
         self.added = {k.encode(): v for k, v in added.items()}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile(b"|".join(map(re.escape, longest_first))) if added else None
@@ -131,10 +132,10 @@ class TextEncoder:
         for word in words:
             found = known.get(word)
             if found is None:
-                found = known[word] = encode(word)
+                found = known[word] = array("i", encode(word)).tobytes()
             ids.append(found)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for w in ids for i in w), np.int64, int(sizes.sum()))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         taken = sizes[index]
         ends = np.append(0, np.cumsum(taken))[np.append(0, np.cumsum(counts))]
         return gather(flat, (np.cumsum(sizes) - sizes)[index], taken), np.diff(ends)

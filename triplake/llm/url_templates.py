@@ -14,7 +14,8 @@ given for hosts and path beginnings come before the templates.
 
 Levels are aggregated from distinct paths with counts. Tables of branch points and
 segments are joined back without collecting any; a host with a third of all pages has
-its distinct paths spread over tasks by segment.
+its distinct paths spread over tasks by segment, and the children of one branch point
+over copies of it.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path, and its
 template is judged as any other; repeated rows are judged alike; without labels no
@@ -33,6 +34,7 @@ from triplake.llm.common import stored
 LEVELS = 8
 MANY, RARE_ROWS, RARE_SHARE = 8, 3, 0.02
 Z = 2.58
+SPREAD = 32
 SMOOTHING, REJECT = 10.0, 0.5
 ALLOW, BLOCK = "allow", "block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -109,6 +111,14 @@ def distinct_paths(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _spread_join(children: DataFrame, points: DataFrame) -> DataFrame:
+    """Children with their branch point. A point of very many children is repeated
+    ``SPREAD`` times and its children are dealt over the copies."""
+    dealt = children.withColumn("spread", F.pmod(F.xxhash64("segment"), F.lit(SPREAD)))
+    copies = points.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("long"))
+    return dealt.join(copies, ["host", "prefix", "spread"]).drop("spread")
+
+
 def _generalised(children: DataFrame) -> DataFrame:
     """For each (host, prefix, segment) the token that stands for it."""
     at = ["host", "prefix"]
@@ -116,9 +126,9 @@ def _generalised(children: DataFrame) -> DataFrame:
     points = children.groupBy(*at).agg(
         F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
     )
-    seen = children.join(points, at).withColumn("rare", rare)
+    seen = _spread_join(children, points).withColumn("rare", rare)
     many = seen.groupBy(*at).agg(F.sum(F.col("rare").cast("long")).alias("n_rare"), F.count(F.lit(1)).alias("n_children"))
-    seen = seen.join(many, at)
+    seen = _spread_join(seen, many)
     share = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
     apart = F.abs(F.col("bad") - F.col("labelled") * share)
     similar = apart <= Z * F.sqrt(F.col("labelled") * share * (1 - share)) + 0.5

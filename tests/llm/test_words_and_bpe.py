@@ -1,0 +1,104 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from triplake.llm import bpe_codec, presplit, repair_files, words
+from triplake.llm.bpe_automaton import automaton
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = [
+    "a", "aa", "b", "'s", "'ll", "'", " ", "  ", "\n", "\t", "\r\n", "1", "23", "²", "é", "ß", "中", "…", "!",
+    "\u00a0", "\u2003", "\x85", "\x1c", "\u200b", "𝒜", "👍🏽", "the ", "in", "tion", "'re'", "don't", "'tis", "<|endoftext|>",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def mixtures(n, seed):
+    pick = random.Random(seed)
+    return ["".join(pick.choice(PIECES) for _ in range(pick.randint(0, 16))) for _ in range(n)]
+
+
+def encoded(texts):
+    return [run.tolist() for run in bpe_codec._runs(pa.array(texts, pa.string()), "byte_bpe_50k.json")]
+
+
+def test_ids_are_the_librarys(library):
+    texts = mixtures(3000, 1) + ["", "x" * 3000, "".join(mixtures(3000, 2))]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(texts) == expected
+    assert encoded([None, "a"]) == [[], library.encode("a").ids]
+
+
+def test_every_code_point_splits_as_in_the_library(library):
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000][::7]
+    text = "".join(f"x{chr(c)}y 1{chr(c)}" for c in points)
+    assert encoded([text]) == [library.encode(text, add_special_tokens=False).ids]
+
+
+def test_decoding_gives_the_text_back():
+    machine, _ = automaton(PATH)
+    for text in mixtures(300, 3):
+        assert machine.decode(encoded([text])[0]).decode() == text
+
+
+def test_round_trips_on_spark(docs):
+    rows = bpe_codec.round_trips(docs("Hello you", None, "", "Hello you")).collect()
+    assert [r.n_tokens for r in rows] == [2, 0, 0, 2]
+    assert rows[0][1:] == rows[3][1:] and rows[1][1:] == rows[2][1:]
+    assert bpe_codec.round_trips(docs()).count() == 0
+
+
+def test_ids_come_back_from_files_in_order(spark, docs, library):
+    texts = mixtures(400, 4) + ["", None]
+    found = {r.doc_id: r for r in repair_files.document_positions(docs(*texts)).collect()}
+    start = 0
+    for i, text in enumerate(texts, 1):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        assert found[i][1:] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert repair_files.document_positions(docs()).count() == 0
+
+
+def test_repeated_rows_and_null_ids_keep_their_places(spark):
+    rows = [(1, "a b"), (1, "a b"), (None, "c"), (None, "c")]
+    found = repair_files.document_positions(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.start for r in found.collect()) == [0, 3, 6, 8]
+    assert {r.start for r in found.collect() if r.doc_id is None} == {6, 8}
+
+
+def test_grammar_expands_to_the_ids_at_any_range():
+    random_ids = np.random.default_rng(5)
+    ids = np.concatenate([random_ids.integers(0, 40, 20000), np.full(999, 7), np.tile([1, 2, 3], 500)])
+    shard = repair_files.Shard(repair_files.pack([1], np.array([len(ids)]), ids, 50257))
+    assert len(shard.symbols) < len(ids) * 0.8
+    assert (shard.ids(0, len(ids)) == ids).all()
+    for a, b in random_ids.integers(0, len(ids), (50, 2)):
+        assert (shard.ids(min(a, b), max(a, b)) == ids[min(a, b) : max(a, b)]).all()
+    assert (repair_files.expand(*repair_files.compress(np.array([5]), 50257)[::-1], 50257) == [5]).all()
+
+
+def test_word_hashes_depend_on_the_bytes_only():
+    texts = ["one two one", "", "two\tone\n", "ß" * 5]
+    part = next(words.slices(pa.array(texts)))
+    found = words.spans(part, words.separators())
+    hashed = words.hashes(part.data, found.starts, found.ends)
+    assert found.counts.tolist() == [3, 0, 2, 1]
+    assert hashed[0] == hashed[2] == hashed[4] and hashed[1] == hashed[3] and len(set(hashed.tolist())) == 3
+    long = b"x" * (words.HASH_BLOCK + 5) + b" y"
+    part = next(words.slices(pa.array([long.decode()])))
+    assert len(words.spans(part, words.separators()).starts) == 2
+
+
+def test_quotes_take_their_suffixes(library):
+    for text in ("'s", "x's", " 's", "\n's", "''s", "'tis 've've", "it'll've", "'ſ", "a 'd"):
+        assert encoded([text]) == [library.encode(text, add_special_tokens=False).ids], text
+    assert presplit.classes()[ord("a")] == presplit.LETTER

@@ -207,9 +207,9 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     """doc_id, n_tokens, posteriors, rate and copies of each row of ``docs``."""
     rows = docs.select("doc_id", "text")
     bare = posteriors(rows, fit_classifier(rows, labels))
-    numbers = stored(bare.withColumn("__identity", F.xxhash64(text_of())).drop("text"), "posteriors")
+    numbers = stored(bare.withColumn("__identity", F.xxhash64("doc_id", text_of())).drop("text"), "posteriors")
     rated = numbers.withColumn("rate", fit_rates(numbers, targets).column())
-    return rated.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), F.col("__identity"))).drop("__identity")
+    return rated.withColumn("copies", copies(F.col("rate"), F.col("__identity"))).drop("__identity")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:

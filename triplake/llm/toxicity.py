@@ -55,6 +55,9 @@ FEATURES = 8192
 LEAST_GAIN = 1.5  # beginnings of common syllables differ by chance
 VOTERS = ("fixed_words", "words", *(f"prefix_{k}" for k in PREFIXES), "density", "masked", "shouting")
 DENSITY = 0.01
+# Voters that are nearly always right differ by a few texts: no sign of a correlation.
+LEAST_SPREAD = 0.02
+LEAST_WEIGHT = 0.5  # with less evidence the classes can run together
 NOT_WORD = separators(bytes(b for b in range(128) if not chr(b).isalnum()))
 
 
@@ -217,11 +220,11 @@ def fit_label_model(counts: dict[int, int], voters: int = len(VOTERS), rounds: i
         for y in (0, 1):
             apart = votes - fires[y]
             spread = (by_class[y][:, None] * apart).T @ apart / max(total[y, 0], 1e-9)
-            scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
+            scale = np.sqrt(np.maximum(np.diag(spread), LEAST_SPREAD))
             correlations[y] = spread / np.outer(scale, scale)
         strength = np.clip(np.abs(correlations).max(axis=0), 0, 1)
         np.fill_diagonal(strength, 0)
-        weights = 1 / (1 + np.where(strength > 0.1, strength, 0).sum(axis=1))
+        weights = np.maximum(1 / (1 + np.where(strength > 0.1, strength, 0).sum(axis=1)), LEAST_WEIGHT)
     return LabelModel(dict(zip(masks.tolist(), posterior)), counts, prior, fires, correlations, weights)
 
 

@@ -325,8 +325,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Toxic
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     read = F.arrow_udf(distinct_features, "binary")
     rows = texts.select("label", read("text").alias("ids")).collect()
+    toxic = np.array([r.label for r in rows], np.int64)
     seen = counted([np.frombuffer(r.ids, "<u4") for r in rows])
-    voting = Voting(induce(seen, np.array([r.label for r in rows], np.int64)))
+    del rows
+    voting = Voting(induce(seen, toxic))
 
     @F.arrow_udf("long")
     def vote(batch: pa.Array) -> pa.Array:
@@ -334,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Toxic
 
     masks = docs.select(vote("text").alias("mask")).groupBy("mask").count().collect()
     model = fit_label_model({r["mask"]: r["count"] for r in masks})
-    target = model.of(training_masks(seen, len(rows), voting, model))
+    target = model.of(training_masks(seen, len(toxic), voting, model))
     return ToxicityModel(model, train_linear(seen, target))
 
 

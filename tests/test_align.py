@@ -51,3 +51,15 @@ def test_undeclared_columns_go_and_order_is_declared(spark):
 def test_union_keeps_copies(spark):
     df = align(rows.trips(spark, {}, {}), BRONZE_TRIPS)
     assert union_aligned([df, df, df]).count() == 6
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_instants_become_utc_wall_time_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instant = spark.sql("select timestamp'2023-01-31 23:30:00 UTC' as tpep_pickup_datetime")
+        row = align(instant, BRONZE_TRIPS).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row.tpep_pickup_datetime == datetime(2023, 1, 31, 23, 30)

@@ -53,6 +53,26 @@ def test_append_adds_and_refresh_replaces(spark, tables):
         assert spark.table(f"{tables}.raw_zones").count() == 1
 
 
+def test_a_failing_refresh_leaves_the_old_rows(spark, tables):
+    zones = rows.zones(spark, (1, "a", "b", "c"))
+    raw.full_refresh(spark, silver(spark, {}, {}), zones, tables)
+    with pytest.raises(Exception, match="NULL in a NOT NULL column"):
+        raw.full_refresh(spark, silver(spark, {"extra": None}), zones, tables)
+    assert trips_of(spark, tables).count() == 2
+    assert spark.table(f"{tables}.raw_zones").count() == 1
+
+
+def test_a_new_catalog_finds_what_was_loaded(spark, database):
+    name, location = database
+    raw.create_tables(spark, name, location)
+    raw.full_refresh(spark, silver(spark, {}), rows.zones(spark, (1, "a", "b", "c")), name)
+    spark.sql(f"DROP TABLE {name}.raw_trips")
+    spark.sql(f"DROP TABLE {name}.raw_zones")
+    raw.create_tables(spark, name, location)
+    assert trips_of(spark, name).count() == 1
+    assert spark.table(f"{name}.raw_zones").count() == 1
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_refresh_leaves_no_old_month(spark, tables, mode):
     old = {"tpep_pickup_datetime": datetime(2022, 3, 1)}

@@ -99,9 +99,11 @@ def trips_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_aligned(align(df, BRONZE_TRIPS, month) for df in trips_drifted(spark, sf_dir))
 
 
-def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str) -> None:
-    """Store trips as a source delivers them: one Parquet object for each month."""
-    gathered(trips, "file_name").write.partitionBy("file_name").parquet(folder)
+def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str, *more: DataFrame) -> None:
+    """Store trips as a source delivers them: one Parquet object for each month. ``more``
+    trips come as further parts of the same objects, in schemas of their own."""
+    for part in (trips, *more):
+        gathered(part, "file_name").write.mode("append").partitionBy("file_name").parquet(folder)
     # Spark names the folders after the column as well; objects have plain names.
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -153,6 +153,7 @@ TAILS = {
         """,
     "align_drifted": "select * from trips_fx",
     "bronze_drifted": "select * from trips_fx",
+    "bronze_mixed_parts": "select * from trips_fx",
     "landing_audit": "select file_name as object_name, count(*) as n_rows from trips_src group by 1",
     "quarantine_stored": "select * from quar",
     "split_stored_apart": """
@@ -174,4 +175,6 @@ TAILS = {
         """,
 }
 
+TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
+
 ORACLES = {name: f"{BASE}{tail}" for name, tail in TAILS.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, STAGING_TRIP_NAMES, STAGING_ZONE_NAMES
-from triplake.sources.raw import TRIPS_TABLE, ZONES_TABLE
+from triplake.sources.raw import TRIPS_TABLE, ZONES_TABLE, new_run
 
 STG_TRIPS, STG_ZONES = "stg_trips", "stg_zones"
 TRIPS_WITH_ZONES = "int_trips_with_zones"
@@ -138,5 +138,11 @@ def create_views(spark: SparkSession, database: str, unmatched: str = "default")
 def build_mart(spark: SparkSession, database: str, money: str = "double") -> DataFrame:
     """Rebuild the mart table from the intermediate view."""
     rows = mart_revenue_by_borough(spark.table(f"`{database}`.{TRIPS_WITH_ZONES}"), money)
-    rows.write.mode("overwrite").saveAsTable(f"`{database}`.{REVENUE_MART}")
-    return spark.table(f"`{database}`.{REVENUE_MART}")
+    # A new folder each time: readers of the old content are not cut off, and a
+    # failing build leaves it in place.
+    name, folder = f"`{database}`.`{REVENUE_MART}`", new_run(spark, database, REVENUE_MART)
+    rows.write.parquet(folder)
+    path = folder.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    return spark.table(name)

@@ -50,6 +50,12 @@ class BronzeGroup(NamedTuple):
     source_month: Column
 
 
+def merged_parts(spark: SparkSession, path: str) -> DataFrame:
+    """An object with the columns of all its part files. Parts that give one column
+    types that do not go together fail here, rather than lose it."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[BronzeGroup]:
     """Objects of the same folder, columns and types, and the same form of name.
 
@@ -58,7 +64,7 @@ def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[Bron
     does not matter, as Parquet columns are read by name.
     """
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
-        schemas = list(pool.map(lambda o: spark.read.parquet(o.path).schema, objects))
+        schemas = list(pool.map(lambda o: merged_parts(spark, o.path).schema, objects))
     groups: dict[tuple, BronzeGroup] = {}
     for obj, schema in zip(objects, schemas):
         columns = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX
-from triplake.sources.bronze import glob_objects
+from triplake.sources.bronze import glob_objects, merged_parts
 
 NAME, SOURCE = "object_name", "source_path"
 
@@ -71,7 +71,7 @@ def verify_landed(spark: SparkSession, audit: DataFrame, bronze: str) -> list[st
     """Audited Parquet objects whose content in bronze is not what was read."""
     changed = []
     for row in audit.filter(F.endswith(NAME, F.lit(OBJECT_SUFFIX))).collect():
-        stored = spark.read.parquet(f"{bronze}/{row[NAME]}")
+        stored = merged_parts(spark, f"{bronze}/{row[NAME]}")
         found = stored.agg(*fingerprint_columns(stored.columns)).first()
         if (found.n_rows, found.fingerprint) != (row.n_rows, row.fingerprint):
             changed.append(row[NAME])
@@ -79,7 +79,7 @@ def verify_landed(spark: SparkSession, audit: DataFrame, bronze: str) -> list[st
 
 
 def _land_parquet(spark: SparkSession, source: str, target: str) -> tuple:
-    delivered = spark.read.parquet(source)
+    delivered = merged_parts(spark, source)
     seen = Observation("landed")
     rows = delivered.observe(seen, *fingerprint_columns(delivered.columns))
     rows.write.mode("overwrite").parquet(target)

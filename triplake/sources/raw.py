@@ -1,10 +1,13 @@
 """Raw layer: typed load targets with a NOT NULL contract, and their loads.
 
-Targets are managed Spark tables, or tables of any database through JDBC.
+Targets are external Spark tables, whose names move to a new folder at every refresh, or
+tables of any database through JDBC.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from functools import reduce
 from operator import or_
 
@@ -14,6 +17,7 @@ from pyspark.sql.types import DataType, NumericType, StringType, StructField, St
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
+from triplake.sources.bronze import glob_objects
 
 TRIPS_TABLE, ZONES_TABLE = "raw_trips", "raw_zones"
 MONTH_KEY = "month_key"
@@ -22,28 +26,57 @@ MONTH_KEY = "month_key"
 TRIPS_ORDER = (MONTH_KEY, "tpep_pickup_datetime", "PULocationID")
 ZONES_ORDER = ("LocationID",)
 
+# Schema and partition column of each table; folders of its contents begin with RUN.
+TABLES = {TRIPS_TABLE: (RAW_TRIPS, MONTH_KEY), ZONES_TABLE: (RAW_ZONES, None)}
+RUN = "run-"
+
 # What a NULL in a NOT NULL column does.
 ON_NULL = ("fail", "default")
 
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and the raw tables where they do not exist.
+    """Create the database, and the raw tables where the catalog does not have them.
 
     ``location`` is a folder all executors share; without it the catalog's own
-    warehouse is used.
+    warehouse is used. Tables are external: a catalog that lives as long as its
+    session finds what an earlier one has loaded in the same folder.
     """
     at = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
-    for table, schema, partition in (
-        (TRIPS_TABLE, RAW_TRIPS, f"`{MONTH_KEY}` BIGINT"),
-        (ZONES_TABLE, RAW_ZONES, ""),
-    ):
-        columns = ", ".join(_column_ddl(field) for field in schema)
-        layout = f", {partition}) USING parquet PARTITIONED BY (`{MONTH_KEY}`)"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}"
-            + (layout if partition else ") USING parquet")
-        )
+    for table in (TRIPS_TABLE, ZONES_TABLE):
+        if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
+            register(spark, database, table, newest_run(spark, database, table))
+
+
+def new_run(spark: SparkSession, database: str, table: str) -> str:
+    """Folder of a table's next content; later runs sort behind earlier ones."""
+    base = spark.catalog.getDatabase(f"`{database}`").locationUri.rstrip("/")
+    return f"{base}/{table}/{RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def newest_run(spark: SparkSession, database: str, table: str) -> str:
+    """The newest folder whose write was committed, or a new one."""
+    base = spark.catalog.getDatabase(f"`{database}`").locationUri.rstrip("/")
+    committed = glob_objects(spark, f"{base}/{table}/{RUN}*/_SUCCESS")
+    return max((o.folder for o in committed), default=new_run(spark, database, table))
+
+
+def register(spark: SparkSession, database: str, table: str, folder: str) -> None:
+    """Have the table's name mean ``folder``. Files of earlier runs stay."""
+    schema, partition = TABLES[table]
+    columns = ", ".join(_column_ddl(field) for field in schema)
+    layout = f", `{partition}` BIGINT) USING parquet PARTITIONED BY (`{partition}`)"
+    name, path = f"`{database}`.`{table}`", folder.replace("'", "\\'")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}"
+        + (layout if partition else ") USING parquet")
+        + f" LOCATION '{path}'"
+    )
+    if partition:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def _column_ddl(field: StructField) -> str:
@@ -110,7 +143,7 @@ def lay_out_trips(df: DataFrame, files: int | None = None) -> DataFrame:
 def truncate(spark: SparkSession, database: str) -> None:
     for table in (TRIPS_TABLE, ZONES_TABLE):
         if spark.catalog.tableExists(f"`{database}`.`{table}`"):
-            spark.sql(f"TRUNCATE TABLE `{database}`.`{table}`")
+            register(spark, database, table, new_run(spark, database, table))
 
 
 def append_trips(
@@ -144,12 +177,26 @@ def full_refresh(
     on_null: str = "fail",
     files: int | None = None,
 ) -> dict[str, int]:
-    """Replace both raw tables. Running it again gives the same tables."""
-    truncate(spark, database)
-    return {
-        TRIPS_TABLE: append_trips(silver_trips, database, on_null, files),
-        ZONES_TABLE: append_zones(silver_zones, database, on_null),
+    """Replace both raw tables. Running it again gives the same tables.
+
+    Both are written to new folders, and the names move there after both writes
+    were committed: a load that fails leaves the old rows in place.
+    """
+    loads = {
+        TRIPS_TABLE: lay_out_trips(to_contract(silver_trips, RAW_TRIPS, on_null), files),
+        ZONES_TABLE: to_contract(silver_zones, RAW_ZONES, on_null).sortWithinPartitions(*ZONES_ORDER),
     }
+    loaded, folders = {}, {}
+    for table, rows in loads.items():
+        folders[table] = new_run(spark, database, table)
+        count = Observation("loaded")
+        writer = rows.observe(count, F.count(F.lit(1)).alias("n")).write
+        partition = TABLES[table][1]
+        writer.partitionBy(*filter(None, [partition])).parquet(folders[table])
+        loaded[table] = count.get["n"]
+    for table, folder in folders.items():
+        register(spark, database, table, folder)
+    return loaded
 
 
 def write_jdbc(

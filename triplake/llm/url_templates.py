@@ -115,7 +115,7 @@ def _spread_join(children: DataFrame, points: DataFrame) -> DataFrame:
     """Children with their branch point. A point of very many children is repeated
     ``SPREAD`` times and its children are dealt over the copies."""
     dealt = children.withColumn("spread", F.pmod(F.xxhash64("segment"), F.lit(SPREAD)))
-    copies = points.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("long"))
+    copies = points.withColumn("spread", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
     return dealt.join(copies, ["host", "prefix", "spread"]).drop("spread")
 
 

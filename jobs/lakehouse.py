@@ -20,7 +20,7 @@ from triplake.plans.models import UNMATCHED
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, SILVER_TRIPS, ZONES
 from triplake.sources.bronze import read_bronze_trips, read_zones_csv
 from triplake.sources.lake import read_clean
-from triplake.sources.landing import land, monthly_objects
+from triplake.sources.landing import monthly_objects
 from triplake.sources.raw import ON_NULL, write_jdbc
 
 JDBC_PASSWORD = "spark.triplake.jdbc.password"
@@ -57,8 +57,7 @@ def stage_land(spark, args, lake, policy):
     wanted = wanted_objects(spark, args, lake)
     if wanted is None:
         raise SystemExit("land needs --source and --months")
-    landed = land(spark, wanted, lake.bronze, args.force)
-    return {row.object_name: row.n_rows for row in landed.collect()}
+    return stages.land_verified(spark, wanted, lake, args.force)
 
 
 def stage_clean_trips(spark, args, lake, policy):

@@ -114,3 +114,42 @@ def test_large_text_object_keeps_one_header(spark, tmp_path, block):
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert sorted(map(repr, found)) == sorted(map(repr, direct))
     assert len(found) == 200
+
+
+def test_text_in_another_encoding(spark, tmp_path):
+    source = tmp_path / ZONES_CSV
+    source.write_bytes("LocationID,Borough,Zone,service_zone\n1, Año ,\"a, b\",x\n2,c\n".encode("latin-1"))
+    target = str(tmp_path / "bronze")
+    audit = landing.land(spark, wanted(spark, (ZONES_CSV, source)), target, encoding="ISO-8859-1")
+    assert [(r.n_rows, r.verified) for r in audit.collect()] == [(2, True)]
+    found = bronze.read_zones_csv(spark, f"{target}/{ZONES_CSV}").collect()
+    assert sorted(tuple(r) for r in found) == [(1, " Año ", "a, b", "x"), (2, "c", None, None)]
+    assert landing.verify_landed(spark, landing.kept_audit(spark, target), target) == []
+
+
+def test_parts_with_other_headers_are_refused(spark, tmp_path):
+    source = tmp_path / ZONES_CSV
+    source.mkdir()
+    (source / "part-0.csv").write_text("LocationID,Borough\n1,a\n")
+    (source / "part-1.csv").write_text("Borough,LocationID\nb,2\n")
+    with pytest.raises(Exception, match="header"):
+        landing.land(spark, wanted(spark, (ZONES_CSV, source)), str(tmp_path / "bronze"))
+
+
+@pytest.mark.parametrize("lines", ["", "LocationID,Borough,Zone,service_zone\n"])
+def test_text_object_without_rows(spark, tmp_path, lines):
+    source, target = tmp_path / ZONES_CSV, str(tmp_path / "bronze")
+    source.write_text(lines)
+    audit = landing.land(spark, wanted(spark, (ZONES_CSV, source)), target).first()
+    assert (audit.n_rows, audit.verified) == (0, True)
+    assert bronze.read_zones_csv(spark, f"{target}/{ZONES_CSV}").count() == 0
+
+
+def test_newest_audit_is_kept(spark, delivered, tmp_path):
+    target = str(tmp_path / "bronze")
+    landing.land(spark, delivered, target)
+    landing.land(spark, delivered, target, force=True)
+    kept = landing.kept_audit(spark, target)
+    assert names_of(kept) == names_of(delivered)
+    assert all(r.verified for r in kept.collect())
+    assert landing.MANIFEST not in names_of(landing.landed_objects(spark, target))

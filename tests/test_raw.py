@@ -107,6 +107,14 @@ def test_every_required_column_is_checked(spark, column):
         raw.to_contract(silver(spark, {}, {column: None}), RAW_TRIPS).collect()
 
 
+def test_the_check_is_not_pruned_away(spark):
+    rows = raw.to_contract(silver(spark, {}, {"extra": None}), RAW_TRIPS)
+    with pytest.raises(PySparkException, match="NOT NULL column"):
+        rows.select("total_amount").collect()
+    with pytest.raises(PySparkException, match="NOT NULL column"):
+        rows.count()
+
+
 def test_null_becomes_the_default(spark, tables):
     raw.append_trips(silver(spark, NULLS), tables, on_null="default")
     row = trips_of(spark, tables).first()

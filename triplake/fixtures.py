@@ -94,6 +94,15 @@ def trips_drifted(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [retyped, shorter, first.select(*reversed(first.columns))]
 
 
+def trips_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips, whose pickups are delivered as instants."""
+    at = F.col("tpep_pickup_datetime")
+    day = F.year(at), F.month(at), F.day(at)
+    time = F.hour(at), F.minute(at), F.extract(F.lit("SECOND"), at)
+    instant = F.make_timestamp(*day, *time, F.lit("UTC"))
+    return trips_source(spark, sf_dir).withColumn("tpep_pickup_datetime", instant)
+
+
 def trips_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = source_month(F.col("file_name")).alias("source_month")
     return union_aligned(align(df, BRONZE_TRIPS, month) for df in trips_drifted(spark, sf_dir))

@@ -102,6 +102,9 @@ TAILS = {
     "partition_month": "select partition_month, count(*) as n from prep group by 1",
     "trips_silver": "select * from silver",
     "trips_quarantine": "select * from quar",
+    "trips_quarantine_all": """
+        select * exclude (bad, source_month) from judged where coalesce(bad, true)
+        """,
     "trips_unjudged": "select * from lost",
     "trips_rule_counts": """
         select count(*) filter (passenger_count is null) as passenger_null, count(*) filter
@@ -136,8 +139,17 @@ TAILS = {
         payment_type) from silver
         """,
     "raw_zones_load": "select * from zsilver",
-    "raw_append_twice": "select count(*) * 2 as n from silver",
-    "raw_full_refresh_twice": "select count(*) as n from silver",
+    "raw_load_defaults": """
+        select * exclude (trip_id, partition_month, source_month) replace (cast(payment_type as
+        bigint) as payment_type, coalesce(tpep_pickup_datetime, timestamp '1970-01-01') as
+        tpep_pickup_datetime, coalesce(tpep_dropoff_datetime, timestamp '1970-01-01') as
+        tpep_dropoff_datetime, coalesce(trip_distance, 0) as trip_distance,
+        coalesce(fare_amount, 0) as fare_amount) from prep
+        """,
+    "loaded_counts": """
+        select 'raw_trips' as table_name, count(*) as n from silver union all
+        select 'raw_zones' as table_name, count(*) as n from zsilver
+        """,
     "landing_missing": "select distinct file_name from trips_src where file_name not like '%1996-%'",
     "stg_trips": "select * from stg_trips",
     "stg_zones": "select * from stg_zones",
@@ -152,9 +164,13 @@ TAILS = {
         as decimal(18,2))) as double) as total_revenue from int_null group by 1
         """,
     "align_drifted": "select * from trips_fx",
+    "align_zoned": "select * from trips_fx",
     "bronze_drifted": "select * from trips_fx",
     "bronze_mixed_parts": "select * from trips_fx",
-    "landing_audit": "select file_name as object_name, count(*) as n_rows from trips_src group by 1",
+    "landing_audit": """
+        select file_name as object_name, count(*) as n_rows, true as verified from trips_src
+        group by 1
+        """,
     "quarantine_stored": "select * from quar",
     "split_stored_apart": """
         select 'clean' as verdict, partition_month, count(*) as n from silver group by 2 union
@@ -176,5 +192,8 @@ TAILS = {
 }
 
 TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
+TAILS["split_audit_stored"] = TAILS["trips_row_audit"]
+TAILS["raw_full_refresh_twice"] = TAILS["raw_trips_load"]
+TAILS["raw_append_twice"] = f"{TAILS['raw_trips_load']} union all {TAILS['raw_trips_load']}"
 
 ORACLES = {name: f"{BASE}{tail}" for name, tail in TAILS.items()}

@@ -52,6 +52,17 @@ class Policy:
     files: int | None = None
 
 
+def land_verified(
+    spark: SparkSession, wanted: DataFrame, lake: Lake, force: bool = False
+) -> dict[str, int]:
+    """Rows by landed object; fails where bronze does not hold what was delivered."""
+    landed = land(spark, wanted, lake.bronze, force).collect()
+    changed = [row.object_name for row in landed if not row.verified]
+    if changed:
+        raise OSError(f"not as delivered, land again by force: {changed}")
+    return {row.object_name: row.n_rows for row in landed}
+
+
 def clean_trips(aligned: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:
     rows = prepare_trips(aligned)
     return write_split(rows, trip_rules(), lake.trips, policy.null_verdict, policy.gather)
@@ -94,8 +105,7 @@ def refresh(
     """
     audit = {}
     if wanted is not None:
-        landed = land(spark, wanted, lake.bronze, force)
-        audit["landed"] = {row.object_name: row.n_rows for row in landed.collect()}
+        audit["landed"] = land_verified(spark, wanted, lake, force)
     trips = read_bronze_trips(spark, f"{lake.bronze}/{lake.trips_pattern}")
     audit["trips"] = clean_trips(trips, lake, policy)
     zones = read_zones_csv(spark, f"{lake.bronze}/{lake.zones_name}")

@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake import fixtures
-from triplake.functions.trips import month_key, prepare_trips, source_month
+from triplake.functions.trips import OBJECT_SUFFIX, month_key, prepare_trips, source_month
 from triplake.operators import quality
+from triplake.operators.align import align
 from triplake.plans import models, refresh
-from triplake.schemas import RAW_TRIPS, RAW_ZONES, SILVER_TRIPS, ZONES
+from triplake.schemas import BRONZE_TRIPS, RAW_TRIPS, RAW_ZONES, SILVER_TRIPS, ZONES
 from triplake.session import scratch_dir
 from triplake.sources import bronze, lake, landing, raw
 
 # A month in the middle of the tables' range.
 PRUNED_MONTH = "1996-03"
-# Objects taken as landed already.
+# Objects that are landed already.
 LANDED_YEAR = "1996-"
 
 
@@ -29,8 +30,8 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_trips(fixtures.trips_aligned(spark, sf_dir))
 
 
-def split_trips(spark: SparkSession, sf_dir: str) -> quality.Split:
-    rows = quality.split(prepared(spark, sf_dir), quality.trip_rules())
+def split_trips(spark: SparkSession, sf_dir: str, null_verdict: str = "drop") -> quality.Split:
+    rows = quality.split(prepared(spark, sf_dir), quality.trip_rules(), null_verdict)
     return quality.Split(*(part.drop("source_month") for part in rows))
 
 
@@ -52,6 +53,13 @@ def stored_zones(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def delivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Names and paths of what was delivered to ``folder``."""
+    objects = bronze.glob_objects(spark, f"{folder}/*{OBJECT_SUFFIX}")
+    rows = [(o.name, o.path) for o in objects]
+    return spark.createDataFrame(rows, f"{landing.NAME} string, {landing.SOURCE} string")
+
+
 def raw_database(spark: SparkSession) -> str:
     """A new database with empty raw tables."""
     location = scratch_dir(spark, "raw")
@@ -72,6 +80,11 @@ def q_source_month(spark, sf_dir):
     )
 
 
+def q_align_zoned(spark, sf_dir):
+    month = source_month(F.col("file_name")).alias("source_month")
+    return align(fixtures.trips_zoned(spark, sf_dir), BRONZE_TRIPS, month)
+
+
 def q_union_months(spark, sf_dir):
     rows = fixtures.trips_union(spark, sf_dir)
     return rows.groupBy("source_month").agg(F.count(F.lit(1)).alias("n"))
@@ -102,6 +115,15 @@ def q_trips_row_audit(spark, sf_dir):
     return judged.agg(*quality.audit_columns(F.col(quality.VERDICT)))
 
 
+def q_split_audit_stored(spark, sf_dir):
+    """The counts that the writing tasks give."""
+    root = scratch_dir(spark, "audit")
+    counts = lake.write_split(prepared(spark, sf_dir), quality.trip_rules(), root, gather=True)
+    names = ("n_read", "n_clean", "n_quarantined", "n_unjudged")
+    schema = ", ".join(f"{name} long" for name in names)
+    return spark.createDataFrame([tuple(counts[name] for name in names)], schema)
+
+
 def q_zones_row_audit(spark, sf_dir):
     judged = quality.judge(fixtures.zones_source(spark, sf_dir), quality.zone_rules())
     counts = judged.agg(*quality.audit_columns(F.col(quality.VERDICT)))
@@ -150,18 +172,16 @@ def q_bronze_mixed_parts(spark, sf_dir):
     early = F.col("VendorID") < 4
     parts = trips.filter(early).drop("airport_fee"), trips.filter(~early)
     fixtures.deliver_trips(spark, parts[0], f"{root}/source", parts[1])
-    delivered = bronze.glob_objects(spark, f"{root}/source/*.parquet")
-    wanted = spark.createDataFrame(
-        [(o.name, o.path) for o in delivered], f"{landing.NAME} string, {landing.SOURCE} string"
-    )
-    landing.land(spark, wanted, f"{root}/bronze")
+    landing.land(spark, delivered(spark, f"{root}/source"), f"{root}/bronze")
     return bronze.read_bronze_trips(spark, f"{root}/bronze/*.parquet")
 
 
 def q_zones_csv(spark, sf_dir):
-    path = scratch_dir(spark, "zones-csv")
-    fixtures.deliver_zones(fixtures.zones_source(spark, sf_dir), path)
-    return bronze.read_zones_csv(spark, path)
+    root, name = scratch_dir(spark, "zones-csv"), "taxi_zone_lookup.csv"
+    fixtures.deliver_zones(fixtures.zones_source(spark, sf_dir), f"{root}/source/{name}")
+    wanted = landing.monthly_objects(spark, f"{root}/source", [], [name])
+    landing.land(spark, wanted, f"{root}/bronze")
+    return bronze.read_zones_csv(spark, f"{root}/bronze/{name}")
 
 
 def q_zones_stored(spark, sf_dir):
@@ -175,10 +195,14 @@ def q_zones_stored(spark, sf_dir):
 
 
 def q_landing_missing(spark, sf_dir):
-    names = fixtures.trips_source(spark, sf_dir).select("file_name").distinct()
-    wanted = names.withColumnRenamed("file_name", landing.NAME)
-    landed = wanted.filter(F.contains(landing.NAME, F.lit(LANDED_YEAR)))
-    missing = landing.missing_objects(wanted, landed)
+    """What is still to be landed after one year was."""
+    root = scratch_dir(spark, "missing")
+    trips = fixtures.trips_source(spark, sf_dir)
+    year = F.contains("file_name", F.lit(LANDED_YEAR))
+    fixtures.deliver_trips(spark, trips.filter(year), f"{root}/source")
+    landing.land(spark, delivered(spark, f"{root}/source"), f"{root}/bronze")
+    wanted = trips.select(F.col("file_name").alias(landing.NAME)).distinct()
+    missing = landing.missing_objects(wanted, landing.landed_objects(spark, f"{root}/bronze"))
     return missing.withColumnRenamed(landing.NAME, "file_name")
 
 
@@ -186,12 +210,9 @@ def q_landing_audit(spark, sf_dir):
     """Every delivered month landed in an empty bronze."""
     root = scratch_dir(spark, "landing")
     fixtures.deliver_trips(spark, fixtures.trips_source(spark, sf_dir), f"{root}/source")
-    delivered = bronze.glob_objects(spark, f"{root}/source/*.parquet")
-    wanted = spark.createDataFrame(
-        [(o.name, o.path) for o in delivered], f"{landing.NAME} string, {landing.SOURCE} string"
-    )
-    audit = landing.land(spark, wanted, f"{root}/bronze")
-    return audit.select(landing.NAME, "n_rows")
+    landing.land(spark, delivered(spark, f"{root}/source"), f"{root}/bronze")
+    audit = landing.kept_audit(spark, f"{root}/bronze")
+    return audit.select(landing.NAME, "n_rows", "verified")
 
 
 # --- raw tables --------------------------------------------------------------
@@ -222,7 +243,23 @@ def q_raw_append_twice(spark, sf_dir):
     silver = lake.read_clean(spark, stored_trips(spark, sf_dir), SILVER_TRIPS)
     for _ in range(2):
         raw.append_trips(silver, database)
-    return spark.table(f"{database}.{raw.TRIPS_TABLE}").agg(F.count(F.lit(1)).alias("n"))
+    return spark.table(f"{database}.{raw.TRIPS_TABLE}").select(*RAW_TRIPS.names)
+
+
+def q_raw_load_defaults(spark, sf_dir):
+    """All trips, faulty ones as well, in a table that takes no NULL."""
+    database = raw_database(spark)
+    trips = lake.gathered(prepared(spark, sf_dir).drop("source_month"), "partition_month")
+    raw.append_trips(trips, database, on_null="default")
+    return spark.table(f"{database}.{raw.TRIPS_TABLE}").select(*RAW_TRIPS.names)
+
+
+def q_loaded_counts(spark, sf_dir):
+    database = raw_database(spark)
+    trips = lake.read_clean(spark, stored_trips(spark, sf_dir), SILVER_TRIPS)
+    zones = lake.read_clean(spark, stored_zones(spark, sf_dir), ZONES)
+    counts = raw.full_refresh(spark, trips, zones, database)
+    return spark.createDataFrame(list(counts.items()), "table_name string, n long")
 
 
 def q_raw_full_refresh_twice(spark, sf_dir):
@@ -231,19 +268,18 @@ def q_raw_full_refresh_twice(spark, sf_dir):
     zones = lake.read_clean(spark, stored_zones(spark, sf_dir), ZONES)
     for _ in range(2):
         raw.full_refresh(spark, trips, zones, database)
-    return spark.table(f"{database}.{raw.TRIPS_TABLE}").agg(F.count(F.lit(1)).alias("n"))
+    return spark.table(f"{database}.{raw.TRIPS_TABLE}").select(*RAW_TRIPS.names)
 
 
 # --- models ------------------------------------------------------------------
 
 
 def q_stg_trips(spark, sf_dir):
-    contract = raw.to_contract(split_trips(spark, sf_dir).clean, RAW_TRIPS)
-    return models.stg_trips(contract)
+    return models.stg_trips(raw.to_types(split_trips(spark, sf_dir).clean, RAW_TRIPS))
 
 
 def q_stg_zones(spark, sf_dir):
-    return models.stg_zones(raw.to_contract(split_zones(spark, sf_dir).clean, RAW_ZONES))
+    return models.stg_zones(raw.to_types(split_zones(spark, sf_dir).clean, RAW_ZONES))
 
 
 def q_int_trips_with_zones(spark, sf_dir, unmatched="default"):
@@ -294,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_month": q_source_month,
     "align_schema": fixtures.trips_aligned,
     "align_drifted": fixtures.trips_union,
+    "align_zoned": q_align_zoned,
     "bronze_drifted": q_bronze_drifted,
     "bronze_mixed_parts": q_bronze_mixed_parts,
     "union_months": q_union_months,
@@ -302,9 +339,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_month": q_partition_month,
     "trips_silver": lambda spark, sf_dir: split_trips(spark, sf_dir).clean,
     "trips_quarantine": lambda spark, sf_dir: split_trips(spark, sf_dir).quarantine,
+    "trips_quarantine_all": lambda spark, sf_dir: split_trips(spark, sf_dir, "quarantine").quarantine,
     "trips_unjudged": lambda spark, sf_dir: split_trips(spark, sf_dir).unjudged,
     "trips_rule_counts": q_trips_rule_counts,
     "trips_row_audit": q_trips_row_audit,
+    "split_audit_stored": q_split_audit_stored,
     "silver_month_pruned": q_silver_month_pruned,
     "quarantine_stored": q_quarantine_stored,
     "split_stored_apart": q_split_stored_apart,
@@ -318,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_trips_load_ranged": partial(q_raw_trips_load, ranged=True),
     "raw_zones_load": q_raw_zones_load,
     "raw_append_twice": q_raw_append_twice,
+    "raw_load_defaults": q_raw_load_defaults,
+    "loaded_counts": q_loaded_counts,
     "raw_full_refresh_twice": q_raw_full_refresh_twice,
     "landing_missing": q_landing_missing,
     "landing_audit": q_landing_audit,

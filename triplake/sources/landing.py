@@ -1,7 +1,7 @@
 """Land delivered objects in bronze: only those not there yet, or all by force.
 
-Each object is copied by a Spark job of its own, part file by part file. The
-driver goes over object names (one per month), never over rows.
+Each object is copied by a Spark job of its own, part file by part file, and read
+back. The driver goes over object names (one per month), never over rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,13 @@ NAME, SOURCE = "object_name", "source_path"
 # Copies that run side by side, so that small objects do not idle the cluster.
 COPY_THREADS = 8
 
+# Audits of all landings are kept in bronze, in a folder that no object is named as.
+MANIFEST = "_landed"
+AUDIT = f"{NAME} string, {SOURCE} string, n_rows long, fingerprint decimal(38,0), verified boolean"
+
+# Text objects are CSV with a header; blanks are kept.
+TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def monthly_objects(
     spark: SparkSession, source: str, months: list[str], others: list[str]
@@ -40,7 +47,7 @@ def landed_objects(spark: SparkSession, bronze: str) -> DataFrame:
     names = [
         (o.name,)
         for o in glob_objects(spark, f"{bronze}/*")
-        if not o.is_folder or o.uri in committed
+        if o.name != MANIFEST and (not o.is_folder or o.uri in committed)
     ]
     return spark.createDataFrame(names, f"{NAME} string")
 
@@ -51,71 +58,82 @@ def fingerprint_columns(columns: list[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash).alias("fingerprint")]
 
 
-def land(spark: SparkSession, wanted: DataFrame, bronze: str, force: bool = False) -> DataFrame:
-    """Copy what is missing and return one audit row per copied object."""
+def delivered(spark: SparkSession, name: str, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """An object's rows, with the columns of all its part files.
+
+    Columns of a text object are strings, as Spark's CSV reader sees them: a short line
+    has NULLs, and fields beyond the header are left out. Parts whose headers differ fail.
+    """
+    if name.endswith(OBJECT_SUFFIX):
+        return merged_parts(spark, path)
+    return spark.read.options(encoding=encoding, enforceSchema=False, **TEXT).csv(path)
+
+
+def land(
+    spark: SparkSession,
+    wanted: DataFrame,
+    bronze: str,
+    force: bool = False,
+    encoding: str = "UTF-8",
+) -> DataFrame:
+    """Copy what is missing and return one audit row per copied object.
+
+    Each copy is read back: ``verified`` tells whether it holds what was delivered. Text
+    in another ``encoding`` is landed as UTF-8. The audit is also kept in bronze.
+    """
     todo = missing_objects(wanted, landed_objects(spark, bronze), force)
 
     def copy(row):
         name, source = row
-        how = _land_parquet if name.endswith(OBJECT_SUFFIX) else _land_lines
-        return name, source, *how(spark, source, f"{bronze}/{name}")
+        target = f"{bronze}/{name}"
+        seen = _write(spark, delivered(spark, name, source, encoding), name, target)
+        return name, source, *seen, _content(delivered(spark, name, target)) == seen
 
     with ThreadPoolExecutor(COPY_THREADS) as pool:
-        audit = list(pool.map(copy, todo.select(NAME, SOURCE).orderBy(NAME).collect()))
-    return spark.createDataFrame(
-        audit, f"{NAME} string, {SOURCE} string, n_rows long, fingerprint decimal(38,0)"
-    )
+        rows = list(pool.map(copy, todo.select(NAME, SOURCE).orderBy(NAME).collect()))
+    audit = spark.createDataFrame(rows, AUDIT)
+    if rows:
+        kept = audit.withColumn("landed_at", F.current_timestamp())
+        kept.coalesce(1).write.mode("append").parquet(f"{bronze}/{MANIFEST}")
+    return audit
+
+
+def kept_audit(spark: SparkSession, bronze: str) -> DataFrame:
+    """The newest audit row of every object that was landed in ``bronze``."""
+    rows = spark.read.parquet(f"{bronze}/{MANIFEST}")
+    columns = [c for c in rows.columns if c not in (NAME, "landed_at")]
+    newest = rows.groupBy(NAME).agg(F.max_by(F.struct(*columns), "landed_at").alias("newest"))
+    return newest.select(NAME, "newest.*")
 
 
 def verify_landed(spark: SparkSession, audit: DataFrame, bronze: str) -> list[str]:
-    """Audited Parquet objects whose content in bronze is not what was read."""
-    changed = []
-    for row in audit.filter(F.endswith(NAME, F.lit(OBJECT_SUFFIX))).collect():
-        stored = merged_parts(spark, f"{bronze}/{row[NAME]}")
-        found = stored.agg(*fingerprint_columns(stored.columns)).first()
-        if (found.n_rows, found.fingerprint) != (row.n_rows, row.fingerprint):
-            changed.append(row[NAME])
-    return changed
-
-
-def _land_parquet(spark: SparkSession, source: str, target: str) -> tuple:
-    delivered = merged_parts(spark, source)
-    seen = Observation("landed")
-    rows = delivered.observe(seen, *fingerprint_columns(delivered.columns))
-    rows.write.mode("overwrite").parquet(target)
-    return seen.get["n_rows"], seen.get["fingerprint"]
+    """Audited objects whose content in bronze is not what was delivered."""
 
+    def as_delivered(row):
+        found = _content(delivered(spark, row[NAME], f"{bronze}/{row[NAME]}"))
+        return found == (row.n_rows, row.fingerprint)
 
-def _land_lines(spark: SparkSession, source: str, target: str) -> tuple:
-    """Copy a text object with a header line as it is, line by line.
+    rows = audit.orderBy(NAME).collect()
+    with ThreadPoolExecutor(COPY_THREADS) as pool:
+        return [row[NAME] for row, same in zip(rows, pool.map(as_delivered, rows)) if not same]
 
-    A large file is read in blocks and each block gives a part file of its own.
-    Readers skip the first line of every file, so each part repeats the header.
-    """
-    lines = spark.read.text(source)
-    first = lines.first()
-    header = first.value if first else ""
-
-    def with_header(batches):
-        started, block = False, None
-        for batch in batches:
-            keep = []
-            for path, start in zip(batch["path"], batch["start"]):
-                # The header line opens the block at a file's start.
-                keep.append(start != 0 or (path, start) == block)
-                block = (path, start)
-            values = batch.loc[keep, ["value"]]
-            if not started and len(batch):
-                started = True
-                yield batch[["value"]].iloc[:1].assign(value=header)
-            yield values
-
-    blocks = lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-    )
-    # One file per task: a file cut by a record limit would lack the header.
-    writer = blocks.mapInPandas(with_header, "value string").write.mode("overwrite")
-    writer.option("maxRecordsPerFile", 0).text(target)
-    return tuple(lines.agg(*fingerprint_columns(["value"])).first())
+
+def _content(rows: DataFrame) -> tuple:
+    if not rows.columns:
+        return 0, None
+    return tuple(rows.agg(*fingerprint_columns(rows.columns)).first())
+
+
+def _write(spark: SparkSession, rows: DataFrame, name: str, target: str) -> tuple:
+    """Store an object; returns what the writing tasks have seen of it."""
+    if not rows.columns:
+        # A text object without a line.
+        spark.createDataFrame([], "value string").write.mode("overwrite").text(target)
+        return 0, None
+    seen = Observation("landed")
+    writer = rows.observe(seen, *fingerprint_columns(rows.columns)).write.mode("overwrite")
+    if name.endswith(OBJECT_SUFFIX):
+        writer.parquet(target)
+    else:
+        writer.options(**TEXT).csv(target)
+    return seen.get["n_rows"], seen.get["fingerprint"]

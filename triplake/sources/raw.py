@@ -84,6 +84,11 @@ def _column_ddl(field: StructField) -> str:
     return f"`{field.name}` {field.dataType.simpleString()}{null}"
 
 
+def to_types(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in the table's columns, order and types. NULLs stay as they are."""
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def to_contract(df: DataFrame, schema: StructType, on_null: str = "fail") -> DataFrame:
     """``df`` in the table's columns, order and types, with its NOT NULL rule kept.
 
@@ -92,21 +97,19 @@ def to_contract(df: DataFrame, schema: StructType, on_null: str = "fail") -> Dat
     """
     if on_null not in ON_NULL:
         raise ValueError(f"on_null must be one of {ON_NULL}: {on_null}")
-    values = {f.name: F.col(f.name).cast(f.dataType) for f in schema}
-    required = [f for f in schema if not f.nullable]
+    rows, required = to_types(df, schema), [f for f in schema if not f.nullable]
     if on_null == "default":
-        for field in required:
-            values[field.name] = F.coalesce(values[field.name], _default(field.dataType))
-    elif required:
-        # One check on one column: a check on each makes the generated method
-        # longer than the JVM compiles, and the whole scan slower.
-        broken = reduce(or_, (values[f.name].isNull() for f in required))
-        names = ", ".join(f.name for f in required)
-        error = F.raise_error(F.lit(f"NULL in a NOT NULL column, one of: {names}"))
-        first = required[0]
-        checked = F.when(broken, error.cast(first.dataType)).otherwise(values[first.name])
-        values[first.name] = checked
-    return df.select(*(value.alias(name) for name, value in values.items()))
+        values = {f.name: F.coalesce(F.col(f.name), _default(f.dataType)) for f in required}
+        return rows.withColumns(values)
+    if not required:
+        return rows
+    # A filter, as reading few of the columns prunes a check that hangs on one of
+    # them; and one check for the row, as one for each column makes the generated
+    # method longer than the JVM compiles.
+    broken = reduce(or_, (F.col(f.name).isNull() for f in required))
+    names = ", ".join(f.name for f in required)
+    error = F.raise_error(F.lit(f"NULL in a NOT NULL column, one of: {names}"))
+    return rows.filter(F.when(broken, error.cast("boolean")).otherwise(F.lit(True)))
 
 
 def _default(data_type: DataType) -> Column:

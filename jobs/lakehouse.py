@@ -35,6 +35,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--database-location", help="folder of the database's tables")
     parser.add_argument("--source", help="folder to land objects from")
     parser.add_argument("--months", help="months to land, as 2023-01,2023-02")
+    parser.add_argument("--only-months", help="months to clean again, the others stay")
     parser.add_argument("--force", action="store_true", help="land what is there as well")
     parser.add_argument("--null-verdict", choices=NULL_VERDICTS, default="drop")
     parser.add_argument("--on-null", choices=ON_NULL, default="fail")
@@ -61,7 +62,7 @@ def stage_land(spark, args, lake, policy):
 
 
 def stage_clean_trips(spark, args, lake, policy):
-    trips = read_bronze_trips(spark, f"{lake.bronze}/{lake.trips_pattern}")
+    trips = read_bronze_trips(spark, f"{lake.bronze}/{lake.trips_pattern}", policy.months)
     return stages.clean_trips(trips, lake, policy)
 
 
@@ -119,6 +120,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict:
         money=args.money,
         gather=args.gather,
         files=args.files,
+        months=tuple(args.only_months.split(",")) if args.only_months else None,
     )
     return STAGES[args.stage](spark, args, lake, policy)
 

@@ -132,6 +132,22 @@ def test_overwrite_is_of_the_whole(spark, tmp_path, mode):
     assert {r.partition_month for r in clean.collect()} == {"2023-01"}
 
 
+def test_only_named_months_are_replaced(spark, tmp_path):
+    root = str(tmp_path / "t")
+    lake.write_split(mixed(spark), trip_rules(), root)
+    # January comes again without a faulty row, and February is not touched.
+    again = mixed(spark).filter((F.col("fare_amount") > 0) & F.col("tpep_pickup_datetime").isNotNull())
+    counts = lake.write_split(again, trip_rules(), root, months=["2023-01", "2023-03"])
+    assert counts == {"n_read": 2, "n_clean": 2, "n_quarantined": 0, "n_unjudged": 0}
+    clean = lake.read_clean(spark, root, SILVER_TRIPS).groupBy("partition_month").count()
+    assert sorted(map(tuple, clean.collect())) == [("2023-01", 2), ("2023-02", 1)]
+    assert lake.read_quarantine(spark, root, SILVER_TRIPS).count() == 0
+    # Then it comes with faulty rows only.
+    lake.write_split(mixed(spark).filter("fare_amount <= 0"), trip_rules(), root, months=["2023-01"])
+    assert lake.read_clean(spark, root, SILVER_TRIPS).first().partition_month == "2023-02"
+    assert lake.read_quarantine(spark, root, SILVER_TRIPS).count() == 2
+
+
 def test_nothing_to_store(spark, tmp_path):
     root = str(tmp_path / "t")
     counts = lake.write_split(mixed(spark).limit(0), trip_rules(), root)

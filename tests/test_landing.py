@@ -153,3 +153,45 @@ def test_newest_audit_is_kept(spark, delivered, tmp_path):
     assert names_of(kept) == names_of(delivered)
     assert all(r.verified for r in kept.collect())
     assert landing.MANIFEST not in names_of(landing.landed_objects(spark, target))
+
+
+def test_schemas_are_read_once(spark, delivered, tmp_path, monkeypatch):
+    target = str(tmp_path / "bronze")
+    audit = landing.land(spark, delivered, target)
+    asked = []
+    merged = bronze.merged_parts
+    monkeypatch.setattr(bronze, "merged_parts", lambda s, path: asked.append(path) or merged(s, path))
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 4
+    assert landing.verify_landed(spark, audit, target) == []
+    assert asked == []
+    # An object that was written over by others is not as the record has it.
+    name = "yellow_tripdata_2023-02.parquet"
+    wider = rows.trips(spark, {}).withColumn("VendorID", F.lit("x")).drop("source_month")
+    wider.write.mode("overwrite").parquet(f"{target}/{name}")
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 3
+    assert [path.rsplit("/", 1)[-1] for path in asked] == [name]
+    assert landing.verify_landed(spark, audit, target) == [name]
+
+
+def test_objects_of_one_schema_are_landed_together(spark, tmp_path):
+    """Other names, odd names, an object without rows and one of several parts."""
+    source, target = tmp_path / "source", str(tmp_path / "bronze")
+    frames = {
+        "a.parquet": rows.trips(spark, {}, {}),
+        "b'=b.parquet": rows.trips(spark, {}),
+        "c c%.parquet": rows.trips(spark, {}, {}, {}),
+        "none.parquet": rows.trips(spark),
+        "parts.parquet": rows.trips(spark, *[{}] * 8).repartition(4),
+    }
+    for name, df in frames.items():
+        df.drop("source_month").write.parquet(str(source / name))
+    pairs = [(name, source / name) for name in frames] + [("renamed.parquet", source / "a.parquet")]
+    for force in (False, True):
+        audit = landing.land(spark, wanted(spark, *pairs), target, force)
+        assert {r.object_name: (r.n_rows, r.verified) for r in audit.collect()} == {
+            "a.parquet": (2, True), "b'=b.parquet": (1, True), "c c%.parquet": (3, True),
+            "none.parquet": (0, True), "parts.parquet": (8, True), "renamed.parquet": (2, True),
+        }
+    assert names_of(landing.landed_objects(spark, target)) == sorted(n for n, _ in pairs)
+    assert landing.verify_landed(spark, landing.kept_audit(spark, target), target) == []
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 16

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from triplake.oracles import ORACLES
 from triplake.queries import QUERIES
-from triplake.fixtures import trips_source, zones_source
+from triplake.fixtures import trips_drifted, trips_source, zones_source
 
 SF_DIR = os.environ.get("TRIPLAKE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,6 +32,14 @@ def test_query(spark, duck, name):
     assert oracle.difference(df, duck, driver.oracle_sql()[name]) == ""
 
 
+def test_deliveries_are_joined_once(spark):
+    """Three drifted deliveries come from one stored join, not from a join each."""
+    parts = trips_drifted(spark, SF_DIR)
+    assert [df.count() > 0 for df in parts] == [True] * 3
+    for df in parts:
+        assert {Path(f).parent.parent.name.split("-")[1] for f in df.inputFiles()} == {"deliveries"}
+
+
 def test_entry(spark):
     rows = {r.borough: (r.trip_count, r.total_revenue) for r in driver.entry(spark).collect()}
     assert len(rows) == 6

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, source_month
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS
-from triplake.sources.bronze import glob_objects
+from triplake.session import scratch_dir
 from triplake.sources.lake import gathered
+from triplake.sources.objects import file_system, glob_objects
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,11 +78,17 @@ def trips_drifted(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The same trips as three deliveries whose schemas have drifted apart: one
     with other numeric types and another case, one with a column missing, one
     with its columns in another order."""
+    root, vendor = scratch_dir(spark, "deliveries"), F.col("VendorID")
+    delivery = F.when(vendor > 4, "retyped").when(vendor > 1, "shorter").otherwise("first")
     trips = trips_source(spark, sf_dir)
-    vendor = F.col("VendorID")
-    retyped = trips.filter(vendor > 4).withColumnsRenamed(
-        {"airport_fee": "Airport_fee", "VendorID": "vendorid"}
+    # Joined and stored once, and not once for each delivery.
+    trips.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(root)
+    stored = spark.read.schema(trips.schema.add("delivery", "string")).parquet(root)
+    retyped, shorter, first = (
+        stored.filter(F.col("delivery") == name).drop("delivery")
+        for name in ("retyped", "shorter", "first")
     )
+    retyped = retyped.withColumnsRenamed({"airport_fee": "Airport_fee", "VendorID": "vendorid"})
     retyped = retyped.withColumns(
         {
             "passenger_count": F.col("passenger_count").cast("bigint"),
@@ -89,8 +96,7 @@ def trips_drifted(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             "vendorid": F.col("vendorid").cast("int"),
         }
     )
-    shorter = trips.filter(vendor.between(2, 4)).drop("airport_fee")
-    first = trips.filter(vendor == 1).drop("congestion_surcharge")
+    shorter, first = shorter.drop("airport_fee"), first.drop("congestion_surcharge")
     return [retyped, shorter, first.select(*reversed(first.columns))]
 
 
@@ -114,11 +120,10 @@ def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str, *more: Dat
     for part in (trips, *more):
         gathered(part, "file_name").write.mode("append").partitionBy("file_name").parquet(folder)
     # Spark names the folders after the column as well; objects have plain names.
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for found in glob_objects(spark, f"{folder}/file_name=*"):
         name = found.name.removeprefix("file_name=")
-        if not fs.rename(hadoop_path(found.path), hadoop_path(f"{folder}/{name}")):
+        (stored, fs), (named, _) = file_system(spark, found.path), file_system(spark, f"{folder}/{name}")
+        if not fs.rename(stored, named):
             raise OSError(f"cannot rename {found.path}")
 
 

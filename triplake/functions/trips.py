@@ -43,17 +43,27 @@ def source_month(name: Column) -> Column:
     return F.regexp_replace(name, around, "")
 
 
-def source_month_of_path(file_path: Column, folder: str, span: tuple[int, int]) -> Column:
-    """Month of the bronze object that holds a file, from the file's URI.
+def _place_in_path(file_path: Column, folder: str) -> Column:
+    """Where the step below ``folder`` (a URI) begins in a file's URI.
 
-    An object is a file or a folder of part files, so its name is the first step
-    below ``folder`` (also a URI) and not the last. Cutting at a known place is
-    several times cheaper than a search, on every row there is.
+    Cutting at a known place is several times cheaper than a search, on every row
+    there is.
     """
     below = "/" + folder.split(":", 1)[-1].strip("/") + "/"
+    return F.instr(file_path, F.lit(below)) + len(below)
+
+
+def name_in_path(file_path: Column, folder: str) -> Column:
+    """Name of the object that holds a file: the first step below ``folder``, not the
+    last, as an object is a file or a folder of part files."""
+    rest = F.substring(file_path, _place_in_path(file_path, folder), F.length(file_path))
+    return F.substring_index(rest, "/", 1)
+
+
+def source_month_of_path(file_path: Column, folder: str, span: tuple[int, int]) -> Column:
+    """Month of the bronze object that holds a file, from the file's URI."""
     start, length = span
-    at = F.instr(file_path, F.lit(below)) + len(below) + start
-    return F.substring(file_path, at, F.lit(length))
+    return F.substring(file_path, _place_in_path(file_path, folder) + start, F.lit(length))
 
 
 def trip_id() -> Column:

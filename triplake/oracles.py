@@ -120,6 +120,11 @@ TAILS = {
         as n_quarantined, count(*) filter (bad is null) as n_unjudged from judged
         """,
     "silver_month_pruned": "select * from silver where partition_month = '1996-03'",
+    "silver_month_rewritten": """
+        select * exclude (bad, source_month), case when bad then 'quarantine' else 'clean' end
+        as verdict from judged where bad is not null
+        and not (source_month = '1996-03' and VendorID > 3)
+        """,
     "zones_csv": """
         select LocationID, Borough, Zone, nullif(service_zone,'') as service_zone from
         zones_fx

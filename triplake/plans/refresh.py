@@ -50,6 +50,8 @@ class Policy:
     money: str = "double"
     gather: bool = False
     files: int | None = None
+    # Source months to clean again; all that there are, where none are named.
+    months: tuple[str, ...] | None = None
 
 
 def land_verified(
@@ -65,7 +67,9 @@ def land_verified(
 
 def clean_trips(aligned: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:
     rows = prepare_trips(aligned)
-    return write_split(rows, trip_rules(), lake.trips, policy.null_verdict, policy.gather)
+    return write_split(
+        rows, trip_rules(), lake.trips, policy.null_verdict, policy.gather, policy.months
+    )
 
 
 def clean_zones(zones: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:
@@ -106,7 +110,7 @@ def refresh(
     audit = {}
     if wanted is not None:
         audit["landed"] = land_verified(spark, wanted, lake, force)
-    trips = read_bronze_trips(spark, f"{lake.bronze}/{lake.trips_pattern}")
+    trips = read_bronze_trips(spark, f"{lake.bronze}/{lake.trips_pattern}", policy.months)
     audit["trips"] = clean_trips(trips, lake, policy)
     zones = read_zones_csv(spark, f"{lake.bronze}/{lake.zones_name}")
     audit["zones"] = clean_zones(zones, lake, policy)

@@ -138,6 +138,19 @@ def q_silver_month_pruned(spark, sf_dir):
     return silver.filter(F.col("partition_month") == PRUNED_MONTH)
 
 
+def q_silver_month_rewritten(spark, sf_dir):
+    """All months stored, then one of them again from a smaller delivery."""
+    root, rules = stored_trips(spark, sf_dir), quality.trip_rules()
+    fewer = prepared(spark, sf_dir).filter(F.col("VendorID") <= 3)
+    lake.write_split(fewer, rules, root, gather=True, months=[PRUNED_MONTH])
+    parts = {
+        quality.CLEAN: lake.read_clean(spark, root, SILVER_TRIPS),
+        quality.QUARANTINE: lake.read_quarantine(spark, root, SILVER_TRIPS),
+    }
+    clean, rejected = (rows.withColumn("verdict", F.lit(name)) for name, rows in parts.items())
+    return clean.unionByName(rejected)
+
+
 def q_quarantine_stored(spark, sf_dir):
     return lake.read_quarantine(spark, stored_trips(spark, sf_dir), SILVER_TRIPS)
 
@@ -345,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trips_row_audit": q_trips_row_audit,
     "split_audit_stored": q_split_audit_stored,
     "silver_month_pruned": q_silver_month_pruned,
+    "silver_month_rewritten": q_silver_month_rewritten,
     "quarantine_stored": q_quarantine_stored,
     "split_stored_apart": q_split_stored_apart,
     "zones_csv": q_zones_csv,

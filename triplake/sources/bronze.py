@@ -9,46 +9,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from triplake.functions.trips import month_span, source_month_of_path
+from triplake.functions.trips import month_span, name_in_path, source_month_of_path
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS, ZONES
+from triplake.sources.manifest import known_schemas
+from triplake.sources.objects import BronzeObject, glob_objects
 
 # Schema look-ups that run side by side on the driver.
 SCHEMA_THREADS = 16
 
 
-class BronzeObject(NamedTuple):
-    name: str
-    path: str
-    uri: str  # encoded, the way Spark reports file paths
-    folder: str  # URI of the folder that holds it
-    is_folder: bool
-
-
-def glob_objects(spark: SparkSession, pattern: str) -> list[BronzeObject]:
-    """Objects on any Hadoop file system that fit ``pattern``, in name order.
-
-    Lists names only: one entry per month, however many part files it has.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.globStatus(path) or []:
-        p = status.getPath()
-        folder = p.getParent().toUri().toString()
-        uri = p.toUri().toString()
-        found.append(BronzeObject(p.getName(), p.toString(), uri, folder, status.isDirectory()))
-    return sorted(found)
-
-
 class BronzeGroup(NamedTuple):
     """Objects that one read takes together."""
 
-    folder: str
     schema: StructType
-    paths: list[str]
+    objects: list[BronzeObject]
+    object_name: Column
     source_month: Column
 
+    @property
+    def paths(self) -> list[str]:
+        return [o.path for o in self.objects]
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(*self.paths)
+
 
 def merged_parts(spark: SparkSession, path: str) -> DataFrame:
     """An object with the columns of all its part files. Parts that give one column
@@ -56,6 +41,13 @@ def merged_parts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def object_schemas(spark: SparkSession, objects: list[BronzeObject]) -> list[StructType]:
+    """The schema of each object: as landed, or else from the footers of its parts."""
+    known = known_schemas(spark, objects)
+    with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
+        return list(pool.map(lambda o: known.get(o.uri) or merged_parts(spark, o.path).schema, objects))
+
+
 def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[BronzeGroup]:
     """Objects of the same folder, columns and types, and the same form of name.
 
@@ -63,36 +55,52 @@ def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[Bron
     makes the plan grow with time. There are few distinct schemas. Column order
     does not matter, as Parquet columns are read by name.
     """
-    with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
-        schemas = list(pool.map(lambda o: merged_parts(spark, o.path).schema, objects))
     groups: dict[tuple, BronzeGroup] = {}
-    for obj, schema in zip(objects, schemas):
+    for obj, schema in zip(objects, object_schemas(spark, objects)):
         columns = tuple(sorted((f.name, f.dataType.simpleString()) for f in schema))
-        start, length = span = month_span(obj.name)
-        if obj.uri.endswith("/" + obj.name):
-            form: object = span
-            path = F.col("_metadata.file_path")
-            month = source_month_of_path(path, obj.folder, span)
-        else:
-            # The URI spells such a name in escapes, so the name stands by itself.
-            form = obj.name
-            month = F.lit(obj.name[start : start + length])
-        new = BronzeGroup(obj.folder, schema, [], month.alias("source_month"))
-        groups.setdefault((obj.folder, columns, form), new).paths.append(obj.path)
+        form = month_span(obj.name) if _plain(obj) else obj.name
+        groups.setdefault((obj.folder, columns, form), group_of(schema, obj)).objects.append(obj)
     return list(groups.values())
 
 
-def read_bronze_trips(spark: SparkSession, pattern: str) -> DataFrame:
-    """All bronze trips in the declared schema, tagged with their object's month."""
+def _plain(obj: BronzeObject) -> bool:
+    """Whether the URI spells the object's name as it is."""
+    return obj.uri.endswith("/" + obj.name)
+
+
+def group_of(schema: StructType, like: BronzeObject) -> BronzeGroup:
+    """A group without objects yet, for objects in the folder and form of ``like``."""
+    if _plain(like):
+        path = F.col("_metadata.file_path")
+        name = name_in_path(path, like.folder)
+        month = source_month_of_path(path, like.folder, month_span(like.name))
+    else:
+        name, month = F.lit(like.name), F.lit(month_of(like.name))
+    return BronzeGroup(schema, [], name.alias("object_name"), month.alias("source_month"))
+
+
+def read_bronze_trips(
+    spark: SparkSession, pattern: str, months: tuple[str, ...] | None = None
+) -> DataFrame:
+    """All bronze trips in the declared schema, tagged with their object's month.
+
+    With ``months`` only the objects of those months are read.
+    """
     objects = glob_objects(spark, pattern)
+    if months is not None:
+        objects = [o for o in objects if month_of(o.name) in months]
     if not objects:
         raise FileNotFoundError(f"no bronze objects at {pattern}")
     return union_aligned(
-        align(spark.read.schema(g.schema).parquet(*g.paths), BRONZE_TRIPS, g.source_month)
-        for g in group_objects(spark, objects)
+        align(g.rows(spark), BRONZE_TRIPS, g.source_month) for g in group_objects(spark, objects)
     )
 
 
+def month_of(name: str) -> str:
+    start, length = month_span(name)
+    return name[start : start + length]
+
+
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup. Columns go by position and the header line is skipped;
     a value that does not fit its type, or is missing, is NULL."""

@@ -10,11 +10,16 @@ object's clean rows in a single month, so a task that reads one object writes on
 clean file, and a month with a third of all rows is still written by as many tasks
 as read it. Where months are spread over the whole input, every task would write a
 file for each of them; ``gather`` brings a month's rows together first.
+
+A run replaces the whole dataset, or with ``months`` what came of the objects of those
+months, and leaves the folders of all others alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -28,13 +33,15 @@ from triplake.operators.quality import (
     judge,
     split,
 )
+from triplake.sources.objects import file_system
 
-MONTH = "partition_month"
+MONTH, SOURCE_MONTH = "partition_month", "source_month"
 
 
-def _overwrite(df: DataFrame, path: str, *partition_columns: str) -> None:
-    """Replace the whole dataset, whatever overwrite mode the session prefers."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+def _overwrite(df: DataFrame, path: str, *partition_columns: str, mode: str = "static") -> None:
+    """Replace the whole dataset (or, if ``dynamic``, the folders that get rows),
+    whatever overwrite mode the session prefers."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     writer.partitionBy(*partition_columns).parquet(path)
 
 
@@ -53,26 +60,50 @@ def write_split(
     root: str,
     null_verdict: str = "drop",
     gather: bool = False,
+    months: Sequence[str] | None = None,
 ) -> dict[str, int]:
     """Judge ``df`` and write clean and quarantined rows under ``root``.
 
-    Returns the row counts. They come from the writing tasks themselves (after a
-    shuffle, if any), which Spark counts once per partition, also when lost tasks
-    run again.
+    ``months`` names source months: only their rows are taken, and only what is stored
+    of those months is replaced, also where nothing is left. It needs rules that keep
+    clean rows in their object's month. Returns the row counts. They come from the
+    writing tasks themselves (after a shuffle, if any), which Spark counts once per
+    partition, also when lost tasks run again.
     """
-    rows = judge(df, rules, null_verdict).drop("source_month")
-    folders = [VERDICT]
+    if months is not None:
+        df = df.filter(F.col(SOURCE_MONTH).isin(list(months)))
+    rows, folders = judge(df, rules, null_verdict), [VERDICT]
     if MONTH in df.columns:
-        # Bad pickup times make any number of months, so quarantined rows stay in
-        # one folder; read_quarantine derives their month again.
-        rows = rows.withColumn(MONTH, F.when(F.col(VERDICT) == CLEAN, F.col(MONTH)))
+        # Bad pickup times make any number of months, so quarantined rows are held by
+        # the month of their object; read_quarantine derives their own again.
+        came = F.col(SOURCE_MONTH) if SOURCE_MONTH in df.columns else F.lit(None)
+        rows = rows.withColumn(MONTH, F.when(F.col(VERDICT) == CLEAN, F.col(MONTH)).otherwise(came))
         folders.append(MONTH)
+    rows = rows.drop(SOURCE_MONTH)
     if gather:
         rows = gathered(rows, *folders)
     counts = Observation("split")
-    rows = rows.observe(counts, *audit_columns(F.col(VERDICT)))
-    _overwrite(rows.filter(F.col(VERDICT).isNotNull()), root, *folders)
-    return counts.get
+    seen = [*audit_columns(F.col(VERDICT))]
+    if months is not None:
+        seen += [F.count_if(held).alias(name) for name, held in _held(months).items()]
+    kept = rows.observe(counts, *seen).filter(F.col(VERDICT).isNotNull())
+    _overwrite(kept, root, *folders, mode="static" if months is None else "dynamic")
+    found = dict(counts.get)
+    for folder in _held(months or ()):
+        if not found.pop(folder):
+            # Rows of an earlier run, none of this one.
+            at, fs = file_system(df.sparkSession, f"{root}/{folder}")
+            fs.delete(at, True)
+    return found
+
+
+def _held(months: Sequence[str]) -> dict[str, Column]:
+    """The folders of ``months``, and which rows they hold."""
+    return {
+        f"{VERDICT}={verdict}/{MONTH}={month}": (F.col(VERDICT) == verdict) & (F.col(MONTH) == month)
+        for month in months
+        for verdict in (CLEAN, QUARANTINE)
+    }
 
 
 def write_separate(

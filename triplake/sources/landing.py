@@ -1,27 +1,35 @@
 """Land delivered objects in bronze: only those not there yet, or all by force.
 
-Each object is copied by a Spark job of its own, part file by part file, and read
-back. The driver goes over object names (one per month), never over rows.
+Parquet objects of one schema are copied together: a job writes them to a folder of its
+own, without a shuffle, and finished objects are moved to their names. Another job reads
+what was delivered and what was landed, and compares their content object by object. The
+driver goes over object names (one per month), never over rows.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX
-from triplake.sources.bronze import glob_objects, merged_parts
-
-NAME, SOURCE = "object_name", "source_path"
-
-# Copies that run side by side, so that small objects do not idle the cluster.
-COPY_THREADS = 8
-
-# Audits of all landings are kept in bronze, in a folder that no object is named as.
-MANIFEST = "_landed"
-AUDIT = f"{NAME} string, {SOURCE} string, n_rows long, fingerprint decimal(38,0), verified boolean"
+from triplake.sources.bronze import BronzeGroup, group_objects, group_of, merged_parts
+from triplake.sources.manifest import (
+    AUDIT,
+    COMMITTED,
+    MANIFEST,
+    NAME,
+    SOURCE,
+    commit_times,
+    keep_audit,
+)
+from triplake.sources.manifest import kept_audit as kept_audit
+from triplake.sources.objects import BronzeObject, file_system, glob_objects
+
+# Objects that are being copied; a name that is no object's, and no column's.
+COPYING = "_copying"
 
 # Text objects are CSV with a header; blanks are kept.
 TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -43,18 +51,19 @@ def missing_objects(wanted: DataFrame, landed: DataFrame, force: bool = False) -
 
 def landed_objects(spark: SparkSession, bronze: str) -> DataFrame:
     """Names that are fully landed: a folder counts once its write was committed."""
-    committed = {marker.folder for marker in glob_objects(spark, f"{bronze}/*/_SUCCESS")}
+    committed = {marker.folder for marker in glob_objects(spark, f"{bronze}/*/{COMMITTED}")}
     names = [
         (o.name,)
         for o in glob_objects(spark, f"{bronze}/*")
-        if o.name != MANIFEST and (not o.is_folder or o.uri in committed)
+        if not o.name.startswith((MANIFEST, COPYING)) and (not o.is_folder or o.uri in committed)
     ]
     return spark.createDataFrame(names, f"{NAME} string")
 
 
 def fingerprint_columns(columns: list[str]) -> list[Column]:
-    """Row count and a hash of the content that does not depend on row order."""
-    row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in columns)).cast("decimal(38,0)")
+    """Row count and a hash of the content that does not depend on the order of rows
+    or columns."""
+    row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in sorted(columns))).cast("decimal(38,0)")
     return [F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash).alias("fingerprint")]
 
 
@@ -78,44 +87,51 @@ def land(
 ) -> DataFrame:
     """Copy what is missing and return one audit row per copied object.
 
-    Each copy is read back: ``verified`` tells whether it holds what was delivered. Text
-    in another ``encoding`` is landed as UTF-8. The audit is also kept in bronze.
+    Copies are read back: ``verified`` tells whether they hold what was delivered. Text
+    in another ``encoding`` is landed as UTF-8, object by object. The audit and the
+    schemas are also kept in bronze.
     """
     todo = missing_objects(wanted, landed_objects(spark, bronze), force)
-
-    def copy(row):
-        name, source = row
-        target = f"{bronze}/{name}"
-        seen = _write(spark, delivered(spark, name, source, encoding), name, target)
-        return name, source, *seen, _content(delivered(spark, name, target)) == seen
-
-    with ThreadPoolExecutor(COPY_THREADS) as pool:
-        rows = list(pool.map(copy, todo.select(NAME, SOURCE).orderBy(NAME).collect()))
+    sources = dict(todo.select(NAME, SOURCE).orderBy(NAME).collect())
+    seen: dict[str, tuple] = {}
+    for name, source in sources.items():
+        if not name.endswith(OBJECT_SUFFIX):
+            seen[name] = _land_text(spark, delivered(spark, name, source, encoding), f"{bronze}/{name}")
+    tables = {n: s for n, s in sources.items() if n.endswith(OBJECT_SUFFIX)}
+    for group in group_objects(spark, [_delivered_object(spark, n, s) for n, s in tables.items()]):
+        seen |= _land_group(spark, group, bronze)
+    times = {_last_step(uri): at for uri, at in commit_times(spark, bronze).items()} if seen else {}
+    rows = [(name, sources[name], *seen[name], times.get(name)) for name in sources]
     audit = spark.createDataFrame(rows, AUDIT)
     if rows:
-        kept = audit.withColumn("landed_at", F.current_timestamp())
-        kept.coalesce(1).write.mode("append").parquet(f"{bronze}/{MANIFEST}")
+        keep_audit(audit, bronze)
     return audit
 
 
-def kept_audit(spark: SparkSession, bronze: str) -> DataFrame:
-    """The newest audit row of every object that was landed in ``bronze``."""
-    rows = spark.read.parquet(f"{bronze}/{MANIFEST}")
-    columns = [c for c in rows.columns if c not in (NAME, "landed_at")]
-    newest = rows.groupBy(NAME).agg(F.max_by(F.struct(*columns), "landed_at").alias("newest"))
-    return newest.select(NAME, "newest.*")
-
-
 def verify_landed(spark: SparkSession, audit: DataFrame, bronze: str) -> list[str]:
     """Audited objects whose content in bronze is not what was delivered."""
+    rows = audit.orderBy(NAME).collect()
+    tables = {row[NAME] for row in rows if row[NAME].endswith(OBJECT_SUFFIX)}
+    objects = [o for o in glob_objects(spark, f"{bronze}/*{OBJECT_SUFFIX}") if o.name in tables]
+    found: dict[str, tuple] = {}
+    for group in group_objects(spark, objects):
+        found |= _contents(spark, group)
+    for row in rows:
+        if row[NAME] not in tables:
+            found[row[NAME]] = _content(delivered(spark, row[NAME], f"{bronze}/{row[NAME]}"))
+    return [row[NAME] for row in rows if found.get(row[NAME]) != (row.n_rows, row.fingerprint)]
 
-    def as_delivered(row):
-        found = _content(delivered(spark, row[NAME], f"{bronze}/{row[NAME]}"))
-        return found == (row.n_rows, row.fingerprint)
 
-    rows = audit.orderBy(NAME).collect()
-    with ThreadPoolExecutor(COPY_THREADS) as pool:
-        return [row[NAME] for row, same in zip(rows, pool.map(as_delivered, rows)) if not same]
+def _last_step(uri: str) -> str:
+    return unquote(uri.rsplit("/", 1)[-1])
+
+
+def _delivered_object(spark: SparkSession, name: str, source: str) -> BronzeObject:
+    """The object at ``source``, by the name it is to be landed under."""
+    found = glob_objects(spark, source)
+    if len(found) != 1:
+        raise FileNotFoundError(f"{len(found)} objects at {source}")
+    return found[0]._replace(name=name)
 
 
 def _content(rows: DataFrame) -> tuple:
@@ -124,16 +140,59 @@ def _content(rows: DataFrame) -> tuple:
     return tuple(rows.agg(*fingerprint_columns(rows.columns)).first())
 
 
-def _write(spark: SparkSession, rows: DataFrame, name: str, target: str) -> tuple:
-    """Store an object; returns what the writing tasks have seen of it."""
+def _contents(spark: SparkSession, group: BronzeGroup) -> dict[str, tuple]:
+    """Content of every object of a group, in one job. An object without rows counts 0."""
+    sums = fingerprint_columns(group.schema.names)
+    found = group.rows(spark).groupBy(group.object_name).agg(*sums).collect()
+    return {o.name: (0, None) for o in group.objects} | {r[0]: (r[1], r[2]) for r in found}
+
+
+def _land_group(spark: SparkSession, group: BronzeGroup, bronze: str) -> dict[str, tuple]:
+    """Copy objects of one schema; their row counts, fingerprints, verdicts and schema."""
+    staged = f"{bronze}/{COPYING}-{uuid.uuid4().hex}"
+    named = group.rows(spark).withColumn(COPYING, group.object_name)
+    named.write.partitionBy(COPYING).parquet(staged)
+    copied = {
+        unquote(o.name.removeprefix(f"{COPYING}=")): o.path
+        for o in glob_objects(spark, f"{staged}/{COPYING}=*")
+    }
+    for obj in group.objects:
+        if obj.name in copied:
+            _move(spark, copied[obj.name], f"{bronze}/{obj.name}")
+        else:
+            # No rows, so no folder.
+            empty = spark.createDataFrame([], group.schema)
+            empty.write.mode("overwrite").parquet(f"{bronze}/{obj.name}")
+    at, fs = file_system(spark, staged)
+    fs.delete(at, True)
+    came = _contents(spark, group)
+    names = {o.name for o in group.objects}
+    landed = [o for o in glob_objects(spark, f"{bronze}/*") if o.name in names]
+    copies = group_of(group.schema, landed[0])
+    copies.objects.extend(landed)
+    there, schema = _contents(spark, copies), group.schema.json()
+    return {name: (*content, there.get(name) == content, schema) for name, content in came.items()}
+
+
+def _move(spark: SparkSession, staged: str, target: str) -> None:
+    """Give a finished copy its name, then the marker that commits it."""
+    (source, fs), (at, _) = file_system(spark, staged), file_system(spark, target)
+    fs.delete(at, True)
+    if not fs.rename(source, at):
+        raise OSError(f"cannot rename {staged}")
+    marker, _ = file_system(spark, f"{target}/{COMMITTED}")
+    fs.create(marker, True).close()
+
+
+def _land_text(spark: SparkSession, rows: DataFrame, target: str) -> tuple:
+    """Store a text object; row count, fingerprint, verdict, and no schema."""
+    name = target.rsplit("/", 1)[-1]
     if not rows.columns:
         # A text object without a line.
         spark.createDataFrame([], "value string").write.mode("overwrite").text(target)
-        return 0, None
+        return 0, None, True, None
     seen = Observation("landed")
-    writer = rows.observe(seen, *fingerprint_columns(rows.columns)).write.mode("overwrite")
-    if name.endswith(OBJECT_SUFFIX):
-        writer.parquet(target)
-    else:
-        writer.options(**TEXT).csv(target)
-    return seen.get["n_rows"], seen.get["fingerprint"]
+    rows = rows.observe(seen, *fingerprint_columns(rows.columns))
+    rows.write.mode("overwrite").options(**TEXT).csv(target)
+    content = seen.get["n_rows"], seen.get["fingerprint"]
+    return *content, _content(delivered(spark, name, target)) == content, None

@@ -17,7 +17,7 @@ from pyspark.sql.types import DataType, NumericType, StringType, StructField, St
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
-from triplake.sources.bronze import glob_objects
+from triplake.sources.objects import file_system, glob_objects
 
 TRIPS_TABLE, ZONES_TABLE = "raw_trips", "raw_zones"
 MONTH_KEY = "month_key"
@@ -67,8 +67,8 @@ def register(spark: SparkSession, database: str, table: str, folder: str) -> Non
     columns = ", ".join(_column_ddl(field) for field in schema)
     layout = f", `{partition}` BIGINT) USING parquet PARTITIONED BY (`{partition}`)"
     name, path = f"`{database}`.`{table}`", folder.replace("'", "\\'")
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+    at, fs = file_system(spark, folder)
+    fs.mkdirs(at)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({columns}"

@@ -14,8 +14,8 @@ given for hosts and path beginnings come before the templates.
 
 Levels are aggregated from distinct paths with counts. Tables of branch points and
 segments are joined back without collecting any; a host with a third of all pages has
-its distinct paths spread over tasks by segment, and the children of one branch point
-over copies of it.
+its distinct paths spread over tasks by segment. Children of one branch point, paths of
+one template and templates of one host are dealt over copies of it.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path, and its
 template is judged as any other; repeated rows are judged alike; without labels no
@@ -111,12 +111,13 @@ def distinct_paths(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _spread_join(children: DataFrame, points: DataFrame) -> DataFrame:
-    """Children with their branch point. A point of very many children is repeated
-    ``SPREAD`` times and its children are dealt over the copies."""
-    dealt = children.withColumn("spread", F.pmod(F.xxhash64("segment"), F.lit(SPREAD)))
-    copies = points.withColumn("spread", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
-    return dealt.join(copies, ["host", "prefix", "spread"]).drop("spread")
+def _spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Rows with what ``groups`` tells of their ``keys``. Rows are dealt by ``by`` over
+    ``SPREAD`` parts of their group, and the group is repeated for those parts only that
+    have rows, so that one of very many rows is no single task's work."""
+    dealt = rows.withColumn("spread", F.pmod(F.xxhash64(by), F.lit(SPREAD)))
+    parts = dealt.select(*keys, "spread").distinct().join(groups, keys)
+    return dealt.join(parts, [*keys, "spread"]).drop("spread")
 
 
 def _generalised(children: DataFrame) -> DataFrame:
@@ -126,9 +127,9 @@ def _generalised(children: DataFrame) -> DataFrame:
     points = children.groupBy(*at).agg(
         F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
     )
-    seen = _spread_join(children, points).withColumn("rare", rare)
+    seen = _spread_join(children, points, at, "segment").withColumn("rare", rare)
     many = seen.groupBy(*at).agg(F.sum(F.col("rare").cast("long")).alias("n_rare"), F.count(F.lit(1)).alias("n_children"))
-    seen = _spread_join(seen, many)
+    seen = _spread_join(seen, many, at, "segment")
     share = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
     apart = F.abs(F.col("bad") - F.col("labelled") * share)
     similar = apart <= Z * F.sqrt(F.col("labelled") * share * (1 - share)) + 0.5
@@ -174,7 +175,7 @@ def judged_templates(rows: DataFrame) -> DataFrame:
     host_share = (F.col("host_bad") + SMOOTHING * overall) / (F.col("host_labelled") + SMOOTHING)
     purity = (F.col("bad") + SMOOTHING * host_share) / (F.col("labelled") + SMOOTHING)
     verdict = F.when(F.col("purity") >= REJECT, BLOCK).otherwise(ALLOW)
-    scored = found.join(hosts, "host").withColumn("purity", purity)
+    scored = _spread_join(found, hosts, ["host"], "template").withColumn("purity", purity)
     return scored.select("host", "template", "purity", verdict.alias("by_template"))
 
 
@@ -186,7 +187,8 @@ def judged_pages(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] =
     url = F.col("url")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     tree = templates(distinct_paths(rows, labels))
-    judged = tree.select("host", "path", "template").join(judged_templates(tree), ["host", "template"])
+    paths = tree.select("host", "path", "template")
+    judged = _spread_join(paths, judged_templates(tree), ["host", "template"], "path")
     found = rows.join(judged, ["host", "path"]).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col("found.verdict"), F.col("by_template"))
     return found.select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"), "template", "purity")

@@ -96,6 +96,11 @@ def test_lookup_is_broadcast_only_when_small(spark):
     assert not hints(models.lookup_side(df, max_rows=19))
     assert not hints(models.lookup_side(df, max_bytes=1000))
     assert hints(models.lookup_side(df.limit(0)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not hints(models.lookup_side(df))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_large_lookup_gives_the_same(spark, monkeypatch):

@@ -23,6 +23,8 @@ UNMATCHED = ("default", "null")
 # A lookup within these bounds is broadcast; a larger one is left to Catalyst.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Negative where the session forbids broadcasts.
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
 ZONE_ATTRIBUTES = ("borough", "zone", "service_zone")
 
@@ -67,9 +69,11 @@ def lookup_side(
 ) -> DataFrame:
     """``df`` marked for broadcast if it is measured to be small, else unchanged.
 
-    The measuring job reads ``max_rows + 1`` rows at most. A larger lookup is
+    A session that forbids broadcasts is obeyed. The measuring job reads ``max_rows + 1`` rows at most. A larger lookup is
     joined as Catalyst sees fit: by shuffle, with hot keys split at run time.
     """
+    if df.sparkSession.conf.get(THRESHOLD).startswith("-"):
+        return df
     width = F.lit(0)
     for field in df.schema:
         text = isinstance(field.dataType, StringType)

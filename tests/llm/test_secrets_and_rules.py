@@ -32,6 +32,24 @@ def test_entropy_finds_keys_and_leaves_words_alone():
     assert secret_scan.entropy_spans(KEY, allow) == []
 
 
+@pytest.mark.parametrize("key", ["qRkZpL9vXwTbNsYdFgHjMc", "qRk2pLvXwTbN8sYdFgHjMc", "aB/dEfGh7jKlMnOpQrStUvWx+zAbCdEfGhIjKlMn"])
+def test_keys_of_few_digits_are_measured(key):
+    assert secret_scan.entropy_spans(f"see {key} there") == [(4, 4 + len(key), "entropy")]
+    assert secret_scan.redact(f"see {key} there", "[x]") == "see [x] there"
+    # Without any digit it counts as a word, as the allow list says.
+    assert secret_scan.entropy_spans(re.sub("[0-9]", "x", key)) == []
+
+
+def test_tokens_that_a_pattern_covers_in_part_are_masked_whole():
+    access = "AKIA" + "QWERTYUIOPASDFGH"
+    for token in (f"{access}/{KEY}wJalrXUtn9F", f"{KEY}_{'0a1b2c3d4e5f' * 2}_{KEY}"):
+        base, spans = secret_scan.find_secrets(f"see {token} there")
+        assert len(base) == 1 and {k for _, _, k in spans} == {base[0][2], "entropy"}
+        assert secret_scan.redact(f"see {token} there", "[x]") == "see [x] there"
+    base, spans = secret_scan.find_secrets(f"password={KEY}")
+    assert base == spans
+
+
 def test_masking_leaves_no_secret_and_keeps_the_rest(docs):
     rows = secret_scan.redact_secrets(docs(f"a password=hunter22 b {KEY} c", None, "", "plain"), "[x]").collect()
     assert [r.text for r in rows] == ["a [x] b [x] c", None, "", "plain"]

@@ -12,8 +12,9 @@ The scan is one Arrow call on the text column: no shuffle, and a text is always
 seen whole.
 
 Defined cases: a NULL or empty text has no spans; equal texts have equal spans;
-base spans are never suppressed; an entropy span that overlaps a base span is left
-out, as the base span says the same. Positions are code points, the end exclusive.
+base spans are never suppressed; an entropy span that lies wholly inside a base span is
+left out, as the base span says the same; one that reaches beyond it stays. Positions
+are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -64,13 +65,12 @@ CLASSES = (
     CharClass("base64", re.compile("[0-9A-Za-z+/=_-]{24,}"), 24, 3.9),
 )
 CANDIDATE = re.compile("[A-Za-z0-9+/=_-]{20,}")
-# A key mixes digits and letters all along; words, paths and dates do not.
+# The entropy of every other string is measured, be its digits ever so few.
 ALLOWED = (
     re.compile(r"[A-Za-z+/=_-]*"),  # no digit: words and names
     re.compile(r"[0-9+/=_-]*"),  # no letter: numbers, dates, rules
     re.compile(r"(?:[A-Za-z]*[/_=+-]+|[A-Za-z]+[0-9]{0,4}[/_=+-]+|[0-9]{1,4}[/_=+-]+)*[A-Za-z]*[0-9]{0,4}"),
 )
-LEAST_DIGITS = 3
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -108,8 +108,7 @@ def window_entropies(run: str, size: int) -> Iterable[tuple[int, float]]:
 
 
 def allowed(string: str, allow: tuple[re.Pattern, ...]) -> bool:
-    digits = sum(ch.isdigit() for ch in string)
-    return digits < LEAST_DIGITS or any(p.fullmatch(string) for p in allow)
+    return any(p.fullmatch(string) for p in allow)
 
 
 def entropy_spans(text: str, allow: tuple[re.Pattern, ...] = ALLOWED) -> list[tuple[int, int, str]]:
@@ -141,7 +140,7 @@ def find_secrets(
     order = lambda s: (s[0], KINDS.index(s[2]))
     base = sorted(base_spans(text), key=order)
     more = [
-        s for s in entropy_spans(text, allow) if not any(b[0] < s[1] and s[0] < b[1] for b in base)
+        s for s in entropy_spans(text, allow) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)
     ]
     return base, sorted(base + more, key=order)
 

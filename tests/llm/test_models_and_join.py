@@ -166,6 +166,35 @@ def test_rates_meet_the_targets_and_keep_the_protected(docs, labels):
     assert kept.columns[-1] == "rate" and kept.count() == rated.agg(F.sum("copies")).first()[0]
 
 
+def rated_shares(spark, shares, hard, n=2000):
+    pick = np.random.default_rng(5)
+    truth = np.eye(3)[pick.choice(3, n, p=shares)]
+    soft = np.exp(10 * truth + pick.normal(0, 1.5, (n, 3)))
+    p = truth if hard else soft / soft.sum(axis=1, keepdims=True)
+    rows = [(int(k), *map(float, x)) for k, x in zip(pick.integers(5, 500, n), p)]
+    rows = spark.createDataFrame(rows, "n_tokens long, p_clean double, p_junk double, p_toxic double").coalesce(1).cache()
+    rates = mixing.fit_rates(rows)
+    rated = rows.withColumn("rate", rates.column())
+    sums = np.array(rated.agg(*(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) for d in mixing.DOMAINS)).first())
+    assert rated.filter("rate < 0 or rate > 1 or (p_clean >= 0.5 and rate < 1)").count() == 0
+    assert sums == pytest.approx(rates.totals)
+    return rates, sums / sums.sum()
+
+
+@pytest.mark.parametrize("hard", [True, False])
+@pytest.mark.parametrize("shares", [(0.62, 0.37, 0.01), (0.4, 0.59, 0.01), (0.25, 0.74, 0.01)])
+def test_rates_reach_the_targets_on_skewed_input(spark, shares, hard):
+    rates, reached = rated_shares(spark, shares, hard)
+    assert rates.met and reached == pytest.approx([mixing.TARGETS[d] for d in mixing.DOMAINS], rel=3e-3)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    with pytest.warns(UserWarning, match="toxic 0 of"):
+        rates, reached = rated_shares(spark, (0.6, 0.4, 0.0), True)
+    assert not rates.met and rates.gap <= mixing.NEAREST
+    assert reached[1] / reached[0] == pytest.approx(0.04 / 0.95, rel=3e-3)
+
+
 def test_pipeline_hands_documents_on(spark):
     docs = table(spark, SF_DIR, "documents")
     names = [name for name, _ in corpus_pipeline.STAGES]

@@ -169,3 +169,20 @@ def test_bad_branches_are_rejected_and_ids_become_wildcards(spark):
     bad = spark.createDataFrame([(i, i >= 200) for i in range(0, 400, 2)], "id long, bad boolean")
     rows = url_templates.judged_pages(pages, bad).groupBy("template", "verdict").count().collect()
     assert {tuple(r) for r in rows} == {("/shop/*/x", "allow", 200), ("/junk/*/x", "block", 200)}
+
+
+def test_many_sections_of_equal_size_are_tested_one_by_one(spark):
+    urls = [f"http://h.net/s{i % 80}/p" for i in range(1600)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    bad = spark.createDataFrame([(i, i % 80 < 4) for i in range(1600)], "id long, bad boolean")
+    rows = url_templates.judged_pages(pages, bad).groupBy("path", "verdict").count().collect()
+    assert {tuple(r) for r in rows} == {(f"/s{i}/p", "block" if i < 4 else "allow", 20) for i in range(80)}
+
+
+def test_paths_are_told_apart_at_any_depth(spark):
+    urls = [f"http://h.net/{'d/' * 11}{'junk' if i < 100 else 'shop'}/x" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    bad = spark.createDataFrame([(i, i < 100) for i in range(200)], "id long, bad boolean")
+    rows = url_templates.judged_pages(pages, bad).collect()
+    assert all(r.template == r.path for r in rows)
+    assert {r.page_id for r in rows if r.verdict == "block"} == set(range(100))

@@ -3,7 +3,8 @@
 Paths are cut into segments, and the tree is built from the root down, one level at a
 time for all hosts together. At each branch point
 
-- rare segments, if there are many of them, become the wildcard ``*``;
+- rare segments, with too few labelled pages to test (fewer than ``TESTED``, however
+  large the branch point), become the wildcard ``*`` if there are many of them;
 - of the others, those whose labelled share of bad pages does not differ from that of
   the whole branch point (a two-sided test at ``Z``) are merged into one branch ``+``;
   those that differ stay as they are.
@@ -19,7 +20,7 @@ one template and templates of one host are dealt over copies of it.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path, and its
 template is judged as any other; repeated rows are judged alike; without labels no
-template is rejected; paths deeper than ``LEVELS`` keep the rest as ``**``.
+template is rejected; paths are walked to their last segment, however deep.
 """
 
 from __future__ import annotations
@@ -31,8 +32,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm.common import stored
 
-LEVELS = 8
-MANY, RARE_ROWS, RARE_SHARE = 8, 3, 0.02
+MANY, TESTED = 8, 5
 Z = 2.58
 SPREAD = 32
 SMOOTHING, REJECT = 10.0, 0.5
@@ -86,10 +86,9 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
 
 
 def segments(path: Column) -> Column:
-    """The parts between slashes; what lies below ``LEVELS`` is one segment."""
+    """The parts between slashes."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    deep = F.concat(F.slice(parts, 1, LEVELS), F.array(F.lit("**")))
-    return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > LEVELS, deep).otherwise(parts)
+    return F.when(path == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 COUNTS = ("n", "labelled", "bad")
@@ -123,9 +122,9 @@ def _spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], by: str) -
 def _generalised(children: DataFrame) -> DataFrame:
     """For each (host, prefix, segment) the token that stands for it."""
     at = ["host", "prefix"]
-    rare = F.col("n") < F.greatest(F.lit(RARE_ROWS), RARE_SHARE * F.col("all_n"))
+    rare = F.col("labelled") < TESTED
     points = children.groupBy(*at).agg(
-        F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
+        F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
     )
     seen = _spread_join(children, points, at, "segment").withColumn("rare", rare)
     many = seen.groupBy(*at).agg(F.sum(F.col("rare").cast("long")).alias("n_rare"), F.count(F.lit(1)).alias("n_children"))
@@ -133,9 +132,11 @@ def _generalised(children: DataFrame) -> DataFrame:
     share = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
     apart = F.abs(F.col("bad") - F.col("labelled") * share)
     similar = apart <= Z * F.sqrt(F.col("labelled") * share * (1 - share)) + 0.5
+    many_rare = F.col("n_rare") >= MANY
+    others = F.col("n_children") - F.when(many_rare, F.col("n_rare")).otherwise(0)
     token = (
-        F.when(F.col("rare") & (F.col("n_rare") >= MANY), "*")
-        .when(similar & (F.col("n_children") - F.col("n_rare") > 1) & ~F.col("rare"), "+")
+        F.when(F.col("rare") & many_rare, "*")
+        .when(similar & (others > 1), "+")
         .otherwise(F.col("segment"))
     )
     return seen.select("host", "prefix", "segment", token.alias("token"))

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,20 @@ def test_toxicity_is_learned_from_rows_that_are_not_held_out(docs, labels):
     assert kept.count() == sum(r.predicted == 0 for r in scored)
 
 
+def test_training_rows_are_taught_by_their_own_votes(docs, labels, monkeypatch):
+    rows, marks = labelled_corpus(docs, labels)
+    rows = rows.withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.upper("text")).otherwise(F.col("text")))
+    found, induce, train = {}, toxicity.induce, toxicity.train_linear
+    monkeypatch.setattr(toxicity, "induce", lambda *a: found.setdefault("lexicons", induce(*a)))
+    monkeypatch.setattr(toxicity, "train_linear", lambda seen, target: train(seen, found.setdefault("target", target)))
+    model = toxicity.fit(rows, marks)
+    chosen = toxicity.training_labels(marks, "toxic", toxicity.is_held_out(), toxicity.TRAINING_ROWS)
+    texts = pa.array([r.text for r in rows.join(chosen, "doc_id").collect()], pa.string())
+    masks = toxicity.Voting(found["lexicons"]).masks(texts)
+    assert len({int(m) >> 5 for m in masks}) > 2
+    assert sorted(found["target"]) == pytest.approx(sorted(model.label_model.of(masks)))
+
+
 def test_models_without_labels_or_rows(docs, labels):
     nothing = labels().filter("false")
     scores = toxicity.toxicity_scores(docs("you idiot", None, ""), nothing).collect()

@@ -9,11 +9,11 @@
    that voters that say the same are not counted twice. It gives every mask a
    posterior.
 3. A logistic regression over words and word beginnings is trained on the posteriors of
-   the training rows, and scores every text.
+   the training rows, each by its own votes, and scores every text.
 
 The training rows are at most ``TRAINING_ROWS`` labelled rows that are not held out.
-What reaches the driver is bounded: hashed features of these rows and one count for
-each vote mask.
+What reaches the driver is bounded: hashed features and votes of these rows and one
+count for each vote mask.
 
 Defined cases: a NULL or empty text scores as a text without any feature; rows of
 equal text score alike; without training labels the induced lexicons are empty and the
@@ -324,9 +324,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Toxic
     chosen = training_labels(labels, "toxic", is_held_out(), limit)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     read = F.arrow_udf(distinct_features, "binary")
-    rows = texts.select("label", read("text").alias("ids")).collect()
+    row = [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]
+    rows = texts.select(*row, "label", read("text").alias("ids")).collect()
     toxic = np.array([r.label for r in rows], np.int64)
     seen = counted([np.frombuffer(r.ids, "<u4") for r in rows])
+    keys = [(r.doc_id, r.text_hash) for r in rows]
     del rows
     voting = Voting(induce(seen, toxic))
 
@@ -336,25 +338,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Toxic
 
     masks = docs.select(vote("text").alias("mask")).groupBy("mask").count().collect()
     model = fit_label_model({r["mask"]: r["count"] for r in masks})
-    target = model.of(training_masks(seen, len(toxic), voting, model))
+    own = {(r.doc_id, r.text_hash): r.mask for r in texts.select(*row, vote("text").alias("mask")).collect()}
+    target = model.of(np.array([own[k] for k in keys], np.int64))
     return ToxicityModel(model, train_linear(seen, target))
 
 
-def training_masks(seen: Counted, n: int, voting: Voting, model: LabelModel) -> np.ndarray:
-    """Vote masks of the training texts, by the voters that read distinct features; the
-    others (density and patterns) are taken as most texts with these votes have them."""
-    low = np.zeros(n, np.int64)
-    for i, lexicon in enumerate((fixed_lexicon(), *voting.lexicons)):
-        fires = np.isin(seen.ids, lexicon)[seen.column]
-        low |= (np.bincount(seen.row[fires], minlength=n) > 0).astype(np.int64) << i
-    read = (1 << (1 + len(voting.lexicons))) - 1
-    usual: dict[int, int] = {}
-    for mask, count in model.counts.items():
-        if count > model.counts.get(usual.get(mask & read, -1), 0):
-            usual[mask & read] = mask
-    return np.array([usual.get(x, x) for x in low.tolist()], np.int64)
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``."""
     model = fit(docs, labels)

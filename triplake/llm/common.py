@@ -23,6 +23,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS, SMALL_BYTES = 200_000, 32 << 20
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to be small, else as it is, for
+    Spark to join by shuffle. It should be stored, as it is read twice."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
+
+
+# Keys that count as frequent, at most.
+FREQUENT = 4096
+
+
+def join_counted(rows: DataFrame, lookup: DataFrame, key: str, count: str = "n") -> DataFrame:
+    """Inner join with a lookup of one row for each key, which counts the key's ``rows``.
+
+    Keys with more than a 4096th of all counted rows, of which there are no more than
+    4096, are broadcast: their rows stay where they are. The others are joined by shuffle.
+    ``rows`` and ``lookup`` should be stored, as both are read for either part.
+    """
+    total = lookup.agg(F.sum(count)).first()[0] or 0
+    often = F.col(count) > total / FREQUENT
+    frequent = F.broadcast(lookup.filter(often))
+    known = rows.join(frequent, key)
+    rest = rows.join(frequent.select(key), key, "left_anti").join(lookup.filter(~often), key)
+    return known.unionByName(rest)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, where a NULL counts as an empty one."""
     return F.coalesce(F.col(column), F.lit(""))

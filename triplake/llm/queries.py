@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from triplake.llm import (
     bpe_codec,
+    circulant_minhash,
+    conversation_repair,
+    merkle_manifest,
     mixing,
     ngram_join,
     quality_classifier,
@@ -91,6 +94,18 @@ def op10_repair_files(spark, sf_dir):
     return repair_files.document_positions(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_circulant_minhash(spark, sf_dir):
+    return circulant_minhash.deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: _with_workers(f)
     for f in (
@@ -104,5 +119,8 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_secret_scan,
         op10_repair_files,
+        op11_conversation_repair,
+        op12_circulant_minhash,
+        op13_merkle_manifest,
     )
 }

@@ -42,14 +42,15 @@ def join_counted(rows: DataFrame, lookup: DataFrame, key: str, count: str = "n")
     """Inner join with a lookup of one row for each key, which counts the key's ``rows``.
 
     Keys with more than a 4096th of all counted rows, of which there are no more than
-    4096, are broadcast: their rows stay where they are. The others are joined by shuffle.
+    4096, are broadcast: their rows stay where they are. The others are joined by shuffle,
+    or broadcast as well where they are counted to be few.
     ``rows`` and ``lookup`` should be stored, as both are read for either part.
     """
     total = lookup.agg(F.sum(count)).first()[0] or 0
     often = F.col(count) > total / FREQUENT
     frequent = F.broadcast(lookup.filter(often))
     known = rows.join(frequent, key)
-    rest = rows.join(frequent.select(key), key, "left_anti").join(lookup.filter(~often), key)
+    rest = rows.join(frequent.select(key), key, "left_anti").join(small_side(lookup.filter(~often)), key)
     return known.unionByName(rest)
 
 

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -186,3 +188,44 @@ def test_paths_are_told_apart_at_any_depth(spark):
     rows = url_templates.judged_pages(pages, bad).collect()
     assert all(r.template == r.path for r in rows)
     assert {r.page_id for r in rows if r.verdict == "block"} == set(range(100))
+
+
+HOSTILE = (
+    "a" + "-" * 100_000 + "12345xx",
+    "total" + "=" * 100_000 + "20231105",
+    "a_" * 50_000 + "12345x",
+    "token" * 20_000,
+    "token" + " " * 100_000 + "x",
+    "secret=" * 20_000,
+)
+
+
+@pytest.mark.parametrize("text", HOSTILE, ids=range(len(HOSTILE)))
+def test_long_runs_of_separators_are_read_once(text):
+    began = time.process_time()
+    secret_scan.find_secrets(text)
+    assert time.process_time() - began < 1
+
+
+def plain_base(text):
+    """The three patterns as the task words them; short matches are dropped afterwards."""
+    assign = r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    found = [(*m.span(), 0) for m in re.finditer(assign, text, re.I | re.A) if len(m[1]) >= 6]
+    found += [(*m.span(), 1) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(*m.span(), 2) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted((s, k, e) for s, e, k in found)
+
+
+def test_query_columns_against_plain_patterns(spark, docs):
+    rng = random.Random(4)
+    bits = ["password", "Token", "api_key", "API KEY", "apikey", ":", "=", " ", "'", '"', "AKIA", "ABCD1234" * 3, "0a" * 13]
+    bits += ["x/y", "é", "\n", "abc", "secret=", "hunter22", "z" * 40, "-" * 30, "K\u017f", "pa\u017fsword=abcdefgh"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(40))) for _ in range(400)] + ["", None, *HOSTILE]
+    rows = secret_scan.scan_secrets(docs(*texts)).collect()
+    for text, row in zip(texts, sorted(rows, key=lambda r: r.doc_id)):
+        base = plain_base(text or "")
+        names = ("assign", "access", "hex")
+        written = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in base)
+        assert row.base == written
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == n for _, k, _ in base) for n in range(3)]
+        assert set(written.split(",")) - {""} <= set(row.spans.split(","))

@@ -69,7 +69,9 @@ CANDIDATE = re.compile("[A-Za-z0-9+/=_-]{20,}")
 ALLOWED = (
     re.compile(r"[A-Za-z+/=_-]*"),  # no digit: words and names
     re.compile(r"[0-9+/=_-]*"),  # no letter: numbers, dates, rules
-    re.compile(r"(?:[A-Za-z]*[/_=+-]+|[A-Za-z]+[0-9]{0,4}[/_=+-]+|[0-9]{1,4}[/_=+-]+)*[A-Za-z]*[0-9]{0,4}"),
+    # Names with up to four digits, joined by separators. Every part is taken for good, so
+    # that a string is read once, whatever follows a long run of separators.
+    re.compile(r"(?:[A-Za-z]*+[0-9]{0,4}+[/_=+-]++)*+[A-Za-z]*+[0-9]{0,4}+"),
 )
 
 

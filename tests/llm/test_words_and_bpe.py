@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -78,7 +79,7 @@ def test_repeated_rows_and_null_ids_keep_their_places(spark):
 def test_grammar_expands_to_the_ids_at_any_range():
     random_ids = np.random.default_rng(5)
     ids = np.concatenate([random_ids.integers(0, 40, 20000), np.full(999, 7), np.tile([1, 2, 3], 500)])
-    shard = repair_files.Shard(repair_files.pack([1], np.array([len(ids)]), ids, 50257))
+    shard = repair_files.Shard(repair_files.pack([1], np.array([len(ids)]), ids, 50257)[0])
     assert len(shard.symbols) < len(ids) * 0.8
     assert (shard.ids(0, len(ids)) == ids).all()
     for a, b in random_ids.integers(0, len(ids), (50, 2)):
@@ -102,3 +103,20 @@ def test_quotes_take_their_suffixes(library):
     for text in ("'s", "x's", " 's", "\n's", "''s", "'tis 've've", "it'll've", "'ſ", "a 'd"):
         assert encoded([text]) == [library.encode(text, add_special_tokens=False).ids], text
     assert presplit.classes()[ord("a")] == presplit.LETTER
+
+
+def test_no_pair_that_pays_is_left():
+    rng = np.random.default_rng(6)
+    for high, runs in ((30, 0), (300, 40), (5000, 200)):
+        ids = np.concatenate([rng.integers(0, high, 6000), np.full(runs, 3), np.tile([4, 4, 5], runs)])
+        rules, symbols = repair_files.compress(ids, 50257)
+        assert (repair_files.expand(symbols, rules, 50257) == ids).all()
+        assert len(rules) < repair_files.SYMBOLS - 50257
+        # A round over what is left: pairs that come often enough, every other one in a run.
+        pairs = list(zip(symbols.tolist(), symbols[1:].tolist()))
+        often = {p for p, n in Counter(pairs).items() if n >= repair_files.LEAST_USES}
+        uses, run = Counter(), 0
+        for pair in pairs:
+            run = run + 1 if pair in often else 0
+            uses[pair] += run % 2
+        assert max(uses.values(), default=0) < repair_files.LEAST_USES

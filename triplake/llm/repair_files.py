@@ -3,8 +3,10 @@
 Documents are put in order of doc_id by one range shuffle of their texts. Each task
 encodes its texts with the tokenizers library, one distinct word at a time, and cuts
 its ids into shards of bounded size. In a shard the most frequent pairs of ids are
-replaced by nonterminals, round after round, until no pair pays any more. A shard is
-one row of a Parquet file: where it begins in its part, and a payload of
+replaced by nonterminals, many in a round, until a round over all pairs (of those that
+overlap, every other one counts) finds none that pays, or the numbers for nonterminals
+are used up. A shard is one row of a Parquet file: where it begins in its part, and a
+payload of
 
     magic, five counts | doc ids, their NULL marks | ids of each document
     | rules (left, right) | expansion length of each rule | symbols
@@ -28,7 +30,8 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +50,9 @@ END_ID = 2
 SHARD_IDS = 1 << 19
 # A rule costs eight bytes, a replaced pair saves two.
 LEAST_USES = 8
-RULES_A_ROUND = 4096
-ROUNDS = 10
+PAIRS_A_ROUND = 4096
 SYMBOLS = 1 << 16
+SLOT_BITS = 18
 
 
 @lru_cache(2)
@@ -70,54 +73,88 @@ def library_encoder(path: str) -> TextEncoder:
 # --- one shard ----------------------------------------------------------------
 
 
-def _frequent_pairs(codes: np.ndarray, room: int) -> np.ndarray:
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+
+
+def _frequent_pairs(codes: np.ndarray, slots: np.ndarray, most: int) -> np.ndarray:
     """Codes of the most frequent pairs, ascending."""
     # Counts of hashed codes are never too small: what stays below is not sorted.
-    slot = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
-    crowded = np.bincount(slot.astype(np.int64), minlength=1 << 18) >= LEAST_USES
-    values, counts = np.unique(codes[crowded[slot.astype(np.int64)]], return_counts=True)
+    crowded = np.bincount(slots, minlength=1 << SLOT_BITS) >= LEAST_USES
+    values, counts = np.unique(codes[crowded[slots]], return_counts=True)
     values, counts = values[counts >= LEAST_USES], counts[counts >= LEAST_USES]
-    best = np.lexsort((values, -counts))[: min(room, RULES_A_ROUND)]
-    return np.sort(values[best])
+    return np.sort(values[np.lexsort((values, -counts))[:most]])
+
+
+def _places(codes: np.ndarray, slots: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where chosen pairs are, and which of them each is."""
+    marked = np.zeros(1 << SLOT_BITS, bool)
+    marked[_slots(chosen)] = True
+    place = np.flatnonzero(marked[slots])
+    pair = np.searchsorted(chosen, codes[place])
+    pair[pair == len(chosen)] = 0
+    same = chosen[pair] == codes[place] if len(chosen) else np.zeros(0, bool)
+    return place[same], pair[same]
+
+
+class Uses(NamedTuple):
+    """Places at which pairs that pay are replaced, and which pair each is."""
+
+    place: np.ndarray
+    pair: np.ndarray
+    paid: np.ndarray  # of all pairs
+
+
+def _uses(place: np.ndarray, pair: np.ndarray, n: int) -> Uses:
+    """Of pairs that overlap, every other one is replaced, from the left."""
+    order = np.arange(len(place))
+    opens = np.append(True, np.diff(place) != 1)[: len(place)]
+    first = np.maximum.accumulate(np.where(opens, order, 0)) if len(place) else order
+    apart = (order - first) % 2 == 0
+    place, pair = place[apart], pair[apart]
+    paid = np.bincount(pair, minlength=n) >= LEAST_USES
+    return Uses(place[paid[pair]], pair[paid[pair]], paid)
 
 
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rules, symbols): rule i is the pair that nonterminal ``terminals + i`` stands for."""
-    symbols = ids.astype(np.uint64)
-    rules = np.zeros((0, 2), np.uint64)
-    for _ in range(ROUNDS):
+    """(rules, symbols): rule i is the pair that nonterminal ``terminals + i`` stands for.
+
+    All pairs are counted once. After a round no old pair has become more frequent, so
+    the next one counts pairs with a new nonterminal only; all are counted again where
+    pairs had to wait for a later round, and at the end, where no use must be left that pays.
+    """
+    symbols = ids.astype(np.uint32)
+    rules = np.zeros((0, 2), np.uint32)
+    newest = 0  # pairs with a symbol from here on are counted
+    while True:
         room = SYMBOLS - terminals - len(rules)
         if len(symbols) < 2 or room <= 0:
             break
-        codes = (symbols[:-1] << np.uint64(16)) | symbols[1:]
-        chosen = _frequent_pairs(codes, room)
-        if not len(chosen):
-            break
-        rule = np.searchsorted(chosen, codes)
-        rule[rule == len(chosen)] = 0
-        hit = chosen[rule] == codes
-        # Of pairs that overlap, every other one is replaced, from the left.
-        place = np.arange(len(codes))
-        opens = hit & ~np.append(False, hit[:-1])
-        run = np.maximum.accumulate(np.where(opens, place, 0))
-        hit &= (place - run) % 2 == 0
-        uses = np.bincount(rule[hit], minlength=len(chosen))
-        paid = uses >= LEAST_USES
-        if not paid.any():
-            break
-        hit &= paid[rule]
-        number = np.cumsum(paid) - 1 + terminals + len(rules)
-        at = np.flatnonzero(hit)
-        symbols[at] = number[rule[at]].astype(np.uint64)
+        codes = (symbols[:-1] << np.uint32(16)) | symbols[1:]
+        at = None
+        if newest:
+            new = symbols >= newest
+            at = np.flatnonzero(new[:-1] | new[1:])
+            codes = codes[at]
+        slots, most = _slots(codes), min(room, PAIRS_A_ROUND)
+        chosen = _frequent_pairs(codes, slots, most)
+        place, pair = _places(codes, slots, chosen)
+        place = place if at is None else at[place]
+        found = _uses(place, pair, len(chosen))
+        if not found.paid.any():
+            if not newest:
+                break
+            newest = 0
+            continue
+        place, pair, paid = found
+        number = (np.cumsum(paid) - 1 + terminals + len(rules)).astype(np.uint32)
+        symbols[place] = number[pair]
         stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
-        before = len(symbols)
+        stay[place + 1] = False
         symbols = symbols[stay]
+        newest = 0 if len(chosen) == most else terminals + len(rules)
         made = chosen[paid]
-        pairs = np.stack([made >> np.uint64(16), made & np.uint64(0xFFFF)], axis=1)
-        rules = np.concatenate([rules, pairs])
-        if before - len(symbols) < before // 200:
-            break
+        rules = np.concatenate([rules, np.stack([made >> np.uint32(16), made & np.uint32(0xFFFF)], axis=1)])
     return rules, symbols
 
 
@@ -143,10 +180,11 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
     return symbols
 
 
-def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, terminals: int) -> bytes:
+def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, terminals: int) -> tuple[bytes, int]:
+    """The payload of a shard, and its number of symbols."""
     rules, symbols = compress(ids, terminals)
     head = struct.pack("<4s5q", MAGIC, len(doc_ids), len(ids), terminals, len(rules), len(symbols))
-    return b"".join(
+    parts = b"".join(
         [
             head,
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
@@ -157,6 +195,7 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, termina
             symbols.astype("<u2").tobytes(),
         ]
     )
+    return parts, len(symbols)
 
 
 class Shard:
@@ -176,8 +215,21 @@ class Shard:
         self.rules = pairs.reshape(-1, 2)
         size = np.ones(self.terminals + rules, np.int64)
         size[self.terminals :] = lengths
+        self.size = size
         self.ends = np.cumsum(size[self.symbols])
 
+    @cached_property
+    def expansions(self) -> np.ndarray:
+        """What each symbol stands for, one behind the other: each rule is expanded once,
+        however often its nonterminal is used."""
+        nonterminals = np.arange(self.terminals, len(self.size))
+        inner = expand(nonterminals, self.rules, self.terminals)
+        return np.concatenate([np.arange(self.terminals), inner]).astype(np.int32)
+
+    @cached_property
+    def begins(self) -> np.ndarray:
+        return np.cumsum(self.size) - self.size
+
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids at positions start to stop: only the symbols that cover them are expanded."""
         if stop <= start:
@@ -185,7 +237,8 @@ class Shard:
         first = int(np.searchsorted(self.ends, start, "right"))
         last = int(np.searchsorted(self.ends, stop, "left"))
         begin = int(self.ends[first - 1]) if first else 0
-        found = expand(self.symbols[first : last + 1], self.rules, self.terminals)
+        covering = self.symbols[first : last + 1]
+        found = gather(self.expansions, self.begins[covering], self.size[covering])
         return found[start - begin : stop - begin]
 
     def document(self, k: int) -> np.ndarray:
@@ -209,9 +262,8 @@ def _shards(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.R
 
     def shard() -> pa.RecordBatch:
         counts = np.array([len(r) for r in runs], np.int64)
-        payload = pack(doc_ids, counts, np.concatenate(runs), terminals)
-        symbols = Shard(payload).symbols
-        values = [part, done, len(doc_ids), held, len(symbols), payload]
+        payload, symbols = pack(doc_ids, counts, np.concatenate(runs), terminals)
+        values = [part, done, len(doc_ids), held, symbols, payload]
         names = ["part", "part_start", "n_docs", "n_ids", "n_symbols", "payload"]
         return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names)
 
@@ -253,7 +305,7 @@ def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for base, start, payload in zip(*(batch.column(c).to_pylist() for c in ("base", "part_start", "payload"))):
             shard = Shard(payload)
             first = base + start + np.cumsum(shard.counts) - shard.counts
-            ids = shard.ids(0, shard.n_ids).astype("<u4")
+            ids = shard.ids(0, shard.n_ids).astype("<u4", copy=False)
             runs = np.split(ids, np.cumsum(shard.counts)[:-1])
             crcs = [zlib.crc32(run.tobytes()) for run in runs]
             arrays = [pa.array(shard.doc_ids, pa.int64()), pa.array(first), pa.array(shard.counts), pa.array(crcs, pa.int64())]

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from functools import lru_cache
 
 NEVER = 1 << 60
-TABLE_SIZE = 1 << 21
+TABLE_SIZE = 1 << 18
 
 
 def byte_letters() -> dict[str, int]:

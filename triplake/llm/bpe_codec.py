@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm.bpe_automaton import automaton
 from triplake.llm.presplit import TextEncoder
+from triplake.llm.words import let_go
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -73,6 +74,7 @@ def round_trip_column(text: Column, vocabulary: str = VOCABULARY) -> Column:
             encoded.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
             text = machine.decode(ids).decode("utf-8", "replace")
             decoded.append(hashlib.sha256(text.encode()).hexdigest())
+        let_go()
         return pa.StructArray.from_arrays(
             [pa.array(sizes, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())],
             ["n_tokens", "ids_sha256", "decoded_sha256"],

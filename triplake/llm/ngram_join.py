@@ -35,12 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.components import components
-from triplake.llm.common import stored, text_of
-from triplake.llm.words import hashes, mix, separators, shingles, slices, spans
+from triplake.llm.common import join_counted, stored, text_of
+from triplake.llm.words import hashes, let_go, mix, separators, shingles, slices, spans
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 MOST_HASHES = 160
-BLOCK_CLASSES, BLOCK_GRAMS = 512, 1 << 21
+BLOCK_CLASSES, BLOCK_GRAMS = 512, 1 << 19
 SEPARATOR = separators()
 
 
@@ -115,6 +115,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int, bands: Bands) -> Iterat
         sizes = pa.array([len(s) for s in sets], pa.int64())
         arrays = [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), sizes, listed]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "set_key", "n_grams", "bands"])
+        del batch, sets, keys, signs, listed, sizes, arrays
+        let_go()
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -173,7 +175,7 @@ def _candidate_groups(sets: DataFrame) -> DataFrame:
     """(set_key, root): sets that share bands, directly or through others."""
     entries = sets.filter("n_grams > 0").select("set_key", F.explode("bands").alias("band"))
     buckets = entries.groupBy("band").agg(F.min("set_key").alias("least"), F.count(F.lit(1)).alias("n"))
-    tied = entries.join(buckets.filter("n > 1"), "band")
+    tied = join_counted(entries, stored(buckets.filter("n > 1"), "buckets"), "band")
     ties = tied.select(F.col("set_key").alias("u"), F.col("least").alias("v")).distinct()
     return components(ties).withColumnRenamed("node", "set_key")
 
@@ -185,10 +187,11 @@ def _block_of(n_blocks: Column) -> Column:
 def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, n: int, threshold: float) -> DataFrame:
     """set_key, links, root: what each pair of blocks found for each of its sets."""
     grouped = groups.join(sets.select("set_key", "doc_id", "text_hash", "copies", "n_grams"), "set_key")
+    grouped = stored(grouped, "groups")
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_grams").alias("grams"))
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_CLASSES, F.col("grams") / BLOCK_GRAMS)).cast("int")
-    blocked = grouped.join(sizes.select("root", parts.alias("n_blocks")), "root")
-    blocked = blocked.withColumn("block", _block_of(F.col("n_blocks"))).drop("n_grams")
+    blocked = join_counted(grouped, stored(sizes.select("root", "n", parts.alias("n_blocks")), "sizes"), "root")
+    blocked = blocked.withColumn("block", _block_of(F.col("n_blocks"))).drop("n_grams", "n")
     # The first copy of each set brings its text; several rows may be that copy.
     there = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash"))
     texts = _identified(docs).alias("a").join(blocked.alias("b"), there)
@@ -224,10 +227,11 @@ def _check_blocks(rows: pa.Table, threshold: float) -> pa.Table:
         first.setdefault(key, k)  # repeated rows of the first copy
     order = sorted(first)
     at = [first[key] for key in order]
-    block = np.array([rows.column("block")[k].as_py() for k in at])
-    copies = np.array([rows.column("copies")[k].as_py() for k in at], np.int64)
-    sets = [np.frombuffer(rows.column("grams")[k].as_py(), np.uint64) for k in at]
+    block, copies = (rows.column(c).to_numpy()[at] for c in ("block", "copies"))
+    grams = rows.column("grams")
+    sets = [np.frombuffer(grams[k].as_buffer(), np.uint64) for k in at]
     near = similar(sets, threshold)
+    let_go()
     i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
     if i != j:
         near &= block[:, None] != block[None, :]
@@ -303,7 +307,7 @@ def linked_documents(docs: DataFrame, n: int = N, threshold: float = THRESHOLD,
     """
     links = find_links(docs, n, threshold, recall)
     classes = links.classes.select("set_key", "class_id", "n_links", "copies")
-    rows = links.members.join(classes, "set_key")
+    rows = join_counted(links.members, classes, "set_key", "copies")
     return rows.select("doc_id", "class_id", "n_links", "copies", "n_grams")
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from tokenizers.pre_tokenizers import ByteLevel
 
-from triplake.llm.words import Texts, slices
+from triplake.llm.words import Texts, let_go, slices
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # What a quote takes with it.
@@ -28,8 +28,10 @@ WHITE_SPACE = (
     *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
-# Words whose ids a worker keeps at a time.
-KNOWN_WORDS = 600_000
+# Code points that are classified together.
+RANGE = 1 << 14
+# Words whose ids a worker keeps at a time: half of them in use since the last change.
+KNOWN_WORDS = 400_000
 
 
 @lru_cache(1)
@@ -40,19 +42,27 @@ def classes() -> np.ndarray:
     than these: each of them is shown to the library.
     """
     table = np.zeros(0x110000, np.uint8)
-    major = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
-    table[major == "L"] = LETTER
-    table[major == "N"] = NUMBER
+    # Range by range, as a list of all code points takes a hundred times the table.
+    for first in range(0, 0x110000, RANGE):
+        _classify(table, range(first, min(first + RANGE, 0x110000)))
     table[list(WHITE_SPACE)] = SPACE
-    points = [c for c in range(0x110000) if c not in SURROGATES]
-    every = "".join(map(chr, points))
+    let_go()
+    return table
+
+
+def _classify(table: np.ndarray, points: range) -> None:
+    """Letters and numbers among ``points``."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    table[points.start : points.stop] = [kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in points]
+    every = "".join(chr(c) for c in points if c not in SURROGATES)
     for kind, pattern, before in ((LETTER, r"\p{L}", "x"), (NUMBER, r"\p{N}", "1")):
         young = [ord(c) for c in regex.findall(pattern, every) if table[ord(c)] != kind]
+        if not young:
+            continue
         shown = "".join(f"{before}{chr(c)}\n" for c in young)
         words = ByteLevel(add_prefix_space=False).pre_tokenize_str(shown)
         begin = {span[0] for _, span in words}
         table[[c for i, c in enumerate(young) if 3 * i + 1 not in begin]] = kind
-    return table
 
 
 def cuts(texts: Texts) -> np.ndarray:
@@ -113,7 +123,9 @@ class TextEncoder:
 
     def __init__(self, encode_word: Callable[[bytes], list[int]], added: dict[str, int]):
         self.encode_word = encode_word
-        self.known: dict[bytes, bytes] = {}  # ids as 32-bit numbers
+        # Ids as 32-bit numbers. Words that are met again move from the older table.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.added = {k.encode(): v for k, v in added.items()}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile(b"|".join(map(re.escape, longest_first))) if added else None
@@ -125,14 +137,14 @@ class TextEncoder:
         if self.marks and self.marks.search(texts.data):
             return self._parted(texts)
         words, index, counts = distinct_words(texts)
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known, encode = self.known, self.encode_word
+        if len(self.known) > KNOWN_WORDS // 2:
+            self.known, self.older = {}, self.known
+        known, older, encode = self.known, self.older, self.encode_word
         ids = []
         for word in words:
             found = known.get(word)
             if found is None:
-                found = known[word] = array("i", encode(word)).tobytes()
+                found = known[word] = older.get(word) or array("i", encode(word)).tobytes()
             ids.append(found)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.int32)
@@ -159,8 +171,9 @@ class TextEncoder:
         at = np.append(0, np.cumsum([len(p) for p in pieces]))
         body = Texts(0, np.frombuffer(b"".join(pieces), np.uint8), at)
         plain = TextEncoder(self.encode_word, {})
-        plain.known = self.known
+        plain.known, plain.older = self.known, self.older
         found, sizes = plain.slice_ids(body)
+        self.known, self.older = plain.known, plain.older
         for run, mark, k in zip(np.split(found, np.cumsum(sizes)[:-1]), marks, of_text):
             run = run if mark < 0 else np.append(run, mark)
             ids.append(run)

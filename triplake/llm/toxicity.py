@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.common import bounded_sample, id_remainder
-from triplake.llm.words import hashes, owners, separators, slices, spans
+from triplake.llm.words import hashes, let_go, owners, separators, slices, spans
 
 TRAINING_ROWS = 8_000
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 3, 1
@@ -149,6 +149,7 @@ class Voting(NamedTuple):
             dense = np.maximum.reduce([fixed_hits, *hits]) > DENSITY * np.maximum(f.n_words, 1)
             votes = [fixed_hits > 0, *(h > 0 for h in hits), dense, f.masked, f.shouting]
             out[first : first + n] = sum(v.astype(np.int64) << i for i, v in enumerate(votes))
+        let_go()
         return out
 
 
@@ -246,6 +247,7 @@ class Linear(NamedTuple):
             weight = self.weights[present % width] if len(present) else np.zeros(0)
             total = np.bincount(present // width, weight, minlength=n)
             out[first : first + n] = 1 / (1 + np.exp(-np.clip(total + self.bias, -40, 40)))
+        let_go()
         return out
 
 
@@ -303,6 +305,7 @@ def distinct_features(texts: pa.Array) -> pa.Array:
         at = np.searchsorted(present, np.arange(n + 1).astype(np.uint64) << np.uint64(32))
         low = (present & np.uint64(0xFFFFFFFF)).astype("<u4")
         out.extend(low[at[k] : at[k + 1]].tobytes() for k in range(n))
+    let_go()
     return pa.array(out, pa.binary())
 
 

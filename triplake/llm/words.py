@@ -7,6 +7,7 @@ are hashed, which goes block by block.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +25,23 @@ MASK = (1 << 64) - 1
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+@lru_cache(1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def let_go() -> None:
+    """Give freed memory back to the system: Python workers live on from one stage to the
+    next, and what one has used at most is of no use to another."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Texts(NamedTuple):
     """Texts that lie one behind the other in ``data``."""
 

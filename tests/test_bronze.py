@@ -73,6 +73,45 @@ def test_one_read_for_each_schema(spark, tmp_path):
     assert len(by_month(bronze.read_bronze_trips(spark, f"{tmp_path}/*.parquet"))) == 6
 
 
+def jobs_of(spark, name, job):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        job()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_more_objects_take_no_more_jobs(spark, tmp_path):
+    """Footers are read by the tasks of one job, whatever the number of objects."""
+    for n, start in ((33, 0), (33, 33)):
+        for i in range(start, start + n):
+            df = rows.trips(spark, {}).coalesce(1)
+            write_object(df.drop("airport_fee") if i % 2 else df, tmp_path, f"yellow_tripdata_{2000 + i}-01.parquet")
+        objects = bronze.glob_objects(spark, f"{tmp_path}/*.parquet")
+        made = jobs_of(spark, f"schemas {start}", lambda: bronze.object_schemas(spark, objects))
+        if not start:
+            first = made
+    assert len(objects) == 66 and made == first <= 8
+
+
+def test_groups_from_footers(spark, tmp_path):
+    drifted(spark, tmp_path)
+    write_file(rows.trips(spark, {}, {}), tmp_path, "yellow_tripdata_2023-04.parquet")
+    parts = rows.trips(spark, {}), rows.trips(spark, {}, {}).drop("airport_fee")
+    for part in parts:
+        part.drop("source_month").write.mode("append").parquet(f"{tmp_path}/yellow_tripdata_2023-05.parquet")
+    objects = bronze.glob_objects(spark, f"{tmp_path}/*.parquet")
+    groups = bronze.schema_groups(spark, objects).collect()
+    months = {tuple(n[-10:-8] for n in g.objects): (g.n_rows, "airport_fee double" in g.columns) for g in groups}
+    assert months == {("01",): (2, False), ("02",): (1, True), ("03",): (3, True), ("04",): (2, False), ("05",): (3, True)}
+    # Spark derives types as it would for each object by itself.
+    schemas = bronze.object_schemas(spark, objects)
+    for obj, schema in zip(objects, schemas):
+        alone = bronze.merged_parts(spark, obj.path).schema
+        assert {(f.name, f.dataType) for f in schema} == {(f.name, f.dataType) for f in alone}
+
+
 def test_single_files_and_folders_mix(spark, tmp_path):
     df = rows.trips(spark, {}, {})
     write_file(df, tmp_path, "yellow_tripdata_2023-01.parquet")

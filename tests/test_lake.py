@@ -93,14 +93,15 @@ def test_gathered_hot_month_is_split(spark, tmp_path):
 def test_folders(spark, tmp_path):
     root = tmp_path / "t"
     lake.write_split(mixed(spark), trip_rules(), str(root))
-    months = {p.name for p in (root / "verdict=clean").iterdir()}
+    run = next((root / "data").iterdir())
+    months = {p.name for p in (run / "verdict=clean").iterdir()}
     assert months == {"partition_month=2023-01", "partition_month=2023-02"}
     # The clean folder can be read by itself.
-    direct = spark.read.parquet(str(root / "verdict=clean"))
+    direct = spark.read.parquet(str(run / "verdict=clean"))
     assert dict(direct.dtypes)["partition_month"] == "string"
     assert sorted(direct.columns) == sorted(SILVER_TRIPS.names)
     # Any number of wrong months makes one folder of rejected rows.
-    assert len(list((root / "verdict=quarantine").iterdir())) == 1
+    assert len(list((run / "verdict=quarantine").iterdir())) == 1
 
 
 def test_separate_datasets_hold_the_same(spark, tmp_path):
@@ -115,7 +116,7 @@ def test_separate_datasets_hold_the_same(spark, tmp_path):
     ):
         apart = lake.read_dataset(spark, path, SILVER_TRIPS)
         assert rows.multiset(apart) == rows.multiset(together)
-    assert not list(Path(bad).glob("partition_month=*"))
+    assert not list(Path(bad).rglob("partition_month=*"))
 
 
 @pytest.mark.parametrize("mode", ["static", "dynamic"])

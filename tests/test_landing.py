@@ -1,9 +1,10 @@
-import os
+import hashlib
+from pathlib import Path
 
 import pytest
 import rows
 from pyspark.sql import functions as F
-from triplake.sources import bronze, landing
+from triplake.sources import bronze, footers, landing, manifest
 
 ZONES_CSV = "taxi_zone_lookup.csv"
 
@@ -27,6 +28,11 @@ def delivered(spark, tmp_path):
     return wanted(spark, *((n, source / n) for n in (*names, ZONES_CSV)))
 
 
+def stored(spark, target, name):
+    """Where a landed object lies."""
+    return manifest.stored_path(spark, f"{target}/{name}")
+
+
 def names_of(df):
     return sorted(r.object_name for r in df.collect())
 
@@ -44,12 +50,36 @@ def test_lands_what_is_missing_only(spark, delivered, tmp_path):
     assert sorted(r.LocationID for r in zones.collect()) == [1, 2]
 
 
-def test_uncommitted_object_is_landed_again(spark, delivered, tmp_path):
+def test_a_run_without_its_entry_is_not_there(spark, delivered, tmp_path, monkeypatch):
+    """A landing that is lost after its rows were written, before its entry."""
+    target, tables = str(tmp_path / "bronze"), delivered.filter("object_name like 'yellow%'")
+    landing.land(spark, tables.filter("object_name like '%01.parquet'"), target)
+
+    def lost(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(landing, "_commit", lost)
+    with pytest.raises(OSError, match="lost"):
+        landing.land(spark, tables, target, force=True)
+    monkeypatch.undo()
+    assert len(list((tmp_path / "bronze" / "_landed" / "data").iterdir())) == 2
+    assert names_of(landing.landed_objects(spark, target)) == ["yellow_tripdata_2023-01.parquet"]
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 2
+    assert names_of(landing.land(spark, tables, target)) == ["yellow_tripdata_2023-02.parquet"]
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 4
+
+
+def test_plain_objects_lie_beside_landed_ones(spark, delivered, tmp_path):
+    """Both kinds are read; of one name the landed one counts."""
     target = tmp_path / "bronze"
     landing.land(spark, delivered, str(target))
-    name = "yellow_tripdata_2023-01.parquet"
-    os.rename(target / name / "_SUCCESS", tmp_path / "marker")
-    assert names_of(landing.land(spark, delivered, str(target))) == [name]
+    for name in ("yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-03.parquet"):
+        rows.trips(spark, *[{}] * 5).drop("source_month").write.parquet(str(target / name))
+    found = bronze.read_bronze_trips(spark, f"{target}/*.parquet").groupBy("source_month").count()
+    assert sorted(map(tuple, found.collect())) == [("2023-01", 2), ("2023-02", 2), ("2023-03", 5)]
+    assert names_of(landing.landed_objects(spark, str(target))) == sorted(
+        [*names_of(delivered), "yellow_tripdata_2023-03.parquet"]
+    )
 
 
 def test_objects_of_months(spark):
@@ -73,7 +103,7 @@ def test_audit_finds_changed_content(spark, delivered, tmp_path):
     assert landing.verify_landed(spark, audit, target) == []
     name = "yellow_tripdata_2023-02.parquet"
     changed = rows.trips(spark, {}, {"extra": 2.5}).drop("source_month")
-    changed.write.mode("overwrite").parquet(f"{target}/{name}")
+    changed.write.mode("overwrite").parquet(stored(spark, target, name))
     assert landing.verify_landed(spark, audit, target) == [name]
 
 
@@ -104,7 +134,7 @@ def test_large_text_object_keeps_one_header(spark, tmp_path, block):
     try:
         target = str(tmp_path / "bronze")
         landing.land(spark, wanted(spark, (ZONES_CSV, source)), target)
-        files = list((tmp_path / "bronze" / ZONES_CSV).glob("part-*"))
+        files = list(Path(stored(spark, target, ZONES_CSV)).glob("part-*"))
         assert len(files) > 1
         found = bronze.read_zones_csv(spark, f"{target}/{ZONES_CSV}").collect()
         direct = bronze.read_zones_csv(spark, str(source)).collect()
@@ -164,13 +194,12 @@ def test_schemas_are_read_once(spark, delivered, tmp_path, monkeypatch):
     assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 4
     assert landing.verify_landed(spark, audit, target) == []
     assert asked == []
-    # An object that was written over by others is not as the record has it.
-    name = "yellow_tripdata_2023-02.parquet"
-    wider = rows.trips(spark, {}).withColumn("VendorID", F.lit("x")).drop("source_month")
-    wider.write.mode("overwrite").parquet(f"{target}/{name}")
-    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 3
-    assert [path.rsplit("/", 1)[-1] for path in asked] == [name]
-    assert landing.verify_landed(spark, audit, target) == [name]
+    # Plain objects are not in the record, and one of them stands for all that are alike.
+    for month in (3, 4, 5):
+        wider = rows.trips(spark, {}).withColumn("VendorID", F.lit("x")).drop("source_month")
+        wider.write.parquet(f"{target}/yellow_tripdata_2023-0{month}.parquet")
+    assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 7
+    assert [path.rsplit("/", 1)[-1] for path in asked] == ["yellow_tripdata_2023-03.parquet"]
 
 
 def test_objects_of_one_schema_are_landed_together(spark, tmp_path):
@@ -195,3 +224,52 @@ def test_objects_of_one_schema_are_landed_together(spark, tmp_path):
     assert names_of(landing.landed_objects(spark, target)) == sorted(n for n, _ in pairs)
     assert landing.verify_landed(spark, landing.kept_audit(spark, target), target) == []
     assert bronze.read_bronze_trips(spark, f"{target}/*.parquet").count() == 16
+
+
+def plain_digest(data, block, fan):
+    nodes = [hashlib.sha256(data[i : i + block]).hexdigest() for i in range(0, max(len(data), 1), block)]
+    while len(nodes) > 1:
+        joined = ("".join(nodes[i : i + fan]) for i in range(0, len(nodes), fan))
+        nodes = [hashlib.sha256(j.encode()).hexdigest() for j in joined]
+    return nodes[0]
+
+
+def test_digests_of_bytes(spark, tmp_path):
+    """Files of all sizes around blocks and ranges, in folders or not, and odd names."""
+    sizes = [1, 9, 10, 11, 30, 31, 90, 91, 1000]
+    (tmp_path / "many").mkdir()
+    for n in sizes:
+        (tmp_path / "many" / f"part {n}%.bin").write_bytes(bytes(i % 251 for i in range(n)))
+    (tmp_path / "one.csv").write_bytes(b"a,b\r\n" * 50)
+    objects = bronze.glob_objects(spark, f"{tmp_path}/*")
+    found = []
+    for range_bytes in (10, 30, 100, 10_000):
+        rows = footers.file_digests(spark, objects, range_bytes, block=10, fan=3).collect()
+        found.append(sorted((r.path.rsplit("/", 1)[-1], r.n_bytes, r.digest) for r in rows))
+    files = [*(tmp_path / "many").iterdir(), tmp_path / "one.csv"]
+    expected = sorted((f.name, f.stat().st_size, plain_digest(f.read_bytes(), 10, 3)) for f in files)
+    assert found == [expected] * 4
+    with pytest.raises(ValueError, match="whole blocks"):
+        footers.file_digests(spark, objects, 15, block=10)
+
+
+def test_audit_has_size_and_digest_of_what_was_delivered(spark, delivered, tmp_path):
+    audit = {r.object_name: r for r in landing.land(spark, delivered, str(tmp_path / "b"), digests=True).collect()}
+    source = tmp_path / "source"
+    for name, row in audit.items():
+        at = source / name
+        files = [at] if at.is_file() else sorted(f for f in at.iterdir() if f.name.startswith("part-"))
+        lines = [f"{f.name} {hashlib.sha256(f.read_bytes()).hexdigest()}" for f in files]
+        assert row.n_bytes == sum(f.stat().st_size for f in files)
+        assert row.digest == hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()
+    assert {r.digest for r in landing.kept_audit(spark, str(tmp_path / "b")).collect()} == {
+        r.digest for r in audit.values()
+    }
+
+
+def test_paths_that_tasks_can_open():
+    assert footers._split("file:/a b/c:d") == ("file", "", "/a b/c:d")
+    assert footers._split("file:///a") == ("file", "", "/a")
+    assert footers._split("/a:b/c") == ("file", "", "/a:b/c")
+    assert footers._split("s3a://bucket/a/b") == ("s3a", "bucket", "/a/b")
+    assert footers.reachable("s3a://b/c") and not footers.reachable("viewfs://x/y")

@@ -127,6 +127,20 @@ def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str, *more: Dat
             raise OSError(f"cannot rename {found.path}")
 
 
+def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips as lines of text, for objects whose bytes can be told from the tables."""
+    cents = F.round(F.col("total_amount") * 100).cast("bigint")
+    parts = [F.col(c).cast("string") for c in ("VendorID", "PULocationID", "DOLocationID")]
+    line = F.concat_ws(",", *parts, cents.cast("string"))
+    return trips_source(spark, sf_dir).select("file_name", line.alias("line"))
+
+
+def deliver_lines(lines: DataFrame, folder: str) -> None:
+    """Store lines in order, one text file for each object."""
+    ordered = lines.repartition("file_name").sortWithinPartitions("file_name", "line")
+    ordered.write.partitionBy("file_name").text(folder)
+
+
 def deliver_zones(zones: DataFrame, path: str) -> None:
     """Store zones as CSV with a header, blanks kept as they are."""
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

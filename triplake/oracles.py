@@ -196,9 +196,60 @@ TAILS = {
         """,
 }
 
+# The columns that each of the drifted deliveries is stored with.
+_DELIVERED = {
+    "VendorID > 4": {"VendorID": None, "airport_fee": None, "vendorid": "integer", "Airport_fee": "double",
+                     "passenger_count": "long", "RatecodeID": "string"},
+    "VendorID between 2 and 4": {"airport_fee": None},
+    "VendorID = 1": {"congestion_surcharge": None},
+}
+_STORED = {
+    "file_name": "string", "VendorID": "long", "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz", "passenger_count": "double", "trip_distance": "double",
+    "RatecodeID": "double", "store_and_fwd_flag": "string", "PULocationID": "long", "DOLocationID": "long",
+    "payment_type": "long", "fare_amount": "double", "extra": "double", "mta_tax": "double",
+    "tip_amount": "double", "tolls_amount": "double", "improvement_surcharge": "double",
+    "total_amount": "double", "congestion_surcharge": "double", "airport_fee": "double",
+}
+
+
+def _stored_columns(changes: dict) -> str:
+    columns = {n: t for n, t in (_STORED | changes).items() if t and n != "file_name"}
+    return ",".join(sorted(f"{n} {t}" for n, t in columns.items()))
+
+
+TAILS["bronze_schema_groups"] = " union all ".join(
+    f"""
+        select distinct '{_stored_columns(changes)}' as columns,
+          (select count(*) from trips_src where {vendors}) as n_rows, file_name as object_name
+        from trips_src where {vendors}
+        """
+    for vendors, changes in _DELIVERED.items()
+)
+TAILS["silver_snapshot_read"] = TAILS["trips_silver"]
+TAILS["landing_committed"] = """
+        select source_month, count(*) as n from trips_fx where source_month like '1996-%' group by 1
+        """
+TAILS["landing_digests"] = """
+        , texts as (
+          select file_name, string_agg(line || chr(10), '' order by line) as body from (
+            select file_name, concat_ws(',', VendorID, PULocationID, DOLocationID,
+              cast(round(total_amount * 100) as bigint)) as line from trips_src)
+          group by 1),
+        blocks as (
+          select file_name, body, unnest(range((length(body) + 4095) // 4096)) as i from texts),
+        tree as (
+          select file_name, i, (length(body) + 4095) // 4096 as n,
+            sha256(substring(body, 4096 * i + 1, 4096)) as digest from blocks
+          union all
+          select file_name, i // 4 as i, (n + 3) // 4 as n, sha256(string_agg(digest, '' order by i)) as digest
+          from tree where n > 1 group by file_name, i // 4, n)
+        select file_name, length(body) as n_bytes, digest from texts join tree using (file_name) where n = 1
+        """
 TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
 TAILS["split_audit_stored"] = TAILS["trips_row_audit"]
 TAILS["raw_full_refresh_twice"] = TAILS["raw_trips_load"]
 TAILS["raw_append_twice"] = f"{TAILS['raw_trips_load']} union all {TAILS['raw_trips_load']}"
 
 ORACLES = {name: f"{BASE}{tail}" for name, tail in TAILS.items()}
+ORACLES["landing_digests"] = ORACLES["landing_digests"].replace("with ", "with recursive ", 1)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,14 @@ from triplake.operators.align import align
 from triplake.plans import models, refresh
 from triplake.schemas import BRONZE_TRIPS, RAW_TRIPS, RAW_ZONES, SILVER_TRIPS, ZONES
 from triplake.session import scratch_dir
-from triplake.sources import bronze, lake, landing, raw
+from triplake.sources import bronze, footers, lake, landing, raw
 
 # A month in the middle of the tables' range.
 PRUNED_MONTH = "1996-03"
 # Objects that are landed already.
 LANDED_YEAR = "1996-"
+# What a write says that is made to fail.
+LOST = "lost half way"
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +141,21 @@ def q_silver_month_pruned(spark, sf_dir):
     return silver.filter(F.col("partition_month") == PRUNED_MONTH)
 
 
+def q_silver_snapshot_read(spark, sf_dir):
+    """Silver as it was before a write that was lost after most of its rows."""
+    root, rules = stored_trips(spark, sf_dir), quality.trip_rules()
+    late = F.col("VendorID") == 7
+    dies = F.when(late, F.raise_error(F.lit(LOST)).cast("double")).otherwise(F.col("extra"))
+    try:
+        lake.write_split(prepared(spark, sf_dir).withColumn("extra", dies), rules, root, gather=True)
+    except PySparkException as error:
+        if LOST not in str(error):
+            raise
+    else:
+        raise RuntimeError("the write should have failed")
+    return lake.read_clean(spark, root, SILVER_TRIPS)
+
+
 def q_silver_month_rewritten(spark, sf_dir):
     """All months stored, then one of them again from a smaller delivery."""
     root, rules = stored_trips(spark, sf_dir), quality.trip_rules()
@@ -228,6 +246,45 @@ def q_landing_audit(spark, sf_dir):
     return audit.select(landing.NAME, "n_rows", "verified")
 
 
+def q_bronze_schema_groups(spark, sf_dir):
+    """Which objects of three drifted deliveries have the same columns, by their footers."""
+    root = scratch_dir(spark, "groups")
+    for i, trips in enumerate(fixtures.trips_drifted(spark, sf_dir)):
+        fixtures.deliver_trips(spark, trips, f"{root}/{i}")
+    groups = bronze.schema_groups(spark, bronze.glob_objects(spark, f"{root}/*/*{OBJECT_SUFFIX}"))
+    rows = groups.select(
+        F.array_join("columns", ",").alias("columns"), "n_rows", F.explode("objects").alias(landing.NAME)
+    )
+    return rows
+
+
+def q_landing_committed(spark, sf_dir):
+    """What is in bronze after one year was landed, and a landing of all was lost between
+    its rows and its entry in the log."""
+    root = scratch_dir(spark, "committed")
+    trips = fixtures.trips_source(spark, sf_dir)
+    fixtures.deliver_trips(spark, trips, f"{root}/source")
+    wanted = delivered(spark, f"{root}/source")
+    year = F.contains(landing.NAME, F.lit(LANDED_YEAR))
+    landing.land(spark, wanted.filter(year), f"{root}/bronze")
+    for group in bronze.group_objects(spark, bronze.glob_objects(spark, f"{root}/source/*{OBJECT_SUFFIX}")):
+        landing.write_group(spark, group, f"{root}/bronze")
+    rows = bronze.read_bronze_trips(spark, f"{root}/bronze/*{OBJECT_SUFFIX}")
+    return rows.groupBy("source_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_landing_digests(spark, sf_dir):
+    """Size and digest of every text object as it was delivered, read range by range."""
+    folder = scratch_dir(spark, "digests")
+    fixtures.deliver_lines(fixtures.trip_lines(spark, sf_dir), folder)
+    objects = bronze.glob_objects(spark, f"{folder}/file_name=*")
+    digests = footers.file_digests(spark, objects, range_bytes=1 << 14, block=1 << 12, fan=4)
+    names = spark.createDataFrame(
+        [(i, o.name.removeprefix("file_name=")) for i, o in enumerate(objects)], "object int, file_name string"
+    )
+    return digests.join(names, "object").select("file_name", "n_bytes", "digest")
+
+
 # --- raw tables --------------------------------------------------------------
 
 
@@ -359,6 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_audit_stored": q_split_audit_stored,
     "silver_month_pruned": q_silver_month_pruned,
     "silver_month_rewritten": q_silver_month_rewritten,
+    "silver_snapshot_read": q_silver_snapshot_read,
     "quarantine_stored": q_quarantine_stored,
     "split_stored_apart": q_split_stored_apart,
     "zones_csv": q_zones_csv,
@@ -376,6 +434,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_full_refresh_twice": q_raw_full_refresh_twice,
     "landing_missing": q_landing_missing,
     "landing_audit": q_landing_audit,
+    "landing_committed": q_landing_committed,
+    "landing_digests": q_landing_digests,
+    "bronze_schema_groups": q_bronze_schema_groups,
     "stg_trips": q_stg_trips,
     "stg_zones": q_stg_zones,
     "int_trips_with_zones": q_int_trips_with_zones,

@@ -7,13 +7,16 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from triplake.functions.trips import month_span, name_in_path, source_month_of_path
 from triplake.operators.align import align, union_aligned
 from triplake.schemas import BRONZE_TRIPS, ZONES
-from triplake.sources.manifest import known_schemas
-from triplake.sources.objects import BronzeObject, glob_objects
+from triplake.sources.footers import object_footers, reachable
+from triplake.sources.manifest import OBJECT, bronze_objects, known_schemas, stored_path
+from triplake.sources.objects import BronzeObject
+from triplake.sources.objects import glob_objects as glob_objects
+from triplake.sources.snapshots import RUN
 
 # Schema look-ups that run side by side on the driver.
 SCHEMA_THREADS = 16
@@ -32,7 +35,12 @@ class BronzeGroup(NamedTuple):
         return [o.path for o in self.objects]
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(*self.paths)
+        if not self.objects[0].landed:
+            return spark.read.schema(self.schema).parquet(*self.paths)
+        # The folders of run and object become columns.
+        schema = StructType([*self.schema, *(StructField(c, StringType()) for c in (RUN, OBJECT))])
+        reader = spark.read.schema(schema).option("basePath", self.objects[0].folder)
+        return reader.parquet(*self.paths)
 
 
 def merged_parts(spark: SparkSession, path: str) -> DataFrame:
@@ -42,10 +50,33 @@ def merged_parts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def object_schemas(spark: SparkSession, objects: list[BronzeObject]) -> list[StructType]:
-    """The schema of each object: as landed, or else from the footers of its parts."""
+    """The schema of each object: as landed, or else from the footers of its parts.
+
+    One job reads all footers, and Spark derives the schema of one object for each
+    distinct set of columns. Where tasks cannot open the files, it does so for each object.
+    """
     known = known_schemas(spark, objects)
+    new = [o for o in objects if o.path not in known]
+    alike = {o.path: o.path for o in new}
+    if new and all(reachable(o.path) for o in new):
+        for row in object_footers(spark, new).select("object", "columns").collect():
+            alike[new[row["object"]].path] = tuple(row["columns"])
+    first = {key: path for path, key in reversed(alike.items())}
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
-        return list(pool.map(lambda o: known.get(o.uri) or merged_parts(spark, o.path).schema, objects))
+        derived = dict(zip(first, pool.map(lambda p: merged_parts(spark, p).schema, first.values())))
+    return [known.get(o.path) or derived[alike[o.path]] for o in objects]
+
+
+def schema_groups(spark: SparkSession, objects: list[BronzeObject]) -> DataFrame:
+    """A row for each distinct set of columns: the names of its objects, their files and
+    rows, from footers alone."""
+    names = spark.createDataFrame([(i, o.name) for i, o in enumerate(objects)], "object int, name string")
+    rows = object_footers(spark, objects).join(F.broadcast(names), "object")
+    return rows.groupBy("columns").agg(
+        F.array_sort(F.collect_list("name")).alias("objects"),
+        F.sum("n_files").alias("n_files"),
+        F.sum("n_rows").alias("n_rows"),
+    )
 
 
 def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[BronzeGroup]:
@@ -64,13 +95,16 @@ def group_objects(spark: SparkSession, objects: list[BronzeObject]) -> list[Bron
 
 
 def _plain(obj: BronzeObject) -> bool:
-    """Whether the URI spells the object's name as it is."""
-    return obj.uri.endswith("/" + obj.name)
+    """Whether the object's name is in the paths of its files as it is, or in a column."""
+    return obj.landed or obj.uri.endswith("/" + obj.name)
 
 
 def group_of(schema: StructType, like: BronzeObject) -> BronzeGroup:
     """A group without objects yet, for objects in the folder and form of ``like``."""
-    if _plain(like):
+    if like.landed:
+        start, length = month_span(like.name)
+        name, month = F.col(OBJECT), F.substring(OBJECT, start + 1, length)
+    elif _plain(like):
         path = F.col("_metadata.file_path")
         name = name_in_path(path, like.folder)
         month = source_month_of_path(path, like.folder, month_span(like.name))
@@ -86,7 +120,7 @@ def read_bronze_trips(
 
     With ``months`` only the objects of those months are read.
     """
-    objects = glob_objects(spark, pattern)
+    objects = bronze_objects(spark, pattern)
     if months is not None:
         objects = [o for o in objects if month_of(o.name) in months]
     if not objects:
@@ -104,4 +138,5 @@ def month_of(name: str) -> str:
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup. Columns go by position and the header line is skipped;
     a value that does not fit its type, or is missing, is NULL."""
+    path = stored_path(spark, path)
     return spark.read.schema(ZONES).option("header", True).option("mode", "PERMISSIVE").csv(path)

@@ -1,9 +1,10 @@
-"""Silver and quarantine: clean rows and rejected rows as Parquet.
+"""Silver and quarantine: clean rows and rejected rows as Parquet, in snapshots.
 
-``write_split`` writes both in one pass over the input. The folders under its
-root are ``verdict=clean`` and ``verdict=quarantine``; below the first there is
-one folder per month. ``write_separate`` writes two datasets at two paths, the
-second flat, and scans the input once for each.
+``write_split`` writes both in one pass over the input, as one version of a dataset
+whose parts are ``verdict=clean`` and ``verdict=quarantine``, below each of them one
+part per month. ``write_separate`` writes two datasets at two paths, the second flat,
+and scans the input once for each. Either way nothing changes for readers before the
+version is committed, so a write that fails leaves all old rows.
 
 Neither shuffles when trips come from bronze. The wrong-month rule leaves each
 object's clean rows in a single month, so a task that reads one object writes one
@@ -12,14 +13,14 @@ as read it. Where months are spread over the whole input, every task would write
 file for each of them; ``gather`` brings a month's rows together first.
 
 A run replaces the whole dataset, or with ``months`` what came of the objects of those
-months, and leaves the folders of all others alone.
+months; the parts of all others stay with the runs that hold them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -33,18 +34,11 @@ from triplake.operators.quality import (
     judge,
     split,
 )
-from triplake.sources.objects import file_system
+from triplake.sources.snapshots import CommitLog, Snapshot
 
 MONTH, SOURCE_MONTH = "partition_month", "source_month"
 
 
-def _overwrite(df: DataFrame, path: str, *partition_columns: str, mode: str = "static") -> None:
-    """Replace the whole dataset (or, if ``dynamic``, the folders that get rows),
-    whatever overwrite mode the session prefers."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy(*partition_columns).parquet(path)
-
-
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows shuffled by ``columns`` into partitions of even size.
 
@@ -83,27 +77,11 @@ def write_split(
     if gather:
         rows = gathered(rows, *folders)
     counts = Observation("split")
-    seen = [*audit_columns(F.col(VERDICT))]
-    if months is not None:
-        seen += [F.count_if(held).alias(name) for name, held in _held(months).items()]
-    kept = rows.observe(counts, *seen).filter(F.col(VERDICT).isNotNull())
-    _overwrite(kept, root, *folders, mode="static" if months is None else "dynamic")
-    found = dict(counts.get)
-    for folder in _held(months or ()):
-        if not found.pop(folder):
-            # Rows of an earlier run, none of this one.
-            at, fs = file_system(df.sparkSession, f"{root}/{folder}")
-            fs.delete(at, True)
-    return found
-
-
-def _held(months: Sequence[str]) -> dict[str, Column]:
-    """The folders of ``months``, and which rows they hold."""
-    return {
-        f"{VERDICT}={verdict}/{MONTH}={month}": (F.col(VERDICT) == verdict) & (F.col(MONTH) == month)
-        for month in months
-        for verdict in (CLEAN, QUARANTINE)
-    }
+    kept = rows.observe(counts, *audit_columns(F.col(VERDICT))).filter(F.col(VERDICT).isNotNull())
+    ends = tuple(f"/{MONTH}={month}" for month in months or ())
+    log = CommitLog(df.sparkSession, root)
+    log.write(kept, *folders, replaced=lambda part: months is None or part.endswith(ends))
+    return dict(counts.get)
 
 
 def write_separate(
@@ -126,28 +104,43 @@ def write_separate(
         if gather and by:
             rows = gathered(rows, *by)
         count = Observation(name)
-        _overwrite(rows.observe(count, F.count(F.lit(1)).alias("n")), path, *by)
+        CommitLog(df.sparkSession, path).write(rows.observe(count, F.count(F.lit(1)).alias("n")), *by)
         written[name] = count.get["n"]
     return written
 
 
-def read_clean(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Clean rows of ``write_split``; a filter on the month reads that month only."""
-    return _read_verdict(spark, root, schema, CLEAN)
+def read_clean(
+    spark: SparkSession, root: str, schema: StructType, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """Clean rows of ``write_split``; a filter on the month reads that month only.
 
+    All reads are bound to one snapshot, by default to the newest one there is.
+    """
+    return _read_verdict(spark, root, schema, CLEAN, snapshot)
 
-def read_quarantine(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    rows = _read_verdict(spark, root, schema, QUARANTINE)
+
+def read_quarantine(
+    spark: SparkSession, root: str, schema: StructType, snapshot: Snapshot | None = None
+) -> DataFrame:
+    rows = _read_verdict(spark, root, schema, QUARANTINE, snapshot)
     return rows.withColumn(MONTH, partition_month()) if MONTH in schema.names else rows
 
 
-def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, path: str, schema: StructType, snapshot: Snapshot | None = None
+) -> DataFrame:
     """One dataset of ``write_separate``. The schema keeps the month a string."""
-    return spark.read.schema(schema).parquet(path)
+    return CommitLog(spark, path).read(schema, _committed(spark, path, snapshot))
+
+
+def _committed(spark: SparkSession, root: str, snapshot: Snapshot | None) -> Snapshot:
+    snapshot = snapshot or CommitLog(spark, root).latest()
+    if not snapshot.version:
+        raise FileNotFoundError(f"nothing was committed at {root}")
+    return snapshot
 
 
-def _read_verdict(spark, root, schema, verdict) -> DataFrame:
-    # The root always exists, a verdict without rows has no folder.
+def _read_verdict(spark, root, schema, verdict, snapshot) -> DataFrame:
     stored = StructType([*schema.fields, StructField(VERDICT, StringType())])
-    rows = read_dataset(spark, root, stored).filter(F.col(VERDICT) == verdict)
-    return rows.select(*schema.names)
+    rows = CommitLog(spark, root).read(stored, _committed(spark, root, snapshot))
+    return rows.filter(F.col(VERDICT) == verdict).select(*schema.names)

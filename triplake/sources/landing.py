@@ -1,35 +1,39 @@
 """Land delivered objects in bronze: only those not there yet, or all by force.
 
-Parquet objects of one schema are copied together: a job writes them to a folder of its
-own, without a shuffle, and finished objects are moved to their names. Another job reads
-what was delivered and what was landed, and compares their content object by object. The
-driver goes over object names (one per month), never over rows.
+Parquet objects of one schema are copied together: a job writes them to a run of its own,
+without a shuffle, and an entry in bronze's commit log makes them objects. Nothing is
+renamed, and nothing of a run is seen before its entry, so a landing that is lost half
+way leaves no trace but files. Another job reads what was delivered and what was landed,
+and compares their content object by object. The driver goes over object names (one per
+month), never over rows.
 """
 
 from __future__ import annotations
 
-import uuid
-from urllib.parse import unquote
+import hashlib
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX
 from triplake.sources.bronze import BronzeGroup, group_objects, group_of, merged_parts
+from triplake.sources.footers import object_digests, reachable
 from triplake.sources.manifest import (
     AUDIT,
     COMMITTED,
     MANIFEST,
     NAME,
+    OBJECT,
     SOURCE,
-    commit_times,
+    bronze_objects,
+    committed_runs,
     keep_audit,
+    landing_log,
+    part_of,
+    stored_path,
 )
 from triplake.sources.manifest import kept_audit as kept_audit
-from triplake.sources.objects import BronzeObject, file_system, glob_objects
-
-# Objects that are being copied; a name that is no object's, and no column's.
-COPYING = "_copying"
+from triplake.sources.objects import BronzeObject, glob_objects
 
 # Text objects are CSV with a header; blanks are kept.
 TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -50,14 +54,16 @@ def missing_objects(wanted: DataFrame, landed: DataFrame, force: bool = False) -
 
 
 def landed_objects(spark: SparkSession, bronze: str) -> DataFrame:
-    """Names that are fully landed: a folder counts once its write was committed."""
+    """Names that are fully landed: those the commit log names, and others that lie in
+    ``bronze`` by name, of which a folder counts once its write was committed."""
     committed = {marker.folder for marker in glob_objects(spark, f"{bronze}/*/{COMMITTED}")}
-    names = [
-        (o.name,)
+    names = {
+        o.name
         for o in glob_objects(spark, f"{bronze}/*")
-        if not o.name.startswith((MANIFEST, COPYING)) and (not o.is_folder or o.uri in committed)
-    ]
-    return spark.createDataFrame(names, f"{NAME} string")
+        if o.name != MANIFEST and (not o.is_folder or o.uri in committed)
+    }
+    rows = [(name,) for name in sorted(names | committed_runs(spark, bronze).keys())]
+    return spark.createDataFrame(rows, f"{NAME} string")
 
 
 def fingerprint_columns(columns: list[str]) -> list[Column]:
@@ -84,48 +90,68 @@ def land(
     bronze: str,
     force: bool = False,
     encoding: str = "UTF-8",
+    digests: bool = False,
 ) -> DataFrame:
     """Copy what is missing and return one audit row per copied object.
 
     Copies are read back: ``verified`` tells whether they hold what was delivered. Text
-    in another ``encoding`` is landed as UTF-8, object by object. The audit and the
+    in another ``encoding`` is landed as UTF-8, object by object. With ``digests`` the
+    audit has the size and a digest of the delivered bytes as well. The audit and the
     schemas are also kept in bronze.
     """
     todo = missing_objects(wanted, landed_objects(spark, bronze), force)
     sources = dict(todo.select(NAME, SOURCE).orderBy(NAME).collect())
-    seen: dict[str, tuple] = {}
-    for name, source in sources.items():
-        if not name.endswith(OBJECT_SUFFIX):
-            seen[name] = _land_text(spark, delivered(spark, name, source, encoding), f"{bronze}/{name}")
-    tables = {n: s for n, s in sources.items() if n.endswith(OBJECT_SUFFIX)}
-    for group in group_objects(spark, [_delivered_object(spark, n, s) for n, s in tables.items()]):
-        seen |= _land_group(spark, group, bronze)
-    times = {_last_step(uri): at for uri, at in commit_times(spark, bronze).items()} if seen else {}
-    rows = [(name, sources[name], *seen[name], times.get(name)) for name in sources]
-    audit = spark.createDataFrame(rows, AUDIT)
-    if rows:
-        keep_audit(audit, bronze)
-    return audit
+    objects = [_delivered_object(spark, n, s) for n, s in sources.items()]
+    found = _digests(spark, objects) if digests else {}
+    audits = []
+    for obj in objects:
+        if not obj.name.endswith(OBJECT_SUFFIX):
+            rows = delivered(spark, obj.name, sources[obj.name], encoding)
+            run, seen = _land_text(spark, rows, obj.name, bronze)
+            audits += _commit(spark, bronze, run, {obj.name: seen}, sources, found)
+    tables = [o for o in objects if o.name.endswith(OBJECT_SUFFIX)]
+    for group in group_objects(spark, tables):
+        run, seen = write_group(spark, group, bronze)
+        audits += _commit(spark, bronze, run, seen, sources, found)
+    return spark.createDataFrame(audits, AUDIT)
+
+
+def _digests(spark: SparkSession, objects: list[BronzeObject]) -> dict[str, tuple]:
+    beyond = [o.path for o in objects if not reachable(o.path)]
+    if beyond:
+        raise ValueError(f"tasks cannot read the bytes of {beyond[0]}")
+    rows = object_digests(spark, objects).collect() if objects else []
+    # An object of empty files has no row.
+    empty = {o.name: (0, hashlib.sha256().hexdigest()) for o in objects}
+    return empty | {objects[r["object"]].name: (r.n_bytes, r.digest) for r in rows}
+
+
+def _commit(
+    spark: SparkSession, bronze: str, run: str, seen: dict[str, tuple], sources: dict[str, str], digests: dict[str, tuple]
+) -> list[tuple]:
+    """The audit of a run, kept; then the entry that makes its objects seen."""
+    rows = [(n, sources[n], *content, *digests.get(n, (None, None))) for n, content in seen.items()]
+    keep_audit(spark.createDataFrame(rows, AUDIT), bronze, run)
+    parts = [part_of(spark, name) for name in seen]
+    landing_log(spark, bronze).commit({run: parts}, replaced=set(parts).__contains__)
+    return rows
 
 
 def verify_landed(spark: SparkSession, audit: DataFrame, bronze: str) -> list[str]:
     """Audited objects whose content in bronze is not what was delivered."""
     rows = audit.orderBy(NAME).collect()
     tables = {row[NAME] for row in rows if row[NAME].endswith(OBJECT_SUFFIX)}
-    objects = [o for o in glob_objects(spark, f"{bronze}/*{OBJECT_SUFFIX}") if o.name in tables]
+    objects = [o for o in bronze_objects(spark, f"{bronze}/*{OBJECT_SUFFIX}") if o.name in tables]
     found: dict[str, tuple] = {}
     for group in group_objects(spark, objects):
         found |= _contents(spark, group)
     for row in rows:
         if row[NAME] not in tables:
-            found[row[NAME]] = _content(delivered(spark, row[NAME], f"{bronze}/{row[NAME]}"))
+            path = stored_path(spark, f"{bronze}/{row[NAME]}")
+            found[row[NAME]] = _content(delivered(spark, row[NAME], path))
     return [row[NAME] for row in rows if found.get(row[NAME]) != (row.n_rows, row.fingerprint)]
 
 
-def _last_step(uri: str) -> str:
-    return unquote(uri.rsplit("/", 1)[-1])
-
-
 def _delivered_object(spark: SparkSession, name: str, source: str) -> BronzeObject:
     """The object at ``source``, by the name it is to be landed under."""
     found = glob_objects(spark, source)
@@ -147,52 +173,37 @@ def _contents(spark: SparkSession, group: BronzeGroup) -> dict[str, tuple]:
     return {o.name: (0, None) for o in group.objects} | {r[0]: (r[1], r[2]) for r in found}
 
 
-def _land_group(spark: SparkSession, group: BronzeGroup, bronze: str) -> dict[str, tuple]:
-    """Copy objects of one schema; their row counts, fingerprints, verdicts and schema."""
-    staged = f"{bronze}/{COPYING}-{uuid.uuid4().hex}"
-    named = group.rows(spark).withColumn(COPYING, group.object_name)
-    named.write.partitionBy(COPYING).parquet(staged)
-    copied = {
-        unquote(o.name.removeprefix(f"{COPYING}=")): o.path
-        for o in glob_objects(spark, f"{staged}/{COPYING}=*")
-    }
+def write_group(spark: SparkSession, group: BronzeGroup, bronze: str) -> tuple[str, dict[str, tuple]]:
+    """Copy objects of one schema to a run; by object its row count, fingerprint, verdict
+    and schema. The run is not committed."""
+    log = landing_log(spark, bronze)
+    run = log.new_run()
+    named = group.rows(spark).select(*(f"`{n}`" for n in group.schema.names), group.object_name.alias(OBJECT))
+    named.write.partitionBy(OBJECT).parquet(log.path(run))
+    written = set(log.parts_of(run, 1))
+    copies = group_of(group.schema, group.objects[0]._replace(landed=True))
     for obj in group.objects:
-        if obj.name in copied:
-            _move(spark, copied[obj.name], f"{bronze}/{obj.name}")
-        else:
+        part = part_of(spark, obj.name)
+        path = f"{log.path(run)}/{part}"
+        if part not in written:
             # No rows, so no folder.
-            empty = spark.createDataFrame([], group.schema)
-            empty.write.mode("overwrite").parquet(f"{bronze}/{obj.name}")
-    at, fs = file_system(spark, staged)
-    fs.delete(at, True)
-    came = _contents(spark, group)
-    names = {o.name for o in group.objects}
-    landed = [o for o in glob_objects(spark, f"{bronze}/*") if o.name in names]
-    copies = group_of(group.schema, landed[0])
-    copies.objects.extend(landed)
-    there, schema = _contents(spark, copies), group.schema.json()
-    return {name: (*content, there.get(name) == content, schema) for name, content in came.items()}
-
-
-def _move(spark: SparkSession, staged: str, target: str) -> None:
-    """Give a finished copy its name, then the marker that commits it."""
-    (source, fs), (at, _) = file_system(spark, staged), file_system(spark, target)
-    fs.delete(at, True)
-    if not fs.rename(source, at):
-        raise OSError(f"cannot rename {staged}")
-    marker, _ = file_system(spark, f"{target}/{COMMITTED}")
-    fs.create(marker, True).close()
-
-
-def _land_text(spark: SparkSession, rows: DataFrame, target: str) -> tuple:
-    """Store a text object; row count, fingerprint, verdict, and no schema."""
-    name = target.rsplit("/", 1)[-1]
+            spark.createDataFrame([], group.schema).write.parquet(path)
+        copies.objects.append(BronzeObject(obj.name, path, path, log.data, True, 0, landed=True))
+    came, there, schema = _contents(spark, group), _contents(spark, copies), group.schema.json()
+    return run, {name: (*content, there.get(name) == content, schema) for name, content in came.items()}
+
+
+def _land_text(spark: SparkSession, rows: DataFrame, name: str, bronze: str) -> tuple[str, tuple]:
+    """Store a text object in a run; row count, fingerprint, verdict, and no schema."""
+    log = landing_log(spark, bronze)
+    run = log.new_run()
+    target = f"{log.path(run)}/{part_of(spark, name)}"
     if not rows.columns:
         # A text object without a line.
-        spark.createDataFrame([], "value string").write.mode("overwrite").text(target)
-        return 0, None, True, None
+        spark.createDataFrame([], "value string").write.text(target)
+        return run, (0, None, True, None)
     seen = Observation("landed")
     rows = rows.observe(seen, *fingerprint_columns(rows.columns))
-    rows.write.mode("overwrite").options(**TEXT).csv(target)
+    rows.write.options(**TEXT).csv(target)
     content = seen.get["n_rows"], seen.get["fingerprint"]
-    return *content, _content(delivered(spark, name, target)) == content, None
+    return run, (*content, _content(delivered(spark, name, target)) == content, None)

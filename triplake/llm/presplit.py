@@ -121,8 +121,10 @@ class TextEncoder:
     and part the text.
     """
 
-    def __init__(self, encode_word: Callable[[bytes], list[int]], added: dict[str, int]):
-        self.encode_word = encode_word
+    def __init__(
+        self, encode_word: Callable[[bytes], list[int]], added: dict[str, int], known_words: int = KNOWN_WORDS
+    ):
+        self.encode_word, self.known_words = encode_word, known_words
         # Ids as 32-bit numbers. Words that are met again move from the older table.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -137,7 +139,7 @@ class TextEncoder:
         if self.marks and self.marks.search(texts.data):
             return self._parted(texts)
         words, index, counts = distinct_words(texts)
-        if len(self.known) > KNOWN_WORDS // 2:
+        if len(self.known) > self.known_words // 2:
             self.known, self.older = {}, self.known
         known, older, encode = self.known, self.older, self.encode_word
         ids = []
@@ -170,7 +172,7 @@ class TextEncoder:
         ids, counts = [], np.zeros(len(texts.offsets) - 1, np.int64)
         at = np.append(0, np.cumsum([len(p) for p in pieces]))
         body = Texts(0, np.frombuffer(b"".join(pieces), np.uint8), at)
-        plain = TextEncoder(self.encode_word, {})
+        plain = TextEncoder(self.encode_word, {}, self.known_words)
         plain.known, plain.older = self.known, self.older
         found, sizes = plain.slice_ids(body)
         self.known, self.older = plain.known, plain.older

@@ -53,6 +53,8 @@ LEAST_USES = 8
 PAIRS_A_ROUND = 4096
 SYMBOLS = 1 << 16
 SLOT_BITS = 18
+# Words whose ids a worker keeps, some 200 bytes each.
+KNOWN_WORDS = 1_600_000
 
 
 @lru_cache(2)
@@ -67,7 +69,7 @@ def library_encoder(path: str) -> TextEncoder:
     def encode_word(word: bytes) -> list[int]:
         return [t.id for t in model.tokenize(word.decode("latin-1").translate(letters))]
 
-    return TextEncoder(encode_word, added)
+    return TextEncoder(encode_word, added, KNOWN_WORDS)
 
 
 # --- one shard ----------------------------------------------------------------

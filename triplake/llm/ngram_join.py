@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm.components import components
 from triplake.llm.common import join_counted, stored, text_of
-from triplake.llm.words import hashes, let_go, mix, separators, shingles, slices, spans
+from triplake.llm.words import hashes, let_go, mix, portions, separators, shingles, slices, spans
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 MOST_HASHES = 160
@@ -105,7 +105,7 @@ SKETCH_TYPE = "doc_id long, text_hash long, set_key binary, n_grams long, bands
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], n: int, bands: Bands) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (portion for batch in batches for portion in portions(batch)):
         sets = list(gram_sets(batch.column("text"), n))
         keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         signs = signatures(sets, bands)

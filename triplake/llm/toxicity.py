@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.common import bounded_sample, id_remainder
-from triplake.llm.words import hashes, let_go, owners, separators, slices, spans
+from triplake.llm.words import hashes, let_go, owners, portions, separators, slices, spans
 
 TRAINING_ROWS = 8_000
 HELD_OUT_DIVISOR, HELD_OUT_REMAINDER = 3, 1
@@ -96,8 +96,15 @@ class Known:
 
 
 def features(texts: pa.Array):
-    """Features of one slice of whole texts after the other."""
-    texts = texts.fill_null("")
+    """Features of one slice of whole texts after the other, with the place of its first."""
+    before = 0
+    for portion in portions(texts):
+        for first, found in _features(portion.fill_null("")):
+            yield before + first, found
+        before += len(portion)
+
+
+def _features(texts: pa.Array):
     lowered = pc.utf8_lower(texts)
     for raw, part in zip(_as_is(texts), slices(lowered)):
         found = spans(part, NOT_WORD)

@@ -50,6 +50,16 @@ class Texts(NamedTuple):
     offsets: np.ndarray  # where each text begins, and the end of the last
 
 
+ROWS_AT_ONCE = 1024
+
+
+def portions(batch, rows: int = ROWS_AT_ONCE) -> Iterator:
+    """Consecutive rows of a batch or an array, a bounded number at a time: what is made of
+    them takes several times their size."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 class Words(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray

@@ -16,7 +16,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from triplake.operators.quality import NULL_VERDICTS
 from triplake.plans import refresh as stages
-from triplake.plans.models import UNMATCHED
+from triplake.plans.models import MONEY, UNMATCHED
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, SILVER_TRIPS, ZONES
 from triplake.sources.bronze import read_bronze_trips, read_zones_csv
 from triplake.sources.lake import read_clean
@@ -40,7 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--null-verdict", choices=NULL_VERDICTS, default="drop")
     parser.add_argument("--on-null", choices=ON_NULL, default="fail")
     parser.add_argument("--unmatched", choices=UNMATCHED, default="default")
-    parser.add_argument("--money", choices=("double", "decimal"), default="double")
+    parser.add_argument("--money", choices=MONEY, default="exact")
     parser.add_argument("--gather", action="store_true", help="shuffle silver by month")
     parser.add_argument("--files", type=int, help="split the raw trips into key ranges")
     parser.add_argument("--truncate", action="store_true", help="empty JDBC tables first")

@@ -246,6 +246,19 @@ TAILS["landing_digests"] = """
           from tree where n > 1 group by file_name, i // 4, n)
         select file_name, length(body) as n_bytes, digest from texts join tree using (file_name) where n = 1
         """
+# Prices are whole multiples of 2**-43; their sum's 53 leading bits are rounded to even.
+TAILS["mart_revenue_exact"] = """
+        , whole as (
+          select pickup_borough as borough, count(*) as trip_count,
+            sum(cast(total_amount * 8796093022208 as bigint)::hugeint)::hugeint as s
+          from int_default group by 1),
+        cut as (
+          select *, (1::hugeint << greatest(0, cast(floor(log2(s::double)) as int) - 52)) as unit from whole)
+        select borough, trip_count, ((s // unit
+            + case when 2 * (s % unit) > unit or 2 * (s % unit) = unit and (s // unit) % 2 = 1 then 1 else 0 end)::double
+          * unit::double) / 8796093022208 as total_revenue
+        from cut
+        """
 TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
 TAILS["split_audit_stored"] = TAILS["trips_row_audit"]
 TAILS["raw_full_refresh_twice"] = TAILS["raw_trips_load"]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from triplake.functions.exact import exact_sums, partial_sums
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, STAGING_TRIP_NAMES, STAGING_ZONE_NAMES
 from triplake.sources.raw import TRIPS_TABLE, ZONES_TABLE, new_run
 
@@ -26,6 +27,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Negative where the session forbids broadcasts.
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
+# How revenue is added: to the nearest double whatever the order, as cents, or plainly.
+MONEY = ("exact", "decimal", "double")
+
 ZONE_ATTRIBUTES = ("borough", "zone", "service_zone")
 
 
@@ -101,19 +105,29 @@ def int_trips_with_zones(
     return joined.selectExpr(*enriched_columns(unmatched))
 
 
+def revenue_parts(enriched: DataFrame, *keys: str) -> DataFrame:
+    """What the mart's exact totals are put together from; parts of several months or
+    loads can be merged later."""
+    rows = enriched.select(F.col("pickup_borough").alias("borough"), *keys, "total_amount")
+    return partial_sums(rows, ["borough", *keys], "total_amount")
+
+
 def total(amount: str, money: str) -> Column:
-    """Sum of an amount. A sum of doubles depends on row order in its last digits;
-    ``decimal`` adds whole cents, for amounts of up to 16 digits and no NaN."""
+    """Sum of an amount by another way than the exact one. A plain sum of doubles depends
+    on row order in its last digits; ``decimal`` adds whole cents, for amounts of up to 16
+    digits and no NaN."""
     if money == "decimal":
         return F.sum(F.col(amount).cast("decimal(18,2)")).cast("double")
     if money == "double":
         return F.sum(amount)
-    raise ValueError(f"money must be decimal or double: {money}")
+    raise ValueError(f"money must be one of {MONEY}: {money}")
 
 
-def mart_revenue_by_borough(enriched: DataFrame, money: str = "double") -> DataFrame:
+def mart_revenue_by_borough(enriched: DataFrame, money: str = "exact") -> DataFrame:
     """Trips and revenue by pickup borough. Map tasks aggregate first, so a shuffle
     carries one row per borough and task, however many trips a borough has."""
+    if money == "exact":
+        return exact_sums(revenue_parts(enriched), ["borough"], "trip_count", "total_revenue")
     return enriched.groupBy(F.col("pickup_borough").alias("borough")).agg(
         F.count(F.lit(1)).alias("trip_count"),
         total("total_amount", money).alias("total_revenue"),
@@ -139,7 +153,7 @@ def create_views(spark: SparkSession, database: str, unmatched: str = "default")
         )
 
 
-def build_mart(spark: SparkSession, database: str, money: str = "double") -> DataFrame:
+def build_mart(spark: SparkSession, database: str, money: str = "exact") -> DataFrame:
     """Rebuild the mart table from the intermediate view."""
     rows = mart_revenue_by_borough(spark.table(f"`{database}`.{TRIPS_WITH_ZONES}"), money)
     # A new folder each time: readers of the old content are not cut off, and a

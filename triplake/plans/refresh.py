@@ -47,7 +47,7 @@ class Policy:
     null_verdict: str = "drop"
     on_null: str = "fail"
     unmatched: str = "default"
-    money: str = "double"
+    money: str = "exact"
     gather: bool = False
     files: int | None = None
     # Source months to clean again; all that there are, where none are named.

@@ -363,6 +363,13 @@ def q_mart_revenue_by_borough(spark, sf_dir, unmatched="default"):
     return models.mart_revenue_by_borough(enriched, money="decimal")
 
 
+def q_mart_revenue_exact(spark, sf_dir):
+    """The mart over trips in another order and number of tasks: the sum of the doubles,
+    rounded once."""
+    rows = q_int_trips_with_zones(spark, sf_dir).repartition(13)
+    return models.mart_revenue_by_borough(rows)
+
+
 def q_full_refresh_mart(spark, sf_dir, again=False):
     """The same path through storage: bronze, silver, raw tables, views and mart.
 
@@ -443,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "int_trips_with_zones_nulls": partial(q_int_trips_with_zones, unmatched="null"),
     "mart_revenue_by_borough": q_mart_revenue_by_borough,
     "mart_revenue_by_borough_nulls": partial(q_mart_revenue_by_borough, unmatched="null"),
+    "mart_revenue_exact": q_mart_revenue_exact,
     "full_refresh_mart": q_full_refresh_mart,
     "refresh_registered_again": partial(q_full_refresh_mart, again=True),
 }

@@ -76,9 +76,9 @@ def partition_month() -> Column:
     return F.date_format("tpep_pickup_datetime", "yyyy-MM")
 
 
-def month_key() -> Column:
+def month_key(pickup_column: str = "tpep_pickup_datetime") -> Column:
     """Month as one number, 202301 for January 2023."""
-    pickup = F.col("tpep_pickup_datetime")
+    pickup = F.col(pickup_column)
     return (F.year(pickup) * 100 + F.month(pickup)).cast("bigint")
 
 

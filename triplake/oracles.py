@@ -259,6 +259,10 @@ TAILS["mart_revenue_exact"] = """
           * unit::double) / 8796093022208 as total_revenue
         from cut
         """
+TAILS["refresh_one_month"] = TAILS["mart_revenue_exact"].replace(
+    "from int_default",
+    "from int_default where not (strftime(pickup_datetime, '%Y-%m') = '1996-03' and vendor_id > 3)",
+)
 TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
 TAILS["split_audit_stored"] = TAILS["trips_row_audit"]
 TAILS["raw_full_refresh_twice"] = TAILS["raw_trips_load"]

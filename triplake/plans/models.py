@@ -8,11 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from triplake.functions.exact import exact_sums, partial_sums
+from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, STAGING_TRIP_NAMES, STAGING_ZONE_NAMES
-from triplake.sources.raw import TRIPS_TABLE, ZONES_TABLE, new_run
+from triplake.sources.raw import (
+    DERIVED,
+    MONTH_KEY,
+    TRIPS_TABLE,
+    ZONES_TABLE,
+    holds,
+    months_of,
+    read_table,
+    table_log,
+    write_run,
+)
+from triplake.sources.snapshots import CommitLog, Snapshot
 
 STG_TRIPS, STG_ZONES = "stg_trips", "stg_zones"
 TRIPS_WITH_ZONES = "int_trips_with_zones"
@@ -153,14 +165,65 @@ def create_views(spark: SparkSession, database: str, unmatched: str = "default")
         )
 
 
-def build_mart(spark: SparkSession, database: str, money: str = "exact") -> DataFrame:
-    """Rebuild the mart table from the intermediate view."""
-    rows = mart_revenue_by_borough(spark.table(f"`{database}`.{TRIPS_WITH_ZONES}"), money)
+def mart_parts(unmatched: str = "default") -> str:
+    """Table of the parts by month that the mart's exact totals are put together from."""
+    return f"{REVENUE_MART}{DERIVED}{unmatched}"
+
+
+def _enriched(spark: SparkSession, database: str, snapshot: Snapshot, unmatched: str, months=None) -> DataFrame:
+    """The intermediate model over both raw tables of one snapshot."""
+    raw_trips = read_table(spark, database, TRIPS_TABLE, snapshot)
+    if months is not None:
+        raw_trips = raw_trips.filter(F.col(MONTH_KEY).isin(sorted(months)))
+    zones = stg_zones(read_table(spark, database, ZONES_TABLE, snapshot))
+    return int_trips_with_zones(stg_trips(raw_trips), zones, unmatched)
+
+
+def build_mart(
+    spark: SparkSession, database: str, money: str = "exact", unmatched: str = "default"
+) -> DataFrame:
+    """Rebuild the mart table from one snapshot of the raw tables.
+
+    Exact totals are kept as parts by month, which loads take out where they change what
+    a part was made from. Only trips of months without a part are read.
+    """
+    log = table_log(spark, database)
+    snapshot = log.latest()
+    if money == "exact":
+        totals, added, replaced = _exact_totals(spark, database, log, snapshot, unmatched)
+    else:
+        totals = mart_revenue_by_borough(_enriched(spark, database, snapshot, unmatched), money)
+        added, replaced = {}, set()
+    run, parts = write_run(log, REVENUE_MART, totals, None)
+    mart = holds(REVENUE_MART)
+    log.commit(added | {run: parts}, lambda part: mart(part) or part in replaced)
     # A new folder each time: readers of the old content are not cut off, and a
     # failing build leaves it in place.
-    name, folder = f"`{database}`.`{REVENUE_MART}`", new_run(spark, database, REVENUE_MART)
-    rows.write.parquet(folder)
-    path = folder.replace("'", "\\'")
+    name = f"`{database}`.`{REVENUE_MART}`"
+    path = f"{log.path(run)}/{parts[0]}".replace("'", "\\'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
     return spark.table(name)
+
+
+def _exact_totals(
+    spark: SparkSession, database: str, log: CommitLog, snapshot: Snapshot, unmatched: str
+) -> tuple[DataFrame, dict[str, list[str]], set[str]]:
+    """Totals from the parts of all months; parts that were made for them, by run; parts
+    of months that are gone."""
+    stored = mart_parts(unmatched)
+    there, needed = months_of(snapshot, stored), months_of(snapshot, TRIPS_TABLE)
+    missing = needed - there
+    held = {p: runs for p, runs in snapshot.parts.items() if holds(stored, needed)(p)}
+    gone = {p for p in snapshot.parts if holds(stored)(p)} - held.keys()
+    enriched = _enriched(spark, database, snapshot, unmatched, missing if there & needed else None)
+    fresh = revenue_parts(enriched.withColumn(MONTH_KEY, month_key("pickup_datetime")), MONTH_KEY)
+    added, written = {}, dict(snapshot.written)
+    if missing:
+        run, parts = write_run(log, stored, fresh, MONTH_KEY)
+        added, written[run] = {run: parts}, len(parts)
+        held |= {part: [run] for part in parts}
+    fields = [f for f in fresh.schema if f.name != MONTH_KEY]
+    schema = StructType([*fields, StructField(MONTH_KEY, LongType())])
+    rows = log.read(schema, Snapshot(snapshot.version, held, written))
+    return exact_sums(rows, ["borough"], "trip_count", "total_revenue"), added, gone

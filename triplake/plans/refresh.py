@@ -6,18 +6,22 @@ failed run is repaired by running it again.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from triplake.functions.trips import prepare_trips
-from triplake.operators.quality import trip_rules, zone_rules
+from triplake.operators.quality import CLEAN, VERDICT, trip_rules, zone_rules
 from triplake.plans.models import build_mart, create_views
 from triplake.schemas import SILVER_TRIPS, ZONES
 from triplake.sources.bronze import read_bronze_trips, read_zones_csv
-from triplake.sources.lake import read_clean, write_split
+from triplake.sources.lake import MONTH, read_clean, write_split
 from triplake.sources.landing import land
-from triplake.sources.raw import create_tables, full_refresh
+from triplake.sources.manifest import landing_log
+from triplake.sources.raw import TRIPS_TABLE, create_tables, full_refresh, months_of, table_log
+from triplake.sources.snapshots import GRACE_SECONDS, CommitLog
 
 
 @dataclass(frozen=True)
@@ -50,8 +54,11 @@ class Policy:
     money: str = "exact"
     gather: bool = False
     files: int | None = None
-    # Source months to clean again; all that there are, where none are named.
+    # Source months to clean, load and model again; all that there are, where none are named.
     months: tuple[str, ...] | None = None
+    # Versions that stay readable, and how old a run without one has to be to be removed.
+    keep: int = 10
+    grace_seconds: float = GRACE_SECONDS
 
 
 def land_verified(
@@ -79,20 +86,35 @@ def clean_zones(zones: DataFrame, lake: Lake, policy: Policy = Policy()) -> dict
 def load_raw(spark: SparkSession, lake: Lake, policy: Policy = Policy()) -> dict[str, int]:
     """Silver into the raw tables, which are made if absent and emptied first."""
     create_tables(spark, lake.database, lake.database_location)
-    return full_refresh(
-        spark,
-        read_clean(spark, lake.trips, SILVER_TRIPS),
-        read_clean(spark, lake.zones, ZONES),
-        lake.database,
-        policy.on_null,
-        policy.files,
-    )
+    trips, months = read_clean(spark, lake.trips, SILVER_TRIPS), None
+    if policy.months is not None:
+        # Silver's other months stay as they are loaded; those that are not yet come along.
+        parts = CommitLog(spark, lake.trips).latest().parts
+        stored = {p.rpartition("=")[2] for p in parts if p.startswith(f"{VERDICT}={CLEAN}/")}
+        loaded = months_of(table_log(spark, lake.database).latest(), TRIPS_TABLE)
+        named = set(policy.months) | {m for m in stored if _key(m) not in loaded}
+        trips = trips.filter(F.col(MONTH).isin(sorted(named)))
+        months = sorted(_key(m) for m in named if _key(m) is not None)
+    zones = read_clean(spark, lake.zones, ZONES)
+    return full_refresh(spark, trips, zones, lake.database, policy.on_null, policy.files, months)
+
+
+def _key(month: str) -> int | None:
+    """``YYYY-MM`` as raw tables write it; None for names of objects that are no months."""
+    return int(month.replace("-", "")) if re.fullmatch(r"\d{4}-\d{2}", month) else None
 
 
 def build_models(spark: SparkSession, lake: Lake, policy: Policy = Policy()) -> DataFrame:
     create_tables(spark, lake.database, lake.database_location)
     create_views(spark, lake.database, policy.unmatched)
-    return build_mart(spark, lake.database, policy.money)
+    return build_mart(spark, lake.database, policy.money, policy.unmatched)
+
+
+def vacuum(spark: SparkSession, lake: Lake, policy: Policy = Policy()) -> int:
+    """Remove versions and runs beyond what the policy keeps; how many folders and entries."""
+    logs = [CommitLog(spark, lake.trips), CommitLog(spark, lake.zones), table_log(spark, lake.database)]
+    logs.append(landing_log(spark, lake.bronze))
+    return sum(len(log.vacuum(policy.keep, policy.grace_seconds)) for log in logs)
 
 
 def refresh(
@@ -116,4 +138,5 @@ def refresh(
     audit["zones"] = clean_zones(zones, lake, policy)
     audit["raw"] = load_raw(spark, lake, policy)
     build_models(spark, lake, policy)
+    vacuum(spark, lake, policy)
     return audit

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake import fixtures
-from triplake.functions.trips import OBJECT_SUFFIX, month_key, prepare_trips, source_month
+from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, month_key, prepare_trips, source_month
 from triplake.operators import quality
 from triplake.operators.align import align
 from triplake.plans import models, refresh
@@ -370,21 +370,43 @@ def q_mart_revenue_exact(spark, sf_dir):
     return models.mart_revenue_by_borough(rows)
 
 
-def q_full_refresh_mart(spark, sf_dir, again=False):
-    """The same path through storage: bronze, silver, raw tables, views and mart.
-
-    ``again``: once more after the catalog has lost its entries, as in a new session.
-    """
+def new_lake(spark: SparkSession) -> refresh.Lake:
     root = scratch_dir(spark, "refresh")
-    place = refresh.Lake(
+    return refresh.Lake(
         bronze=f"{root}/bronze",
         root=f"{root}/lake",
         database=root.rsplit("/", 1)[-1].replace("-", "_"),
         database_location=f"{root}/warehouse",
     )
+
+
+def deliver_all(spark: SparkSession, sf_dir: str, place: refresh.Lake) -> None:
     fixtures.deliver_trips(spark, fixtures.trips_source(spark, sf_dir), place.bronze)
     zones = fixtures.zones_source(spark, sf_dir)
     fixtures.deliver_zones(zones, f"{place.bronze}/{place.zones_name}")
+
+
+def q_refresh_one_month(spark, sf_dir):
+    """All months through to the mart; then one month's object comes again with fewer
+    trips, and only that month is cleaned, loaded and added up anew."""
+    place = new_lake(spark)
+    deliver_all(spark, sf_dir, place)
+    refresh.refresh(spark, place)
+    name = f"{OBJECT_PREFIX}{PRUNED_MONTH}{OBJECT_SUFFIX}"
+    trips = fixtures.trips_source(spark, sf_dir)
+    again = trips.filter((F.col("file_name") == name) & (F.col("VendorID") <= 3)).drop("file_name")
+    again.write.mode("overwrite").parquet(f"{place.bronze}/{name}")
+    refresh.refresh(spark, place, refresh.Policy(months=(PRUNED_MONTH,)))
+    return spark.table(f"{place.database}.{models.REVENUE_MART}")
+
+
+def q_full_refresh_mart(spark, sf_dir, again=False):
+    """The same path through storage: bronze, silver, raw tables, views and mart.
+
+    ``again``: once more after the catalog has lost its entries, as in a new session.
+    """
+    place = new_lake(spark)
+    deliver_all(spark, sf_dir, place)
     policy = refresh.Policy(money="decimal")
     refresh.refresh(spark, place, policy)
     if again:
@@ -452,5 +474,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_revenue_by_borough_nulls": partial(q_mart_revenue_by_borough, unmatched="null"),
     "mart_revenue_exact": q_mart_revenue_exact,
     "full_refresh_mart": q_full_refresh_mart,
+    "refresh_one_month": q_refresh_one_month,
     "refresh_registered_again": partial(q_full_refresh_mart, again=True),
 }

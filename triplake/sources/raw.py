@@ -1,23 +1,25 @@
 """Raw layer: typed load targets with a NOT NULL contract, and their loads.
 
-Targets are external Spark tables, whose names move to a new folder at every refresh, or
-tables of any database through JDBC.
+Targets are the tables of a database folder, or tables of any database through JDBC. One
+commit log says which runs hold which month of which table, so all tables move to new
+content in one step, and a reader who asks for a snapshot never sees two loads mixed. The
+catalog's names follow the log: each month and run is a partition at its own place.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, NumericType, StringType, StructField, StructType
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
-from triplake.sources.objects import file_system, glob_objects
+from triplake.sources.objects import file_system
+from triplake.sources.snapshots import RUN, CommitLog, Snapshot
 
 TRIPS_TABLE, ZONES_TABLE = "raw_trips", "raw_zones"
 MONTH_KEY = "month_key"
@@ -26,9 +28,13 @@ MONTH_KEY = "month_key"
 TRIPS_ORDER = (MONTH_KEY, "tpep_pickup_datetime", "PULocationID")
 ZONES_ORDER = ("LocationID",)
 
-# Schema and partition column of each table; folders of its contents begin with RUN.
+# Schema and partition column of each table.
 TABLES = {TRIPS_TABLE: (RAW_TRIPS, MONTH_KEY), ZONES_TABLE: (RAW_ZONES, None)}
-RUN = "run-"
+# Folder that tells the tables of a database apart.
+TABLE = "_table"
+# In the names of tables that are derived from raw rows month by month. A load takes out
+# what it makes stale, in the same step.
+DERIVED = "_parts_"
 
 # What a NULL in a NOT NULL column does.
 ON_NULL = ("fail", "default")
@@ -43,40 +49,101 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
     """
     at = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
-    for table in (TRIPS_TABLE, ZONES_TABLE):
+    snapshot = table_log(spark, database).latest()
+    for table in TABLES:
         if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
-            register(spark, database, table, newest_run(spark, database, table))
+            register(spark, database, table, snapshot)
 
 
-def new_run(spark: SparkSession, database: str, table: str) -> str:
-    """Folder of a table's next content; later runs sort behind earlier ones."""
-    base = spark.catalog.getDatabase(f"`{database}`").locationUri.rstrip("/")
-    return f"{base}/{table}/{RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+def table_log(spark: SparkSession, database: str) -> CommitLog:
+    """The log of all tables of a database."""
+    return CommitLog(spark, spark.catalog.getDatabase(f"`{database}`").locationUri)
 
 
-def newest_run(spark: SparkSession, database: str, table: str) -> str:
-    """The newest folder whose write was committed, or a new one."""
-    base = spark.catalog.getDatabase(f"`{database}`").locationUri.rstrip("/")
-    committed = glob_objects(spark, f"{base}/{table}/{RUN}*/_SUCCESS")
-    return max((o.folder for o in committed), default=new_run(spark, database, table))
+def part_prefix(table: str) -> str:
+    return f"{TABLE}={table}"
 
 
-def register(spark: SparkSession, database: str, table: str, folder: str) -> None:
-    """Have the table's name mean ``folder``. Files of earlier runs stay."""
+def holds(table: str, months: Iterable[int] | None = None) -> Callable[[str], bool]:
+    """Whether a part is of a table, and of certain months where they are named."""
+    prefix = part_prefix(table)
+    if months is None:
+        return lambda part: part == prefix or part.startswith(f"{prefix}/")
+    return {f"{prefix}/{MONTH_KEY}={month}" for month in months}.__contains__
+
+
+def months_of(snapshot: Snapshot, table: str) -> set[int]:
+    """Months that a table has rows of."""
+    return {int(part.rpartition("=")[2]) for part in snapshot.parts if holds(table)(part) and "/" in part}
+
+
+def _stale(months: Iterable[int] | None = None) -> Callable[[str], bool]:
+    """Whether a part was derived from raw rows that change: of all months, or of some."""
+    ends = None if months is None else tuple(f"/{MONTH_KEY}={month}" for month in months)
+    return lambda part: DERIVED in part and (ends is None or part.endswith(ends))
+
+
+def read_table(
+    spark: SparkSession, database: str, table: str, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """A raw table as of a snapshot, the newest one by default. Tables read as of one
+    snapshot belong together, whatever is loaded meanwhile."""
+    schema, partition = TABLES[table]
+    more = [StructField(partition, LongType())] if partition else []
+    return table_log(spark, database).read(StructType([*schema, *more]), snapshot, holds(table))
+
+
+def register(spark: SparkSession, database: str, table: str, snapshot: Snapshot) -> None:
+    """Have the table's name mean what a snapshot holds. Partition columns are the month,
+    if the table has one, and the run that brought the rows."""
     schema, partition = TABLES[table]
-    columns = ", ".join(_column_ddl(field) for field in schema)
-    layout = f", `{partition}` BIGINT) USING parquet PARTITIONED BY (`{partition}`)"
-    name, path = f"`{database}`.`{table}`", folder.replace("'", "\\'")
-    at, fs = file_system(spark, folder)
+    log, name = table_log(spark, database), f"`{database}`.`{table}`"
+    kinds = ([f"`{partition}` BIGINT"] if partition else []) + [f"`{RUN}` STRING"]
+    by = ", ".join(k.split()[0] for k in kinds)
+    columns = ", ".join([*map(_column_ddl, schema), *kinds])
+    at, fs = file_system(spark, f"{log.root}/{table}")
     fs.mkdirs(at)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}"
-        + (layout if partition else ") USING parquet")
-        + f" LOCATION '{path}'"
-    )
-    if partition:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{_quoted(at.toString())}'")
+    parts = {part: runs for part, runs in snapshot.parts.items() if holds(table)(part)}
+    _add_partitions(spark, log, name, parts)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("'", "\\'")
+
+
+def _spec(part: str, run: str) -> str:
+    month = part.partition("/")[2]
+    values = ([f"`{MONTH_KEY}`={month.partition('=')[2]}"] if month else []) + [f"`{RUN}`='{run.partition('=')[2]}'"]
+    return f"PARTITION ({', '.join(values)})"
+
+
+def _add_partitions(spark: SparkSession, log: CommitLog, name: str, parts: dict[str, list[str]]) -> None:
+    places = [
+        f"{_spec(part, run)} LOCATION '{_quoted(f'{log.data}/{run}/{part}')}'"
+        for part, runs in parts.items()
+        for run in runs
+    ]
+    if places:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(places)}")
+
+
+def exchange(spark: SparkSession, database: str, table: str, before: Snapshot, after: Snapshot) -> None:
+    """Have the table's name follow from one snapshot to another: only the partitions that
+    differ are dropped and added."""
+    log, name = table_log(spark, database), f"`{database}`.`{table}`"
+
+    def places(snapshot: Snapshot) -> set[tuple[str, str]]:
+        mine = holds(table)
+        return {(part, run) for part, runs in snapshot.parts.items() if mine(part) for run in runs}
+
+    old, new = places(before), places(after)
+    gone = ", ".join(_spec(*place) for place in sorted(old - new))
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
+    _add_partitions(spark, log, name, {part: [run] for part, run in sorted(new - old)})
+    spark.catalog.refreshTable(name)
 
 
 def _column_ddl(field: StructField) -> str:
@@ -144,9 +211,35 @@ def lay_out_trips(df: DataFrame, files: int | None = None) -> DataFrame:
 
 
 def truncate(spark: SparkSession, database: str) -> None:
-    for table in (TRIPS_TABLE, ZONES_TABLE):
-        if spark.catalog.tableExists(f"`{database}`.`{table}`"):
-            register(spark, database, table, new_run(spark, database, table))
+    names = [t for t in TABLES if spark.catalog.tableExists(f"`{database}`.`{t}`")]
+    if not names:
+        return
+    stale = _stale()
+    empty = table_log(spark, database).commit({}, lambda part: stale(part) or any(holds(t)(part) for t in names))
+    for table in names:
+        register(spark, database, table, empty)
+
+
+def laid_out(table: str, silver: DataFrame, on_null: str = "fail", files: int | None = None) -> DataFrame:
+    """Silver rows as their raw table stores them."""
+    if table == TRIPS_TABLE:
+        return lay_out_trips(to_contract(silver, RAW_TRIPS, on_null), files)
+    return to_contract(silver, RAW_ZONES, on_null).sortWithinPartitions(*ZONES_ORDER)
+
+
+def _counted(rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``rows``, and how many were written, once they are: counted in the writing tasks,
+    after any shuffle."""
+    count = Observation("loaded")
+    return rows.observe(count, F.count(F.lit(1)).alias("n")), lambda: count.get["n"]
+
+
+def write_run(log: CommitLog, table: str, rows: DataFrame, partition: str | None) -> tuple[str, list[str]]:
+    """Write a table's rows to a run of their own; the run and its parts. No reader sees
+    them before they are committed."""
+    run, prefix = log.new_run(), part_prefix(table)
+    rows.write.partitionBy(*filter(None, [partition])).parquet(f"{log.path(run)}/{prefix}")
+    return run, log.parts_of(run, 2) if partition else [prefix]
 
 
 def append_trips(
@@ -156,20 +249,29 @@ def append_trips(
     files: int | None = None,
 ) -> int:
     """Append silver trips to the raw table; returns the number of rows."""
-    rows = lay_out_trips(to_contract(silver, RAW_TRIPS, on_null), files)
-    return _append(rows, f"`{database}`.`{TRIPS_TABLE}`")
+    return _append(TRIPS_TABLE, silver, database, on_null, files)
 
 
 def append_zones(silver: DataFrame, database: str, on_null: str = "fail") -> int:
-    rows = to_contract(silver, RAW_ZONES, on_null).sortWithinPartitions(*ZONES_ORDER)
-    return _append(rows, f"`{database}`.`{ZONES_TABLE}`")
+    return _append(ZONES_TABLE, silver, database, on_null)
 
 
-def _append(rows: DataFrame, table: str) -> int:
-    # Counted in the writing tasks, after any shuffle.
-    count = Observation("loaded")
-    rows.observe(count, F.count(F.lit(1)).alias("n")).write.insertInto(table)
-    return count.get["n"]
+def _append(table: str, silver: DataFrame, database: str, on_null: str, files: int | None = None) -> int:
+    spark = silver.sparkSession
+    log = table_log(spark, database)
+    rows, counted = _counted(laid_out(table, silver, on_null, files))
+    run, parts = write_run(log, table, rows, TABLES[table][1])
+    touched = [int(part.rpartition("=")[2]) for part in parts] if table == TRIPS_TABLE else None
+    log.commit({run: parts}, _stale(touched))
+    places = {part: [run] for part in parts}
+    _add_partitions(spark, log, f"`{database}`.`{table}`", places)
+    return counted()
+
+
+def _content(zones: DataFrame) -> tuple:
+    """Row count and a hash of the rows, whatever their order."""
+    row_hash = F.xxhash64(*zones.columns).cast("decimal(38,0)")
+    return tuple(zones.agg(F.count(F.lit(1)), F.sum(row_hash)).first())
 
 
 def full_refresh(
@@ -179,26 +281,34 @@ def full_refresh(
     database: str,
     on_null: str = "fail",
     files: int | None = None,
+    months: Iterable[int] | None = None,
 ) -> dict[str, int]:
-    """Replace both raw tables. Running it again gives the same tables.
+    """Replace both raw tables, or of the trips only ``months``. Running it again gives the
+    same tables.
 
-    Both are written to new folders, and the names move there after both writes
-    were committed: a load that fails leaves the old rows in place.
+    Both are written to new runs, and one log entry names them after both writes were
+    committed: a load that fails leaves the old rows in place, and no snapshot has the
+    rows of two loads.
     """
-    loads = {
-        TRIPS_TABLE: lay_out_trips(to_contract(silver_trips, RAW_TRIPS, on_null), files),
-        ZONES_TABLE: to_contract(silver_zones, RAW_ZONES, on_null).sortWithinPartitions(*ZONES_ORDER),
-    }
-    loaded, folders = {}, {}
-    for table, rows in loads.items():
-        folders[table] = new_run(spark, database, table)
-        count = Observation("loaded")
-        writer = rows.observe(count, F.count(F.lit(1)).alias("n")).write
-        partition = TABLES[table][1]
-        writer.partitionBy(*filter(None, [partition])).parquet(folders[table])
-        loaded[table] = count.get["n"]
-    for table, folder in folders.items():
-        register(spark, database, table, folder)
+    log = table_log(spark, database)
+    loaded, added = {}, {}
+    for table, silver in ((TRIPS_TABLE, silver_trips), (ZONES_TABLE, silver_zones)):
+        rows, counted = _counted(laid_out(table, silver, on_null, files))
+        run, added_parts = write_run(log, table, rows, TABLES[table][1])
+        added[run] = added_parts
+        loaded[table] = counted()
+    before = log.latest()
+    trips, zones = holds(TRIPS_TABLE, months), holds(ZONES_TABLE)
+    same_zones = months is not None and _content(read_table(spark, database, ZONES_TABLE, before)) == _content(
+        to_types(silver_zones, RAW_ZONES)
+    )
+    stale = _stale(months if same_zones else None)
+    after = log.commit(added, lambda part: trips(part) or zones(part) or stale(part))
+    for table in TABLES:
+        if months is None:
+            register(spark, database, table, after)
+        else:
+            exchange(spark, database, table, before, after)
     return loaded
 
 
@@ -208,17 +318,20 @@ def write_jdbc(
     options: dict[str, str],
     refresh: bool = False,
     on_null: str = "fail",
-) -> None:
-    """Load a raw table of a database, by append or after truncating it.
+) -> int:
+    """Load a raw table of a database, by append or after truncating it; returns the
+    number of rows that were sent.
 
     ``options`` are those of Spark's JDBC source: ``url``, ``dbtable``, ``user``,
     ``password``, ``driver``, and ``numPartitions`` to bound the connections.
     Each partition is one transaction; on a target without transactions, a task
     that runs again after a loss can leave rows twice, and a refresh repairs it.
     """
-    writer = to_contract(silver, schema, on_null).write.format("jdbc").options(**options)
+    rows, counted = _counted(to_contract(silver, schema, on_null))
+    writer = rows.write.format("jdbc").options(**options)
     if refresh:
         writer = writer.mode("overwrite").option("truncate", True)
     else:
         writer = writer.mode("append")
     writer.save()
+    return counted()

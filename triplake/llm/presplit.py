@@ -6,6 +6,7 @@ and its words tile the text, so a batch's words are its bytes cut at positions.
 
 from __future__ import annotations
 
+import gc
 import re
 import unicodedata
 from array import array
@@ -141,19 +142,29 @@ class TextEncoder:
         words, index, counts = distinct_words(texts)
         if len(self.known) > self.known_words // 2:
             self.known, self.older = {}, self.known
-        known, older, encode = self.known, self.older, self.encode_word
-        ids = []
-        for word in words:
-            found = known.get(word)
-            if found is None:
-                found = known[word] = older.get(word) or array("i", encode(word)).tobytes()
-            ids.append(found)
+        ids = self._ids_of(words)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.int32)
         taken = sizes[index]
         ends = np.append(0, np.cumsum(taken))[np.append(0, np.cumsum(counts))]
         return gather(flat, (np.cumsum(sizes) - sizes)[index], taken), np.diff(ends)
 
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        known, older, encode = self.known, self.older, self.encode_word
+        ids = list(map(known.get, words))
+        # Many short-lived objects and no cycles: collections would only walk the tables.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for i, found in enumerate(ids):
+                if found is None:
+                    word = words[i]
+                    ids[i] = known[word] = older.get(word) or array("i", encode(word)).tobytes()
+        finally:
+            if collecting:
+                gc.enable()
+        return ids
+
     def _parted(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The same with added tokens: pieces between them are texts of their own."""
         pieces, marks, of_text = [], [], []

@@ -206,3 +206,24 @@ def test_zones_csv_goes_by_position(spark, tmp_path):
         "Astoria",
         "Boro Zone",
     )
+
+
+def test_bad_lines_have_a_reason(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    header = "LocationID,Borough,Zone,service_zone\n"
+    path.write_text(header + '1,"a, b",c,d\nx,b,c,d\n2,b\n3,b,c,d,e\n4,"",c,\n99999999999,b,c,d\n\n')
+    found = {r.line: r.reason for r in bronze.zones_csv_rejects(spark, str(path)).collect()}
+    assert found == {
+        "x,b,c,d": bronze.TYPE, "99999999999,b,c,d": bronze.TYPE, "2,b": bronze.FIELDS, "3,b,c,d,e": bronze.FIELDS,
+    }
+
+
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("Borough,LocationID,Zone,service_zone\nQueens,7,Astoria,Boro Zone\n")
+    for read in (bronze.zones_csv_rejects, lambda *a: bronze.read_zones_csv(*a, check_header=True)):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, str(path)).collect()
+    path.write_text("LocationID,Borough,Zone,service_zone\n7,Queens,Astoria,Boro Zone\n")
+    assert bronze.read_zones_csv(spark, str(path), check_header=True).count() == 1
+    assert bronze.zones_csv_rejects(spark, str(path)).count() == 0

@@ -102,6 +102,30 @@ def test_null_fails_the_load(spark, tables):
     assert {k for k, n in counts.items() if n} == {"extra", "store_and_fwd_flag"}
 
 
+def test_broken_rows_are_kept_apart(spark, tables):
+    df = silver(spark, {}, {"extra": None}, {"extra": None, "fare_amount": None}, {"tpep_pickup_datetime": None})
+    assert raw.append_trips(df, tables, on_null="reject") == 1
+    assert trips_of(spark, tables).count() == 1
+    required = [f.name for f in RAW_TRIPS if not f.nullable]
+    bit = {name: 1 << i for i, name in enumerate(required)}
+    found = raw.read_rejects(spark, tables, raw.TRIPS_TABLE).collect()
+    assert sorted(r[raw.BROKEN] for r in found) == sorted(
+        [bit["extra"], bit["extra"] | bit["fare_amount"], bit["tpep_pickup_datetime"]]
+    )
+    assert {r.month_key for r in found} == {202301, None}
+    zones = rows.zones(spark, (1, "a", "b", "c"), (2, None, "b", None))
+    assert raw.full_refresh(spark, df, zones, tables, on_null="reject") == {"raw_trips": 1, "raw_zones": 1}
+    assert raw.read_rejects(spark, tables, raw.TRIPS_TABLE).count() == 3
+    assert raw.read_rejects(spark, tables, raw.ZONES_TABLE).first()[raw.BROKEN] == 0b1010
+    raw.full_refresh(spark, df.limit(1), zones.limit(1), tables)
+    assert raw.read_rejects(spark, tables, raw.TRIPS_TABLE).count() == 0
+    raw.full_refresh(spark, df, zones, tables, on_null="reject")
+    raw.truncate(spark, tables)
+    assert raw.read_rejects(spark, tables, raw.ZONES_TABLE).count() == trips_of(spark, tables).count() == 0
+    with pytest.raises(ValueError, match="on_null"):
+        raw.write_jdbc(df, RAW_TRIPS, {}, on_null="reject")
+
+
 @pytest.mark.parametrize("column", [f.name for f in RAW_TRIPS if not f.nullable])
 def test_every_required_column_is_checked(spark, column):
     with pytest.raises(PySparkException, match="NOT NULL column"):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, source_month
 from triplake.operators.align import align, union_aligned
-from triplake.schemas import BRONZE_TRIPS
+from triplake.schemas import BRONZE_TRIPS, ZONES
 from triplake.session import scratch_dir
 from triplake.sources.lake import gathered
 from triplake.sources.objects import file_system, glob_objects
@@ -147,6 +147,30 @@ def deliver_zones(zones: DataFrame, path: str) -> None:
     zones.write.options(header=True, **keep).csv(path)
 
 
+def zone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones as text, each with its key: zones 1 to 4 have an id that is no number, a field
+    less, a field more, and a quoted comma."""
+    nation = F.col("n_nationkey")
+    names = [F.col("n_name"), F.col("n_name"), F.lit("Z")]
+    plain = F.concat_ws(",", nation.cast("string"), *names)
+    line = (
+        F.when(nation == 1, F.concat(F.lit("x"), plain))
+        .when(nation == 2, F.concat_ws(",", nation.cast("string"), *names[:2]))
+        .when(nation == 3, F.concat(plain, F.lit(",more")))
+        .when(nation == 4, F.concat_ws(",", nation.cast("string"), F.lit('"a, b"'), *names[1:]))
+        .otherwise(plain)
+    )
+    return table(spark, sf_dir, "nation").select(nation.alias("key"), line.alias("line"))
+
+
+def deliver_zone_lines(lines: DataFrame, folder: str) -> None:
+    """Store lines in order behind a header, as one file."""
+    spark = lines.sparkSession
+    header = spark.createDataFrame([(None, ",".join(ZONES.names))], "key int, line string")
+    ordered = header.union(lines.select(F.col("key").cast("int"), "line")).repartition(1)
+    ordered.sortWithinPartitions(F.asc_nulls_first("key")).select("line").write.text(folder)
+
+
 def zones_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup in which zones 1 to 3 each lack one attribute."""
     nation = F.col("n_nationkey")

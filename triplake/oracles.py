@@ -4,6 +4,8 @@
 query's text is the base followed by its own select.
 """
 
+from triplake.schemas import RAW_TRIPS
+
 BASE = """
 with trips_src as (
   select 'yellow_tripdata_' || case when l_linenumber = 7 then '1900-01'
@@ -259,6 +261,15 @@ TAILS["mart_revenue_exact"] = """
           * unit::double) / 8796093022208 as total_revenue
         from cut
         """
+TAILS["zones_csv_rejects"] = """
+        select case n_nationkey when 1 then 'x1,' || n_name || ',' || n_name || ',Z'
+            when 2 then '2,' || n_name || ',' || n_name else '3,' || n_name || ',' || n_name || ',Z,more' end as line,
+          case n_nationkey when 1 then 'type of a value' else 'number of fields' end as reason
+        from nation where n_nationkey in (1, 2, 3)
+        """
+_REQUIRED = [f.name for f in RAW_TRIPS if not f.nullable]
+_BITS = " + ".join(f"case when {name} is null then {1 << i} else 0 end" for i, name in enumerate(_REQUIRED))
+TAILS["raw_load_rejects"] = f"select cast({_BITS} as bigint) as broken, count(*) as n from prep group by 1"
 TAILS["refresh_one_month"] = TAILS["mart_revenue_exact"].replace(
     "from int_default",
     "from int_default where not (strftime(pickup_datetime, '%Y-%m') = '1996-03' and vendor_id > 3)",

@@ -215,6 +215,13 @@ def q_zones_csv(spark, sf_dir):
     return bronze.read_zones_csv(spark, f"{root}/bronze/{name}")
 
 
+def q_zones_csv_rejects(spark, sf_dir):
+    """Lines of a delivered lookup that do not fit it, and why."""
+    folder = scratch_dir(spark, "zone-lines")
+    fixtures.deliver_zone_lines(fixtures.zone_lines(spark, sf_dir), folder)
+    return bronze.zones_csv_rejects(spark, folder)
+
+
 def q_zones_stored(spark, sf_dir):
     """Both zone outputs, read back from storage."""
     root = stored_zones(spark, sf_dir)
@@ -324,6 +331,19 @@ def q_raw_load_defaults(spark, sf_dir):
     return spark.table(f"{database}.{raw.TRIPS_TABLE}").select(*RAW_TRIPS.names)
 
 
+def q_raw_load_rejects(spark, sf_dir):
+    """All trips loaded, and what the NOT NULL rule kept out, by the columns it broke."""
+    database = raw_database(spark)
+    trips = lake.gathered(prepared(spark, sf_dir).drop("source_month"), "partition_month")
+    loaded = raw.append_trips(trips, database, on_null="reject")
+    broken = raw.read_rejects(spark, database, raw.TRIPS_TABLE)
+    counts = broken.groupBy(F.col(raw.BROKEN).alias("broken")).agg(F.count(F.lit(1)).alias("n"))
+    kept = raw.read_table(spark, database, raw.TRIPS_TABLE).agg(F.count(F.lit(1)).alias("n"))
+    if kept.first().n != loaded:
+        raise RuntimeError("the load counted other rows than it stored")
+    return counts.unionByName(kept.select(F.lit(0).cast("long").alias("broken"), "n"))
+
+
 def q_loaded_counts(spark, sf_dir):
     database = raw_database(spark)
     trips = lake.read_clean(spark, stored_trips(spark, sf_dir), SILVER_TRIPS)
@@ -452,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_silver": lambda spark, sf_dir: split_zones(spark, sf_dir).clean,
     "zones_quarantine": lambda spark, sf_dir: split_zones(spark, sf_dir).quarantine,
     "zones_stored": q_zones_stored,
+    "zones_csv_rejects": q_zones_csv_rejects,
     "zones_row_audit": q_zones_row_audit,
     "raw_month_key": q_raw_month_key,
     "raw_trips_load": q_raw_trips_load,
@@ -459,6 +480,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_zones_load": q_raw_zones_load,
     "raw_append_twice": q_raw_append_twice,
     "raw_load_defaults": q_raw_load_defaults,
+    "raw_load_rejects": q_raw_load_rejects,
     "loaded_counts": q_loaded_counts,
     "raw_full_refresh_twice": q_raw_full_refresh_twice,
     "landing_missing": q_landing_missing,

@@ -20,6 +20,8 @@ from triplake.sources.snapshots import RUN
 
 # Schema look-ups that run side by side on the driver.
 SCHEMA_THREADS = 16
+# Column of a text file's line as it is, where it is a bad one.
+BAD_LINE = "_bad_line"
 
 
 class BronzeGroup(NamedTuple):
@@ -135,8 +137,35 @@ def month_of(name: str) -> str:
     return name[start : start + length]
 
 
-def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup. Columns go by position and the header line is skipped;
-    a value that does not fit its type, or is missing, is NULL."""
-    path = stored_path(spark, path)
-    return spark.read.schema(ZONES).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def _zone_lines(spark: SparkSession, path: str, schema: StructType, check_header: bool) -> DataFrame:
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    # All columns are looked at, whichever are asked for, as any of them can be a bad one.
+    some = not check_header and BAD_LINE not in schema.names
+    reader = reader.option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", some)
+    reader = reader.option("enforceSchema", not check_header)
+    return reader.csv(stored_path(spark, path))
+
+
+def read_zones_csv(spark: SparkSession, path: str, check_header: bool = False) -> DataFrame:
+    """Zone lookup. Columns go by position and the header line is skipped; a value that
+    does not fit its type, or is missing, is NULL. With ``check_header`` a file whose
+    header has other names, or has them in another order, fails."""
+    return _zone_lines(spark, path, ZONES, check_header)
+
+
+# What is wrong with a line.
+FIELDS, TYPE = "number of fields", "type of a value"
+
+
+def zones_csv_rejects(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
+    """line and reason of every line that has not as many fields as the lookup, or a value
+    that does not fit its type. Such lines are in ``read_zones_csv`` as well, with NULLs."""
+    marked = StructType([*ZONES, StructField(BAD_LINE, StringType())])
+    bad = _zone_lines(spark, path, marked, check_header).filter(F.col(BAD_LINE).isNotNull())
+    # As texts, a line is only bad if it has more fields, or fewer.
+    texts = ", ".join(f"{name} STRING" for name in [*ZONES.names, BAD_LINE])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    counted = F.from_csv(F.col(BAD_LINE), texts, options)[BAD_LINE]
+    # The id is the one column that is not a text.
+    reason = F.when(counted.isNotNull(), FIELDS).when(F.col(ZONES.names[0]).isNull(), TYPE)
+    return bad.select(F.col(BAD_LINE).alias("line"), reason.alias("reason"))

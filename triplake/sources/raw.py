@@ -37,7 +37,9 @@ TABLE = "_table"
 DERIVED = "_parts_"
 
 # What a NULL in a NOT NULL column does.
-ON_NULL = ("fail", "default")
+ON_NULL = ("fail", "default", "reject")
+# Bits of the required columns that are NULL in a rejected row, the first column's lowest.
+BROKEN = "_broken"
 
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -162,8 +164,8 @@ def to_contract(df: DataFrame, schema: StructType, on_null: str = "fail") -> Dat
     Parquet tables do not enforce NOT NULL, so each row is checked as it is
     written: the first NULL fails the job, or becomes the type's default.
     """
-    if on_null not in ON_NULL:
-        raise ValueError(f"on_null must be one of {ON_NULL}: {on_null}")
+    if on_null not in ON_NULL[:2]:
+        raise ValueError(f"on_null must be one of {ON_NULL[:2]} here: {on_null}")
     rows, required = to_types(df, schema), [f for f in schema if not f.nullable]
     if on_null == "default":
         values = {f.name: F.coalesce(F.col(f.name), _default(f.dataType)) for f in required}
@@ -179,6 +181,13 @@ def to_contract(df: DataFrame, schema: StructType, on_null: str = "fail") -> Dat
     return rows.filter(F.when(broken, error.cast("boolean")).otherwise(F.lit(True)))
 
 
+def broken_bits(schema: StructType) -> Column:
+    """A bit for each required column that is NULL."""
+    required = [f.name for f in schema if not f.nullable]
+    bits = [F.when(F.col(name).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(required)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")
+
+
 def _default(data_type: DataType) -> Column:
     if isinstance(data_type, StringType):
         return F.lit("")
@@ -201,13 +210,27 @@ def lay_out_trips(df: DataFrame, files: int | None = None) -> DataFrame:
     into that many key ranges, which makes the files' time ranges narrow.
     """
     keyed = df.withColumn(MONTH_KEY, month_key())
+    first = [TABLE] if TABLE in df.columns else []
     if files is not None:
         # Many trips, even exact copies, can share a key; the row's position
         # breaks the tie, so that a hot key is spread over several ranges. It
         # needs an input whose row order is fixed, such as a file scan.
         ranged = keyed.withColumn("_position", F.monotonically_increasing_id())
         keyed = ranged.repartitionByRange(files, *TRIPS_ORDER, "_position").drop("_position")
-    return keyed.sortWithinPartitions(*TRIPS_ORDER)
+    return keyed.sortWithinPartitions(*first, *TRIPS_ORDER)
+
+
+def rejects(table: str) -> str:
+    """The table of rows that broke the NOT NULL rule of ``table``."""
+    return f"{table}_rejects"
+
+
+def read_rejects(spark: SparkSession, database: str, table: str, snapshot: Snapshot | None = None) -> DataFrame:
+    """Rows that loads with ``on_null="reject"`` kept out, with their broken columns."""
+    schema, partition = TABLES[table]
+    fields = [StructField(f.name, f.dataType) for f in schema] + [StructField(BROKEN, LongType())]
+    more = [StructField(partition, LongType())] if partition else []
+    return table_log(spark, database).read(StructType([*fields, *more]), snapshot, holds(rejects(table)))
 
 
 def truncate(spark: SparkSession, database: str) -> None:
@@ -215,29 +238,43 @@ def truncate(spark: SparkSession, database: str) -> None:
     if not names:
         return
     stale = _stale()
-    empty = table_log(spark, database).commit({}, lambda part: stale(part) or any(holds(t)(part) for t in names))
+    gone = [stale, *(holds(t) for t in names), *(holds(rejects(t)) for t in names)]
+    empty = table_log(spark, database).commit({}, lambda part: any(of(part) for of in gone))
     for table in names:
         register(spark, database, table, empty)
 
 
 def laid_out(table: str, silver: DataFrame, on_null: str = "fail", files: int | None = None) -> DataFrame:
-    """Silver rows as their raw table stores them."""
+    """Silver rows as their raw table stores them. With ``reject``, rows that break the
+    contract are marked and go to a table of their own, in the same pass."""
+    schema = TABLES[table][0]
+    if on_null == "reject":
+        rows = to_types(silver, schema).withColumn(BROKEN, broken_bits(schema))
+        target = F.when(F.col(BROKEN) == 0, table).otherwise(F.lit(rejects(table)))
+        rows = rows.withColumn(TABLE, target)
+    else:
+        rows = to_contract(silver, schema, on_null)
     if table == TRIPS_TABLE:
-        return lay_out_trips(to_contract(silver, RAW_TRIPS, on_null), files)
-    return to_contract(silver, RAW_ZONES, on_null).sortWithinPartitions(*ZONES_ORDER)
+        return lay_out_trips(rows, files)
+    return rows.sortWithinPartitions(*(c for c in (TABLE, *ZONES_ORDER) if c in rows.columns))
 
 
 def _counted(rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
-    """``rows``, and how many were written, once they are: counted in the writing tasks,
+    """``rows``, and how many were loaded, once they are: counted in the writing tasks,
     after any shuffle."""
     count = Observation("loaded")
-    return rows.observe(count, F.count(F.lit(1)).alias("n")), lambda: count.get["n"]
+    kept = F.count_if(F.col(BROKEN) == 0) if BROKEN in rows.columns else F.count(F.lit(1))
+    return rows.observe(count, kept.alias("n")), lambda: count.get["n"]
 
 
 def write_run(log: CommitLog, table: str, rows: DataFrame, partition: str | None) -> tuple[str, list[str]]:
     """Write a table's rows to a run of their own; the run and its parts. No reader sees
     them before they are committed."""
     run, prefix = log.new_run(), part_prefix(table)
+    if TABLE in rows.columns:
+        columns = [TABLE, *filter(None, [partition])]
+        rows.write.partitionBy(*columns).parquet(log.path(run))
+        return run, log.parts_of(run, len(columns))
     rows.write.partitionBy(*filter(None, [partition])).parquet(f"{log.path(run)}/{prefix}")
     return run, log.parts_of(run, 2) if partition else [prefix]
 
@@ -261,9 +298,10 @@ def _append(table: str, silver: DataFrame, database: str, on_null: str, files: i
     log = table_log(spark, database)
     rows, counted = _counted(laid_out(table, silver, on_null, files))
     run, parts = write_run(log, table, rows, TABLES[table][1])
-    touched = [int(part.rpartition("=")[2]) for part in parts] if table == TRIPS_TABLE else None
+    mine = [part for part in parts if holds(table)(part)]
+    touched = [int(part.rpartition("=")[2]) for part in mine] if table == TRIPS_TABLE else None
     log.commit({run: parts}, _stale(touched))
-    places = {part: [run] for part in parts}
+    places = {part: [run] for part in mine}
     _add_partitions(spark, log, f"`{database}`.`{table}`", places)
     return counted()
 
@@ -303,7 +341,8 @@ def full_refresh(
         to_types(silver_zones, RAW_ZONES)
     )
     stale = _stale(months if same_zones else None)
-    after = log.commit(added, lambda part: trips(part) or zones(part) or stale(part))
+    old = [trips, zones, stale, holds(rejects(TRIPS_TABLE), months), holds(rejects(ZONES_TABLE))]
+    after = log.commit(added, lambda part: any(of(part) for of in old))
     for table in TABLES:
         if months is None:
             register(spark, database, table, after)

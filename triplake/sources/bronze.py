@@ -161,11 +161,14 @@ def zones_csv_rejects(spark: SparkSession, path: str, check_header: bool = True)
     """line and reason of every line that has not as many fields as the lookup, or a value
     that does not fit its type. Such lines are in ``read_zones_csv`` as well, with NULLs."""
     marked = StructType([*ZONES, StructField(BAD_LINE, StringType())])
-    bad = _zone_lines(spark, path, marked, check_header).filter(F.col(BAD_LINE).isNotNull())
+    number = F.col(ZONES.names[0])
+    # Spark refuses to read bad lines by themselves, so the filter looks at a value as well.
+    looked = F.greatest(F.length(BAD_LINE), F.coalesce(number % 1, F.lit(0))) >= 0
+    bad = _zone_lines(spark, path, marked, check_header).filter(F.col(BAD_LINE).isNotNull() & looked)
     # As texts, a line is only bad if it has more fields, or fewer.
     texts = ", ".join(f"{name} STRING" for name in [*ZONES.names, BAD_LINE])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
     counted = F.from_csv(F.col(BAD_LINE), texts, options)[BAD_LINE]
     # The id is the one column that is not a text.
-    reason = F.when(counted.isNotNull(), FIELDS).when(F.col(ZONES.names[0]).isNull(), TYPE)
+    reason = F.when(counted.isNotNull(), FIELDS).when(number.isNull(), TYPE)
     return bad.select(F.col(BAD_LINE).alias("line"), reason.alias("reason"))

@@ -2,6 +2,7 @@ import pytest
 import rows
 from pyspark.sql import functions as F
 from triplake.functions.trips import prepare_trips
+from triplake.operators import joins
 from triplake.plans import models
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
 from triplake.sources.raw import to_contract
@@ -103,20 +104,43 @@ def test_lookup_is_broadcast_only_when_small(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_large_lookup_gives_the_same(spark, monkeypatch):
-    """Joined by shuffle, a zone with most trips included, nothing changes."""
+@pytest.mark.parametrize("copied", [False, True])
+def test_large_lookup_gives_the_same(spark, monkeypatch, copied):
+    """Joined by shuffle, with a frequent zone, NULLs, unknown and repeated zones."""
     hot = [{"PULocationID": 7, "extra": float(i)} for i in range(300)]
-    trips, zones = staged(spark, [*hot, {"PULocationID": 8}, {"PULocationID": 99}])
-    small = models.int_trips_with_zones(trips, zones)
-    monkeypatch.setattr(models, "lookup_side", lambda df: df)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rest = [{"PULocationID": 8}, {"PULocationID": 99}, {"PULocationID": 50}, {"DOLocationID": 50}]
+    trips, zones = staged(spark, [*hot, *rest])
+    for end in ("pickup_location_id", "dropoff_location_id"):
+        trips = trips.withColumn(end, F.nullif(F.col(end), F.lit(50)))
+    zones = zones.union(zones.limit(1))
+    expected = rows.multiset(models.int_trips_with_zones(trips, zones))
+    monkeypatch.setattr(joins, "FREQUENT", 100)
+    if copied:
+        # Not even the frequent zones' rows are broadcast.
+        monkeypatch.setattr(models, "lookup_side", lambda df, *_: df)
+    large = models.int_trips_with_zones(trips, zones, max_rows=0)
+    assert rows.multiset(large) == expected
+
+
+def test_a_frequent_zone_is_no_single_tasks_work(spark):
+    """Half of all trips have one zone, and nothing splits partitions at run time."""
+    keys = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 20_000 + 100)
+    trips = spark.range(0, 40_000, 1, 8).select(keys.alias("k"), "id")
+    lookup = spark.range(30_000).select(F.col("id").alias("z"), F.concat(F.lit("n"), "id").alias("name"))
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        large = models.int_trips_with_zones(trips, zones)
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert rows.multiset(large) == rows.multiset(small)
+        frequent = spark.createDataFrame(joins.frequent_keys(trips, F.col("k")).collect(), "_key long")
+        assert [r[0] for r in frequent.collect()] == [7]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = joins.spread_left_join(trips, lookup, "k", "z", F.broadcast, frequent)
+        sizes = sorted(r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        plain = trips.join(lookup, F.col("k") == F.col("z"), "left")
+        before = max(r.n for r in plain.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name, value in saved.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 40_000 and sizes[-1] <= 3 * sizes[len(sizes) // 2] and before > 20_000
 
 
 def test_counts_are_of_rows(spark):

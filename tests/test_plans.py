@@ -72,7 +72,7 @@ def test_mart_reads_three_columns_and_shuffles_once(spark, tmp_path, database, s
     load_raw(spark, place)
     build_models(spark, place)
     enriched = spark.table(f"{name}.{models.TRIPS_WITH_ZONES}")
-    text = plan(models.mart_revenue_by_borough(enriched))
+    text = plan(models.mart_revenue_by_borough(enriched, "decimal"))
     assert text.count("BroadcastHashJoin") == 2
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
     assert text.count("partial_sum") == 1

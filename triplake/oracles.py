@@ -261,6 +261,7 @@ TAILS["mart_revenue_exact"] = """
           * unit::double) / 8796093022208 as total_revenue
         from cut
         """
+TAILS["int_trips_skewed"] = TAILS["int_trips_with_zones"]
 TAILS["zones_csv_rejects"] = """
         select case n_nationkey when 1 then 'x1,' || n_name || ',' || n_name || ',Z'
             when 2 then '2,' || n_name || ',' || n_name else '3,' || n_name || ',' || n_name || ',Z,more' end as line,

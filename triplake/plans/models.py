@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from triplake.functions.exact import exact_sums, partial_sums
 from triplake.functions.trips import month_key
+from triplake.operators.joins import frequent_keys, spread_left_join
 from triplake.schemas import RAW_TRIPS, RAW_ZONES, STAGING_TRIP_NAMES, STAGING_ZONE_NAMES
 from triplake.sources.raw import (
     DERIVED,
@@ -85,15 +86,15 @@ def lookup_side(
 ) -> DataFrame:
     """``df`` marked for broadcast if it is measured to be small, else unchanged.
 
-    A session that forbids broadcasts is obeyed. The measuring job reads ``max_rows + 1`` rows at most. A larger lookup is
-    joined as Catalyst sees fit: by shuffle, with hot keys split at run time.
+    A session that forbids broadcasts is obeyed. The measuring job reads ``max_rows + 1``
+    rows at most.
     """
     if df.sparkSession.conf.get(THRESHOLD).startswith("-"):
         return df
     width = F.lit(0)
     for field in df.schema:
-        text = isinstance(field.dataType, StringType)
-        size = F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if text else F.lit(8)
+        text = isinstance(field.dataType, (StringType, StructType))
+        size = F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + 16 if text else F.lit(8)
         width = width + size
     size = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(width).alias("n_bytes")
@@ -105,11 +106,14 @@ def lookup_side(
 
 
 def int_trips_with_zones(
-    trips: DataFrame, zones: DataFrame, unmatched: str = "default"
+    trips: DataFrame, zones: DataFrame, unmatched: str = "default", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Trips with the zone of both ends. Every trip stays; a zone id that occurs
-    more than once gives that many rows."""
-    lookup = lookup_side(zones)
+    more than once gives that many rows. A lookup of more than ``max_rows`` is joined by
+    shuffle, with the rows of frequent zones left where they are."""
+    lookup = lookup_side(zones, max_rows)
+    if lookup is zones:
+        return _joined_by_shuffle(trips, zones).selectExpr(*(c.replace("trip.", "") for c in enriched_columns(unmatched)))
     joined = trips.alias("trip")
     for role in ("pickup", "dropoff"):
         matches = F.col(f"trip.{role}_location_id") == F.col(f"{role}.location_id")
@@ -117,6 +121,18 @@ def int_trips_with_zones(
     return joined.selectExpr(*enriched_columns(unmatched))
 
 
+def _joined_by_shuffle(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips with a struct of each role's zone."""
+    joined = trips
+    for role in ("pickup", "dropoff"):
+        attributes = F.struct(*ZONE_ATTRIBUTES).alias(role)
+        lookup = zones.select(F.col("location_id").alias(f"_{role}_id"), attributes)
+        key = f"{role}_location_id"
+        frequent = frequent_keys(trips, F.col(key))
+        joined = spread_left_join(joined, lookup, key, f"_{role}_id", lookup_side, frequent).drop(f"_{role}_id")
+    return joined
+
+
 def revenue_parts(enriched: DataFrame, *keys: str) -> DataFrame:
     """What the mart's exact totals are put together from; parts of several months or
     loads can be merged later."""

@@ -377,6 +377,12 @@ def q_int_trips_with_zones(spark, sf_dir, unmatched="default"):
     return models.int_trips_with_zones(trips, zones, unmatched)
 
 
+def q_int_trips_skewed(spark, sf_dir):
+    """The enriched trips with a lookup that counts as too large to broadcast."""
+    trips, zones = q_stg_trips(spark, sf_dir), q_stg_zones(spark, sf_dir)
+    return models.int_trips_with_zones(trips, zones, max_rows=0)
+
+
 def q_mart_revenue_by_borough(spark, sf_dir, unmatched="default"):
     """The whole path from source tables to the mart as a single plan."""
     enriched = q_int_trips_with_zones(spark, sf_dir, unmatched)
@@ -492,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_zones": q_stg_zones,
     "int_trips_with_zones": q_int_trips_with_zones,
     "int_trips_with_zones_nulls": partial(q_int_trips_with_zones, unmatched="null"),
+    "int_trips_skewed": q_int_trips_skewed,
     "mart_revenue_by_borough": q_mart_revenue_by_borough,
     "mart_revenue_by_borough_nulls": partial(q_mart_revenue_by_borough, unmatched="null"),
     "mart_revenue_exact": q_mart_revenue_exact,

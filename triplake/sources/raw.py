@@ -109,6 +109,14 @@ def register(spark: SparkSession, database: str, table: str, snapshot: Snapshot)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{_quoted(at.toString())}'")
     parts = {part: runs for part, runs in snapshot.parts.items() if holds(table)(part)}
     _add_partitions(spark, log, name, parts)
+    _measure(spark, database, table)
+
+
+def _measure(spark: SparkSession, database: str, table: str) -> None:
+    """Have the planner know the size of a lookup, from its listing, so that it is
+    broadcast if it is small; tables by month are never to be."""
+    if not TABLES[table][1]:
+        spark.sql(f"ANALYZE TABLE `{database}`.`{table}` COMPUTE STATISTICS NOSCAN")
 
 
 def _quoted(text: str) -> str:
@@ -146,6 +154,7 @@ def exchange(spark: SparkSession, database: str, table: str, before: Snapshot, a
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
     _add_partitions(spark, log, name, {part: [run] for part, run in sorted(new - old)})
     spark.catalog.refreshTable(name)
+    _measure(spark, database, table)
 
 
 def _column_ddl(field: StructField) -> str:
@@ -303,6 +312,7 @@ def _append(table: str, silver: DataFrame, database: str, on_null: str, files: i
     log.commit({run: parts}, _stale(touched))
     places = {part: [run] for part in mine}
     _add_partitions(spark, log, f"`{database}`.`{table}`", places)
+    _measure(spark, database, table)
     return counted()
 
 

@@ -106,7 +106,9 @@ def distinct_words(texts: Texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     arrays = [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(texts.data))]
     coded = pa.Array.from_buffers(pa.binary(), len(at) - 1, arrays).dictionary_encode()
     counts = np.diff(np.searchsorted(at, texts.offsets))
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), counts
+    # Through numpy, which makes the bytes without a scalar for each.
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return words, coded.indices.to_numpy(zero_copy_only=False), counts
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

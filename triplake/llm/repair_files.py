@@ -89,13 +89,13 @@ def _frequent_pairs(codes: np.ndarray, slots: np.ndarray, most: int) -> np.ndarr
 
 
 def _places(codes: np.ndarray, slots: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where chosen pairs are, and which of them each is."""
-    marked = np.zeros(1 << SLOT_BITS, bool)
-    marked[_slots(chosen)] = True
-    place = np.flatnonzero(marked[slots])
-    pair = np.searchsorted(chosen, codes[place])
-    pair[pair == len(chosen)] = 0
-    same = chosen[pair] == codes[place] if len(chosen) else np.zeros(0, bool)
+    """Where chosen pairs are, and which of them each is. No two of them share a slot."""
+    named = np.full(1 << SLOT_BITS, -1, np.int16)
+    named[_slots(chosen)] = np.arange(len(chosen))
+    pair = named[slots]
+    place = np.flatnonzero(pair >= 0)
+    pair = pair[place].astype(np.int64)
+    same = chosen[pair] == codes[place]
     return place[same], pair[same]
 
 
@@ -139,10 +139,16 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
             at = np.flatnonzero(new[:-1] | new[1:])
             codes = codes[at]
         slots, most = _slots(codes), min(room, PAIRS_A_ROUND)
-        chosen = _frequent_pairs(codes, slots, most)
-        place, pair = _places(codes, slots, chosen)
-        place = place if at is None else at[place]
-        found = _uses(place, pair, len(chosen))
+        frequent = _frequent_pairs(codes, slots, most)
+        left = frequent
+        while True:
+            # One pair of a slot at a time; the others wait, unless none of these pays.
+            chosen = left[np.unique(_slots(left), return_index=True)[1]]
+            place, pair = _places(codes, slots, chosen)
+            found = _uses(place if at is None else at[place], pair, len(chosen))
+            left = np.setdiff1d(left, chosen)
+            if found.paid.any() or not len(left):
+                break
         if not found.paid.any():
             if not newest:
                 break
@@ -154,7 +160,8 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
         stay = np.ones(len(symbols), bool)
         stay[place + 1] = False
         symbols = symbols[stay]
-        newest = 0 if len(chosen) == most else terminals + len(rules)
+        waiting = len(frequent) == most or len(chosen) < len(frequent)
+        newest = 0 if waiting else terminals + len(rules)
         made = chosen[paid]
         rules = np.concatenate([rules, np.stack([made >> np.uint32(16), made & np.uint32(0xFFFF)], axis=1)])
     return rules, symbols

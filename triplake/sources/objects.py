@@ -79,6 +79,16 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
         finally:
             fs.delete(made, False)
         return True
+    except Py4JJavaError as error:
+        kind = error.java_exception.getClass().getSimpleName()
+        if kind == "FileAlreadyExistsException":
+            return False
+        if not (local and kind in ("UnsupportedOperationException", "FileSystemException")):
+            raise
+    # A mount without links: as on other stores, by a create that does not overwrite.
+    try:
+        _written(fs, at, text)
+        return True
     except Py4JJavaError as error:
         if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
             return False

@@ -43,6 +43,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--money", choices=MONEY, default="exact")
     parser.add_argument("--gather", action="store_true", help="shuffle silver by month")
     parser.add_argument("--files", type=int, help="split the raw trips into key ranges")
+    parser.add_argument("--rows-per-file", type=int, help="split them into ranges of that many rows")
     parser.add_argument("--truncate", action="store_true", help="empty JDBC tables first")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     return parser.parse_args(argv)
@@ -120,6 +121,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict:
         money=args.money,
         gather=args.gather,
         files=args.files,
+        rows_per_file=args.rows_per_file,
         months=tuple(args.only_months.split(",")) if args.only_months else None,
     )
     return STAGES[args.stage](spark, args, lake, policy)

@@ -275,6 +275,9 @@ TAILS["refresh_one_month"] = TAILS["mart_revenue_exact"].replace(
     "from int_default",
     "from int_default where not (strftime(pickup_datetime, '%Y-%m') = '1996-03' and vendor_id > 3)",
 )
+TAILS["raw_time_slice"] = f"""{TAILS['raw_trips_load']}
+        where tpep_pickup_datetime >= timestamp '1996-03-20' and tpep_pickup_datetime < timestamp '1996-04-05'
+        """
 TAILS["refresh_registered_again"] = TAILS["full_refresh_mart"]
 TAILS["split_audit_stored"] = TAILS["trips_row_audit"]
 TAILS["raw_full_refresh_twice"] = TAILS["raw_trips_load"]

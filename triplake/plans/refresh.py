@@ -54,6 +54,7 @@ class Policy:
     money: str = "exact"
     gather: bool = False
     files: int | None = None
+    rows_per_file: int | None = None
     # Source months to clean, load and model again; all that there are, where none are named.
     months: tuple[str, ...] | None = None
     # Versions that stay readable, and how old a run without one has to be to be removed.
@@ -96,7 +97,8 @@ def load_raw(spark: SparkSession, lake: Lake, policy: Policy = Policy()) -> dict
         trips = trips.filter(F.col(MONTH).isin(sorted(named)))
         months = sorted(_key(m) for m in named if _key(m) is not None)
     zones = read_clean(spark, lake.zones, ZONES)
-    return full_refresh(spark, trips, zones, lake.database, policy.on_null, policy.files, months)
+    layout = {"files": policy.files, "rows_per_file": policy.rows_per_file}
+    return full_refresh(spark, trips, zones, lake.database, policy.on_null, months=months, **layout)
 
 
 def _key(month: str) -> int | None:

@@ -6,6 +6,7 @@ Queries that store data write to a new folder below the one the session names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import partial
 
 from pyspark.errors import PySparkException
@@ -23,6 +24,9 @@ from triplake.sources import bronze, footers, lake, landing, raw
 
 # A month in the middle of the tables' range.
 PRUNED_MONTH = "1996-03"
+# Days that cross the end of a month, and into how many files the table is laid out at least
+# to read them.
+TIME_SLICE, SLICES = (datetime(1996, 3, 20), datetime(1996, 4, 5)), 512
 # Objects that are landed already.
 LANDED_YEAR = "1996-"
 # What a write says that is made to fail.
@@ -303,6 +307,16 @@ def q_raw_trips_load(spark, sf_dir, ranged=False):
     return spark.table(f"{database}.{raw.TRIPS_TABLE}").select(*RAW_TRIPS.names)
 
 
+def q_raw_time_slice(spark, sf_dir):
+    """Some days of trips, from a table whose files hold narrow time ranges: of its files
+    only those that hold rows of these days are read."""
+    database = raw_database(spark)
+    silver = lake.read_clean(spark, stored_trips(spark, sf_dir), SILVER_TRIPS)
+    rows_per_file = min(raw.ROWS_PER_FILE, silver.count() // SLICES + 1)
+    raw.append_trips(silver, database, rows_per_file=rows_per_file)
+    return raw.read_slice(spark, database, *TIME_SLICE).select(*RAW_TRIPS.names)
+
+
 def q_raw_month_key(spark, sf_dir):
     silver = split_trips(spark, sf_dir).clean
     return silver.groupBy(month_key().alias("month_key")).agg(F.count(F.lit(1)).alias("n"))
@@ -483,6 +497,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_month_key": q_raw_month_key,
     "raw_trips_load": q_raw_trips_load,
     "raw_trips_load_ranged": partial(q_raw_trips_load, ranged=True),
+    "raw_time_slice": q_raw_time_slice,
     "raw_zones_load": q_raw_zones_load,
     "raw_append_twice": q_raw_append_twice,
     "raw_load_defaults": q_raw_load_defaults,

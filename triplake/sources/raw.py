@@ -9,25 +9,52 @@ catalog's names follow the log: each month and run is a partition at its own pla
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    LongType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
 from triplake.sources.objects import file_system
+from triplake.sources.ranges import FILE, FIRST, LAST, ROWS, file_ranges, files_of, overlaps
 from triplake.sources.snapshots import RUN, CommitLog, Snapshot
 
 TRIPS_TABLE, ZONES_TABLE = "raw_trips", "raw_zones"
 MONTH_KEY = "month_key"
 
 # Order of the rows in each file.
-TRIPS_ORDER = (MONTH_KEY, "tpep_pickup_datetime", "PULocationID")
+PICKUP = "tpep_pickup_datetime"
+TRIPS_ORDER = (MONTH_KEY, PICKUP, "PULocationID")
 ZONES_ORDER = ("LocationID",)
 
+# Pickup times of each file of the trips, where a load was asked to make them narrow.
+RANGES_TABLE = f"{TRIPS_TABLE}_ranges"
+OF_RUN = "of_run"
+# Rows of a file of some 128 MiB.
+ROWS_PER_FILE = 4_000_000
+RANGES = StructType(
+    [
+        StructField(OF_RUN, StringType()),
+        StructField(FILE, StringType()),
+        StructField(FIRST, TimestampNTZType()),
+        StructField(LAST, TimestampNTZType()),
+        StructField(ROWS, LongType()),
+        StructField(MONTH_KEY, LongType()),
+    ]
+)
+
 # Schema and partition column of each table.
 TABLES = {TRIPS_TABLE: (RAW_TRIPS, MONTH_KEY), ZONES_TABLE: (RAW_ZONES, None)}
 # Folder that tells the tables of a database apart.
@@ -95,6 +122,52 @@ def read_table(
     return table_log(spark, database).read(StructType([*schema, *more]), snapshot, holds(table))
 
 
+def read_ranges(spark: SparkSession, database: str, snapshot: Snapshot | None = None) -> DataFrame:
+    """The files of the trips whose pickup times were kept by their load."""
+    return table_log(spark, database).read(RANGES, snapshot, holds(RANGES_TABLE))
+
+
+def read_slice(
+    spark: SparkSession,
+    database: str,
+    start: datetime,
+    end: datetime,
+    snapshot: Snapshot | None = None,
+) -> DataFrame:
+    """Trips picked up from ``start`` up to but without ``end``, as of a snapshot. Both are
+    times without a zone, as pickup times are.
+
+    Only months of the slice are looked at, and of these only the files whose kept pickup
+    times meet it; the driver sees the names of those files, which the scan lists anyway.
+    Runs that were loaded without such ranges are read as they are, by the month.
+    """
+    log = table_log(spark, database)
+    snapshot = snapshot or log.latest()
+    schema = StructType([*RAW_TRIPS, StructField(MONTH_KEY, LongType())])
+    if start.tzinfo or end.tzinfo:
+        raise ValueError(f"times with a zone: {start}, {end}")
+    # Spark takes a Python time for one of the session's zone, text for one without.
+    begin, until = (F.lit(at.isoformat(" ")).cast(TimestampNTZType()) for at in (start, end))
+    first, last = (at.year * 100 + at.month for at in (start, end - timedelta(microseconds=1)))
+    months = [m for m in months_of(snapshot, TRIPS_TABLE) if first <= m <= last]
+    mine = holds(TRIPS_TABLE, months)
+    folders = {(run, part) for part, runs in snapshot.parts.items() if mine(part) for run in runs}
+    ranges = log.read(RANGES, snapshot, holds(RANGES_TABLE, months))
+    known = {(run, _month_part(month)) for run, month in ranges.select(OF_RUN, MONTH_KEY).distinct().collect()}
+    met = ranges.filter(overlaps(begin, until)).select(OF_RUN, MONTH_KEY, FILE).collect()
+    paths = [f"{run}/{_month_part(month)}/{name}" for run, month, name in met]
+    paths += [f"{run}/{part}" for run, part in folders - known]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", log.data)
+    rows = reader.parquet(*(f"{log.data}/{path}" for path in sorted(paths))).select(*(f"`{n}`" for n in schema.names))
+    return rows.filter((F.col(PICKUP) >= begin) & (F.col(PICKUP) < until))
+
+
+def _month_part(month: int) -> str:
+    return f"{part_prefix(TRIPS_TABLE)}/{MONTH_KEY}={month}"
+
+
 def register(spark: SparkSession, database: str, table: str, snapshot: Snapshot) -> None:
     """Have the table's name mean what a snapshot holds. Partition columns are the month,
     if the table has one, and the run that brought the rows."""
@@ -216,7 +289,8 @@ def lay_out_trips(df: DataFrame, files: int | None = None) -> DataFrame:
 
     By default there is no shuffle: silver is already held by month, so its
     tasks sort and write what they read. With ``files`` rows are first split
-    into that many key ranges, which makes the files' time ranges narrow.
+    into that many key ranges of about equal depth, between quantiles that Spark
+    samples, which makes the files' time ranges narrow.
     """
     keyed = df.withColumn(MONTH_KEY, month_key())
     first = [TABLE] if TABLE in df.columns else []
@@ -247,7 +321,7 @@ def truncate(spark: SparkSession, database: str) -> None:
     if not names:
         return
     stale = _stale()
-    gone = [stale, *(holds(t) for t in names), *(holds(rejects(t)) for t in names)]
+    gone = [stale, *(holds(t) for t in names), *(holds(rejects(t)) for t in names), holds(RANGES_TABLE)]
     empty = table_log(spark, database).commit({}, lambda part: any(of(part) for of in gone))
     for table in names:
         register(spark, database, table, empty)
@@ -288,13 +362,33 @@ def write_run(log: CommitLog, table: str, rows: DataFrame, partition: str | None
     return run, log.parts_of(run, 2) if partition else [prefix]
 
 
+def write_ranges(log: CommitLog, run: str, parts: list[str]) -> dict[str, list[str]]:
+    """Write the pickup times of the files of a run of trips, as a run of its own, to be
+    committed with it."""
+    if not any(holds(TRIPS_TABLE)(part) for part in parts):
+        return {}
+    stored = StructType([RAW_TRIPS[PICKUP], StructField(MONTH_KEY, LongType())])
+    reader = log.spark.read.schema(stored).option("basePath", log.data)
+    ranges = file_ranges(reader.parquet(f"{log.path(run)}/{part_prefix(TRIPS_TABLE)}"), PICKUP, MONTH_KEY)
+    rows = ranges.withColumn(OF_RUN, F.lit(run)).select(*RANGES.names)
+    beside, added = write_run(log, RANGES_TABLE, rows.repartition(MONTH_KEY), MONTH_KEY)
+    return {beside: added}
+
+
 def append_trips(
     silver: DataFrame,
     database: str,
     on_null: str = "fail",
     files: int | None = None,
+    rows_per_file: int | None = None,
 ) -> int:
-    """Append silver trips to the raw table; returns the number of rows."""
+    """Append silver trips to the raw table; returns the number of rows.
+
+    With ``files``, or ``rows_per_file`` and one more count of silver, files hold narrow
+    ranges of pickup times, which are kept for ``read_slice``.
+    """
+    if rows_per_file is not None:
+        files = files_of(silver, rows_per_file)
     return _append(TRIPS_TABLE, silver, database, on_null, files)
 
 
@@ -309,7 +403,8 @@ def _append(table: str, silver: DataFrame, database: str, on_null: str, files: i
     run, parts = write_run(log, table, rows, TABLES[table][1])
     mine = [part for part in parts if holds(table)(part)]
     touched = [int(part.rpartition("=")[2]) for part in mine] if table == TRIPS_TABLE else None
-    log.commit({run: parts}, _stale(touched))
+    ranges = write_ranges(log, run, parts) if files is not None else {}
+    log.commit({run: parts} | ranges, _stale(touched))
     places = {part: [run] for part in mine}
     _add_partitions(spark, log, f"`{database}`.`{table}`", places)
     _measure(spark, database, table)
@@ -330,20 +425,25 @@ def full_refresh(
     on_null: str = "fail",
     files: int | None = None,
     months: Iterable[int] | None = None,
+    rows_per_file: int | None = None,
 ) -> dict[str, int]:
     """Replace both raw tables, or of the trips only ``months``. Running it again gives the
-    same tables.
+    same tables. ``files`` and ``rows_per_file`` are those of ``append_trips``.
 
     Both are written to new runs, and one log entry names them after both writes were
     committed: a load that fails leaves the old rows in place, and no snapshot has the
     rows of two loads.
     """
     log = table_log(spark, database)
+    if rows_per_file is not None:
+        files = files_of(silver_trips, rows_per_file)
     loaded, added = {}, {}
     for table, silver in ((TRIPS_TABLE, silver_trips), (ZONES_TABLE, silver_zones)):
         rows, counted = _counted(laid_out(table, silver, on_null, files))
         run, added_parts = write_run(log, table, rows, TABLES[table][1])
         added[run] = added_parts
+        if table == TRIPS_TABLE and files is not None:
+            added |= write_ranges(log, run, added_parts)
         loaded[table] = counted()
     before = log.latest()
     trips, zones = holds(TRIPS_TABLE, months), holds(ZONES_TABLE)
@@ -351,7 +451,8 @@ def full_refresh(
         to_types(silver_zones, RAW_ZONES)
     )
     stale = _stale(months if same_zones else None)
-    old = [trips, zones, stale, holds(rejects(TRIPS_TABLE), months), holds(rejects(ZONES_TABLE))]
+    beside = [holds(name, months) for name in (rejects(TRIPS_TABLE), RANGES_TABLE)]
+    old = [trips, zones, stale, *beside, holds(rejects(ZONES_TABLE))]
     after = log.commit(added, lambda part: any(of(part) for of in old))
     for table in TABLES:
         if months is None:

@@ -6,19 +6,30 @@
 2. Every document gets posteriors of the domains and its tokens. These few numbers are
    stored; the steps below read them only.
 3. Rates r_i >= 0 are fitted by projected gradient: least squares of the expected domain
-   totals sum(r_i * tokens_i * p_i) against the targets, each domain's error relative to
-   its target. A step is one aggregation to a few sums. With the documents' tokens as
-   metric, the gradient of a document is a weighted sum of its posteriors; rates are
-   clipped to their bounds after each step. Step sizes are those of Barzilai and Borwein,
-   taken back while the error grows. It goes on until all targets are met (``CLOSE``), or
-   the duality gap shows that no rates within the bounds come much nearer (``NEAREST``).
-   Targets that were not met are reported by a warning, with the totals reached.
+   totals sum(r_i * tokens_i * p_i) against the targets. A step is one aggregation to a few
+   sums. With the documents' tokens as metric, the gradient of a document is a weighted sum
+   of its posteriors; rates are clipped to their bounds after each step. Targets that were
+   not met are reported by a warning, with the totals reached.
+   There are two fits (``bounded``):
+   - ``fit_free_rates``: no bound but 0. The number of tokens stays as it is, and each
+     domain gets its share of it, by thinning or by repeating documents. Gradients add up,
+     and rates are the projection of 1 less their sum, so that three numbers are all there
+     is to keep. Errors are weighted by the inverse of the posteriors' second moments, for
+     which a step of 1 never overshoots; a longer one, by the moments of the documents that
+     are not at 0, is tried first. It goes on until targets are met (``CLOSE``) or a step
+     gains next to nothing (``STALLED``), as where a domain has no tokens at all. Where
+     targets are met, the rates are those nearest to 1, counted by tokens.
+   - ``fit_rates``: for filters, which repeat nothing and keep the protected domain, as
+     below. Errors are relative to the targets. Step sizes are those of Barzilai and
+     Borwein, taken back while the error grows. It goes on until all targets are met, or
+     the duality gap shows that no rates within the bounds come much nearer (``NEAREST``).
 4. A rate gives copies: its whole part, and one more by a hash if that falls below the
    rest, so the same rows come out at every run.
 
-Documents that are probably in the protected domain keep a rate of 1 at least, and the
-budget is what gives their domain its share: targets are reached by thinning others.
-No rate is above ``MOST_RATE``, so a domain that lacks tokens stays below its target.
+Of a bounded fit, documents that are probably in the protected domain keep a rate of 1 at
+least, and the budget is what gives their domain its share: targets are reached by thinning
+others. No rate is above ``MOST_RATE``, so a domain that lacks tokens stays below its
+target. A free fit may repeat the few documents of a scarce domain very often.
 
 Everything is made of DataFrame functions.
 
@@ -30,6 +41,7 @@ tokens all rates are 1; NULL labels are left out, of repeated ones the worst cou
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -45,11 +57,15 @@ TARGETS = {"clean": 0.95, "junk": 0.04, "toxic": 0.01}
 BUCKETS = 1 << 13
 TRAINING_ROWS = 8_000
 ENDING = 3
-# Rates above 1 would repeat documents.
+# Of a bounded fit: rates above 1 would repeat documents.
 MOST_RATE = 1.0
 # Steps that end a fit which never settles; errors of met targets; and how much of the
 # squared error is left to gain, at most, where the bounds keep targets from being met.
 MOST_STEPS, CLOSE, NEAREST = 200, 1e-3, 0.05
+# Part of the squared error that a plain step of a free fit gains where it ends.
+STALLED = 1e-3
+# Parts of a free fit's longer step that are tried before the plain one.
+LONGER = (1, 1 / 4, 1 / 16)
 
 
 def domain_of() -> Column:
@@ -150,9 +166,11 @@ class Rates(NamedTuple):
     targets: list[float]
     met: bool = True
     gap: float = 0.0  # of the squared error, what other rates could gain at most
+    bounded: bool = True
+    passes: int = 0  # aggregations that a free fit took
 
     def column(self) -> Column:
-        return _rate(self.steps)
+        return _rate(self.steps, _moved if self.bounded else _moved_free)
 
 
 def _protected() -> Column:
@@ -163,7 +181,11 @@ def _least_rate() -> Column:
     return F.when(_protected(), F.lit(min(1.0, MOST_RATE))).otherwise(F.lit(0.0))
 
 
-def _rate(steps: list[list[float]]) -> Column:
+def _moved_free(rate: Column, by: Column) -> Column:
+    return F.greatest(F.lit(0.0), rate - by)
+
+
+def _rate(steps: list[list[float]], moved: Callable[[Column, Column], Column] | None = None) -> Column:
     """1, then step by step against the gradient and back into the bounds."""
     p = [F.col(f"p_{name}") for name in DOMAINS]
     rate = F.lit(1.0)
@@ -173,7 +195,7 @@ def _rate(steps: list[list[float]]) -> Column:
     moves = F.transform(F.split(path, ";"), lambda s: F.split(s, ",").cast("array<double>"))
 
     def move(r: Column, step: Column) -> Column:
-        return _moved(r, p[0] * step[0] + p[1] * step[1] + p[2] * step[2])
+        return (moved or _moved)(r, p[0] * step[0] + p[1] * step[1] + p[2] * step[2])
 
     return F.aggregate(moves, rate, move)
 
@@ -247,23 +269,85 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
         reached, error = np.array(after), next_error
     gap = 0.0 if met else gap / squared
     fitted = Rates(path, reached.tolist(), (reached - error).tolist(), met, gap)
-    if not met:
+    return _reported(fitted, f"rates up to {MOST_RATE:g}")
+
+
+def _reported(fitted: Rates, what: str) -> Rates:
+    if not fitted.met:
         names = ", ".join(f"{d} {x:.6g} of {y:.6g}" for d, x, y in zip(DOMAINS, fitted.totals, fitted.targets))
-        warnings.warn(f"mixing: targets not met by rates up to {MOST_RATE:g}; tokens reached: {names}; gap {gap:.3g}", stacklevel=2)
+        warnings.warn(f"mixing: targets not met by {what}; tokens reached: {names}; gap {fitted.gap:.3g}", stacklevel=3)
     return fitted
 
 
+def _inverse(moment: np.ndarray) -> np.ndarray:
+    """Inverse of a moment matrix, in which domains without tokens stay 0."""
+    scale = np.sqrt(np.diag(moment))
+    scale = np.divide(1, scale, out=np.zeros_like(scale), where=scale > 0)
+    return scale[:, None] * np.linalg.pinv(scale[:, None] * moment * scale, rcond=1e-12, hermitian=True) * scale
+
+
+def fit_free_rates(rows: DataFrame, targets: dict[str, float] = TARGETS) -> Rates:
+    """``rows``: n_tokens and posteriors. Rates with no bound but 0; each step that is tried
+    is one aggregation."""
+    p = [F.col(f"p_{name}") for name in DOMAINS]
+    t = F.col("n_tokens")
+    pairs = [(a, b) for a in range(len(p)) for b in range(a, len(p))]
+
+    def state(moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Totals that the moves so far lead to, and second moments of the documents not at 0."""
+        at = rows.withColumn("rate", _rate([moves.tolist()], _moved_free))
+        inside = F.when(F.col("rate") > 0, t).otherwise(0)
+        sums = [F.sum(F.col("rate") * t * x) for x in p] + [F.sum(inside * p[a] * p[b]) for a, b in pairs]
+        found = [x or 0.0 for x in at.agg(*sums).first()]
+        moment = np.zeros((len(p), len(p)))
+        for (a, b), value in zip(pairs, found[len(p) :]):
+            moment[a, b] = moment[b, a] = value
+        return np.array(found[: len(p)]), moment
+
+    moves = np.zeros(len(p))
+    reached, moment = state(moves)
+    if reached.sum() <= 0:
+        return Rates([], [0.0] * len(p), [0.0] * len(p), bounded=False)
+    wanted = np.array([targets[name] for name in DOMAINS])
+    goal = wanted / wanted.sum() * reached.sum()
+    weight = _inverse(moment)
+
+    def squared(totals: np.ndarray) -> float:
+        return float((totals - goal) @ weight @ (totals - goal)) / 2
+
+    gained, passes = 1.0, 1
+    while not (met := bool((np.abs(reached - goal) <= CLOSE * goal).all())) and gained > STALLED:
+        before, error = squared(reached), reached - goal
+        longer = _inverse(moment) @ error
+        for part in (*LONGER, 0):
+            ahead = moves + (part * longer if part else weight @ error)
+            totals, inside = state(ahead)
+            passes += 1
+            gained = 1 - squared(totals) / before if before > 0 else 0.0
+            # A longer step has to pay; the plain one is taken as it is.
+            if gained >= part / 5 and part:
+                break
+        moves, reached, moment = ahead, totals, inside
+    gap = 0.0 if met else max(gained, 0.0)
+    fitted = Rates([moves.tolist()], reached.tolist(), goal.tolist(), met, gap, False, passes)
+    return _reported(fitted, "rates of 0 or more")
+
+
 def copies(rate: Column, *identity: Column) -> Column:
     whole = F.floor(rate)
     return (whole + (hash_uniform(*identity) < rate - whole).cast("long")).cast("long")
 
 
-def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """doc_id, n_tokens, posteriors, rate and copies of each row of ``docs``."""
+def document_rates(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, bounded: bool = True
+) -> DataFrame:
+    """doc_id, n_tokens, posteriors, rate and copies of each row of ``docs``. ``bounded``
+    rates thin only, and keep the protected domain."""
     rows = docs.select("doc_id", "text")
     bare = posteriors(rows, fit_classifier(rows, labels))
     numbers = stored(bare.withColumn("__identity", F.xxhash64("doc_id", text_of())).drop("text"), "posteriors")
-    rated = numbers.withColumn("rate", fit_rates(numbers, targets).column())
+    fitted = fit_rates(numbers, targets) if bounded else fit_free_rates(numbers, targets)
+    rated = numbers.withColumn("rate", fitted.column())
     return rated.withColumn("copies", copies(F.col("rate"), F.col("__identity"))).drop("__identity")
 
 

@@ -82,7 +82,8 @@ def op7_quality_classifier(spark, sf_dir):
 
 
 def op8_mixing(spark, sf_dir):
-    return mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.document_rates(documents, labels, bounded=False)
 
 
 def op9_secret_scan(spark, sf_dir):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX
+from triplake.session import sortable_scans
 from triplake.sources.bronze import BronzeGroup, group_objects, group_of, merged_parts
 from triplake.sources.footers import object_digests, reachable
 from triplake.sources.manifest import (
@@ -179,7 +180,8 @@ def write_group(spark: SparkSession, group: BronzeGroup, bronze: str) -> tuple[s
     log = landing_log(spark, bronze)
     run = log.new_run()
     named = group.rows(spark).select(*(f"`{n}`" for n in group.schema.names), group.object_name.alias(OBJECT))
-    named.write.partitionBy(OBJECT).parquet(log.path(run))
+    with sortable_scans(spark):
+        named.write.partitionBy(OBJECT).parquet(log.path(run))
     written = set(log.parts_of(run, 1))
     copies = group_of(group.schema, group.objects[0]._replace(landed=True))
     for obj in group.objects:

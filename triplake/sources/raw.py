@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 
 from triplake.functions.trips import month_key
 from triplake.schemas import RAW_TRIPS, RAW_ZONES
+from triplake.session import sortable_scans
 from triplake.sources.objects import file_system
 from triplake.sources.ranges import FILE, FIRST, LAST, ROWS, file_ranges, files_of, overlaps
 from triplake.sources.snapshots import RUN, CommitLog, Snapshot
@@ -356,9 +357,11 @@ def write_run(log: CommitLog, table: str, rows: DataFrame, partition: str | None
     run, prefix = log.new_run(), part_prefix(table)
     if TABLE in rows.columns:
         columns = [TABLE, *filter(None, [partition])]
-        rows.write.partitionBy(*columns).parquet(log.path(run))
+        with sortable_scans(log.spark):
+            rows.write.partitionBy(*columns).parquet(log.path(run))
         return run, log.parts_of(run, len(columns))
-    rows.write.partitionBy(*filter(None, [partition])).parquet(f"{log.path(run)}/{prefix}")
+    with sortable_scans(log.spark):
+        rows.write.partitionBy(*filter(None, [partition])).parquet(f"{log.path(run)}/{prefix}")
     return run, log.parts_of(run, 2) if partition else [prefix]
 
 

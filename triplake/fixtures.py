@@ -69,9 +69,16 @@ def trips_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*(value.alias(name) for name, value in values.items()))
 
 
-def trips_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips joined and stored once, for what reads them more than once."""
+    root, trips = scratch_dir(spark, "joined"), trips_source(spark, sf_dir)
+    trips.write.option("compression", "zstd").parquet(root)
+    return spark.read.schema(trips.schema).parquet(root)
+
+
+def trips_aligned(spark: SparkSession, sf_dir: str, trips: DataFrame | None = None) -> DataFrame:
     month = source_month(F.col("file_name")).alias("source_month")
-    return align(trips_source(spark, sf_dir), BRONZE_TRIPS, month)
+    return align(trips_source(spark, sf_dir) if trips is None else trips, BRONZE_TRIPS, month)
 
 
 def trips_drifted(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -87,14 +87,16 @@ def narrowed(name: str) -> Column:
     return F.col(name).try_cast("int").alias(name)
 
 
-def prepare_trips(aligned: DataFrame) -> DataFrame:
+def prepare_trips(aligned: DataFrame, keyed: bool = True) -> DataFrame:
     """Aligned trips with narrowed columns, trip_id and partition_month.
 
-    The key is taken from the columns as they were aligned.
+    The key is taken from the columns as they were aligned, none of which is narrowed.
+    Without ``keyed`` it is left out, for ``TRIP_DERIVED`` to add behind a shuffle.
     """
     columns = [narrowed(c) if c in NARROWED else F.col(c) for c in aligned.columns]
-    return aligned.select(
-        *columns,
-        trip_id().alias("trip_id"),
-        partition_month().alias("partition_month"),
-    )
+    key = [trip_id().alias("trip_id")] if keyed else []
+    return aligned.select(*columns, *key, partition_month().alias("partition_month"))
+
+
+# Columns that no rule looks at, each with the function that makes it of the others.
+TRIP_DERIVED = {"trip_id": trip_id}

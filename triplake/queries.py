@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake import fixtures
-from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, month_key, prepare_trips, source_month
+from triplake.functions.trips import (
+    OBJECT_PREFIX,
+    OBJECT_SUFFIX,
+    TRIP_DERIVED,
+    month_key,
+    prepare_trips,
+    source_month,
+)
 from triplake.operators import quality
 from triplake.operators.align import align
 from triplake.plans import models, refresh
@@ -46,10 +53,16 @@ def split_zones(spark: SparkSession, sf_dir: str) -> quality.Split:
     return quality.split(fixtures.zones_source(spark, sf_dir), quality.zone_rules())
 
 
-def stored_trips(spark: SparkSession, sf_dir: str) -> str:
+def unkeyed(spark: SparkSession, sf_dir: str, trips: DataFrame | None = None) -> DataFrame:
+    """Prepared trips, whose key is made as they are written (``TRIP_DERIVED``)."""
+    return prepare_trips(fixtures.trips_aligned(spark, sf_dir, trips), keyed=False)
+
+
+def stored_trips(spark: SparkSession, sf_dir: str, trips: DataFrame | None = None) -> str:
     """Root of a lake folder that holds the judged trips."""
     root = scratch_dir(spark, "trips")
-    lake.write_split(prepared(spark, sf_dir), quality.trip_rules(), root, gather=True)
+    rows, rules = unkeyed(spark, sf_dir, trips), quality.trip_rules()
+    lake.write_split(rows, rules, root, gather=True, derived=TRIP_DERIVED)
     return root
 
 
@@ -125,7 +138,8 @@ def q_trips_row_audit(spark, sf_dir):
 def q_split_audit_stored(spark, sf_dir):
     """The counts that the writing tasks give."""
     root = scratch_dir(spark, "audit")
-    counts = lake.write_split(prepared(spark, sf_dir), quality.trip_rules(), root, gather=True)
+    rows, rules = unkeyed(spark, sf_dir), quality.trip_rules()
+    counts = lake.write_split(rows, rules, root, gather=True, derived=TRIP_DERIVED)
     names = ("n_read", "n_clean", "n_quarantined", "n_unjudged")
     schema = ", ".join(f"{name} long" for name in names)
     return spark.createDataFrame([tuple(counts[name] for name in names)], schema)
@@ -147,11 +161,13 @@ def q_silver_month_pruned(spark, sf_dir):
 
 def q_silver_snapshot_read(spark, sf_dir):
     """Silver as it was before a write that was lost after most of its rows."""
-    root, rules = stored_trips(spark, sf_dir), quality.trip_rules()
+    trips = fixtures.trips_stored(spark, sf_dir)
+    root, rules = stored_trips(spark, sf_dir, trips), quality.trip_rules()
     late = F.col("VendorID") == 7
     dies = F.when(late, F.raise_error(F.lit(LOST)).cast("double")).otherwise(F.col("extra"))
+    rows = unkeyed(spark, sf_dir, trips).withColumn("extra", dies)
     try:
-        lake.write_split(prepared(spark, sf_dir).withColumn("extra", dies), rules, root, gather=True)
+        lake.write_split(rows, rules, root, gather=True, derived=TRIP_DERIVED)
     except PySparkException as error:
         if LOST not in str(error):
             raise
@@ -162,9 +178,10 @@ def q_silver_snapshot_read(spark, sf_dir):
 
 def q_silver_month_rewritten(spark, sf_dir):
     """All months stored, then one of them again from a smaller delivery."""
-    root, rules = stored_trips(spark, sf_dir), quality.trip_rules()
-    fewer = prepared(spark, sf_dir).filter(F.col("VendorID") <= 3)
-    lake.write_split(fewer, rules, root, gather=True, months=[PRUNED_MONTH])
+    trips = fixtures.trips_stored(spark, sf_dir)
+    root, rules = stored_trips(spark, sf_dir, trips), quality.trip_rules()
+    fewer = unkeyed(spark, sf_dir, trips).filter(F.col("VendorID") <= 3)
+    lake.write_split(fewer, rules, root, gather=True, months=[PRUNED_MONTH], derived=TRIP_DERIVED)
     parts = {
         quality.CLEAN: lake.read_clean(spark, root, SILVER_TRIPS),
         quality.QUARANTINE: lake.read_quarantine(spark, root, SILVER_TRIPS),
@@ -181,7 +198,8 @@ def q_split_stored_apart(spark, sf_dir):
     """Both outputs as datasets of their own, counted by month."""
     root = scratch_dir(spark, "apart")
     paths = f"{root}/silver", f"{root}/quarantine"
-    lake.write_separate(prepared(spark, sf_dir), quality.trip_rules(), *paths, gather=True)
+    rows, rules = unkeyed(spark, sf_dir), quality.trip_rules()
+    lake.write_separate(rows, rules, *paths, gather=True, derived=TRIP_DERIVED)
     counts = [
         lake.read_dataset(spark, path, SILVER_TRIPS)
         .groupBy("partition_month")
@@ -420,8 +438,8 @@ def new_lake(spark: SparkSession) -> refresh.Lake:
     )
 
 
-def deliver_all(spark: SparkSession, sf_dir: str, place: refresh.Lake) -> None:
-    fixtures.deliver_trips(spark, fixtures.trips_source(spark, sf_dir), place.bronze)
+def deliver_all(spark: SparkSession, sf_dir: str, place: refresh.Lake, trips: DataFrame) -> None:
+    fixtures.deliver_trips(spark, trips, place.bronze)
     zones = fixtures.zones_source(spark, sf_dir)
     fixtures.deliver_zones(zones, f"{place.bronze}/{place.zones_name}")
 
@@ -430,10 +448,10 @@ def q_refresh_one_month(spark, sf_dir):
     """All months through to the mart; then one month's object comes again with fewer
     trips, and only that month is cleaned, loaded and added up anew."""
     place = new_lake(spark)
-    deliver_all(spark, sf_dir, place)
+    trips = fixtures.trips_source(spark, sf_dir)
+    deliver_all(spark, sf_dir, place, trips)
     refresh.refresh(spark, place)
     name = f"{OBJECT_PREFIX}{PRUNED_MONTH}{OBJECT_SUFFIX}"
-    trips = fixtures.trips_source(spark, sf_dir)
     again = trips.filter((F.col("file_name") == name) & (F.col("VendorID") <= 3)).drop("file_name")
     again.write.mode("overwrite").parquet(f"{place.bronze}/{name}")
     refresh.refresh(spark, place, refresh.Policy(months=(PRUNED_MONTH,)))
@@ -446,7 +464,7 @@ def q_full_refresh_mart(spark, sf_dir, again=False):
     ``again``: once more after the catalog has lost its entries, as in a new session.
     """
     place = new_lake(spark)
-    deliver_all(spark, sf_dir, place)
+    deliver_all(spark, sf_dir, place, fixtures.trips_source(spark, sf_dir))
     policy = refresh.Policy(money="decimal")
     refresh.refresh(spark, place, policy)
     if again:

@@ -26,7 +26,7 @@ def test_key_is_made_behind_the_shuffle(spark, tmp_path, monkeypatch):
         assert keyed == late == rows.multiset(lake.read_dataset(spark, apart, SILVER_TRIPS))
 
 
-@pytest.mark.parametrize("query", ["silver_snapshot_read", "silver_month_rewritten"])
+@pytest.mark.parametrize("query", ["silver_snapshot_read", "silver_month_rewritten", "refresh_one_month"])
 def test_trips_are_joined_once(spark, tmp_path, monkeypatch, query):
     joined, named = [], F.concat(F.lit("yellow_tripdata_"), "source_month", F.lit(".parquet"))
 
@@ -47,3 +47,13 @@ def test_trips_are_joined_once(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(fixtures, "zones_source", lambda spark, _: rows.zones(spark, (7, "Queens", "Astoria", "Boro")))
     queries.QUERIES[query](spark, str(tmp_path)).collect()
     assert sum(count.value for count in joined) == 4
+
+
+def test_objects_delivered_again(spark, tmp_path):
+    trips = rows.trips(spark, {"VendorID": 1}, {"VendorID": 5}).withColumn("file_name", F.lit("a.parquet"))
+    folder = str(tmp_path / "bronze")
+    fixtures.deliver_trips(spark, trips, folder)
+    for name, n in (("a.parquet", 1), ("b.parquet", 0)):
+        fixtures.deliver_again(spark, folder, name, trips.schema, F.col("VendorID") <= 3)
+        again = spark.read.parquet(f"{folder}/{name}")
+        assert again.columns == trips.drop("file_name").columns and again.count() == n

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from triplake.functions.trips import OBJECT_PREFIX, OBJECT_SUFFIX, source_month
 from triplake.operators.align import align, union_aligned
@@ -134,6 +135,18 @@ def deliver_trips(spark: SparkSession, trips: DataFrame, folder: str, *more: Dat
             raise OSError(f"cannot rename {found.path}")
 
 
+def deliver_again(spark: SparkSession, folder: str, name: str, schema: StructType, wanted: Column) -> None:
+    """Deliver an object anew with only its ``wanted`` trips; without any, if it never came.
+    ``schema`` is that of trips with the names of their objects."""
+    path, fewer = f"{folder}/{name}", scratch_dir(spark, "again")
+    columns = StructType([field for field in schema if field.name != "file_name"])
+    came = glob_objects(spark, path)
+    rows = spark.read.schema(columns).parquet(path) if came else spark.createDataFrame([], columns)
+    # Not over the files that are being read.
+    rows.filter(wanted).write.parquet(fewer)
+    spark.read.schema(columns).parquet(fewer).write.mode("overwrite").parquet(path)
+
+
 def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as lines of text, for objects whose bytes can be told from the tables."""
     cents = F.round(F.col("total_amount") * 100).cast("bigint")

@@ -452,8 +452,7 @@ def q_refresh_one_month(spark, sf_dir):
     deliver_all(spark, sf_dir, place, trips)
     refresh.refresh(spark, place)
     name = f"{OBJECT_PREFIX}{PRUNED_MONTH}{OBJECT_SUFFIX}"
-    again = trips.filter((F.col("file_name") == name) & (F.col("VendorID") <= 3)).drop("file_name")
-    again.write.mode("overwrite").parquet(f"{place.bronze}/{name}")
+    fixtures.deliver_again(spark, place.bronze, name, trips.schema, F.col("VendorID") <= 3)
     refresh.refresh(spark, place, refresh.Policy(months=(PRUNED_MONTH,)))
     return spark.table(f"{place.database}.{models.REVENUE_MART}")
 
